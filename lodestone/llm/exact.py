@@ -79,17 +79,14 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    marks = duplicate_groups(docs).where(~F.col("kept")).select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__digest"), F.lit(True).alias("__copy"))
-    dropped = marks.distinct()
-    keyed = docs.withColumns({"__digest": F.sha2(normalized(), 256)})
-    repeated = docs.groupBy("doc_id").count().where("count > 1")
-    rest = keyed.join(dropped, F.col("doc_id").eqNullSafe(F.col("__id")) & (keyed["__digest"] == dropped["__digest"]), "left_anti")
-    if not repeated.isEmpty():
-        # A row that repeats a kept row is marked too; put one of them back by keeping one row of each (doc_id, text) that is its group's first.
-        firsts = duplicate_groups(docs).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__keep"))
-        stay = keyed.join(firsts, F.col("doc_id").eqNullSafe(F.col("__id")) & (keyed["__digest"] == firsts["__keep"]), "left_semi")
-        rest = stay.dropDuplicates(["doc_id", "__digest"])
-    return rest.drop("__digest").select(*docs.columns)
+    marked = materialize(duplicate_groups(docs).select("doc_id", "keep_id", "kept", "text_sha256"), "exact-marks")
+    later = ~F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    gone = marked.where(later).select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__gone")).distinct()
+    keyed = docs.withColumn("__digest", F.sha2(normalized(), 256))
+    rest = keyed.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__gone")), "left_anti")
+    if not marked.where(~later & ~F.col("kept")).isEmpty():
+        rest = rest.dropDuplicates(["doc_id", "__digest"])  # rows that repeat the kept one
+    return rest.select(*docs.columns)
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
