@@ -19,6 +19,7 @@ by one; an empty table gives an empty result.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import pairwise
 
@@ -50,7 +51,7 @@ class Encoder:
 
     def _ids(self, piece: str | None) -> bytes:
         mapped = piece[1:] if piece[:1] == "\0" else self.bpe.mapped(piece)
-        return np.array([self.bpe.ids[t] for t in self.bpe.prefix_tokens(mapped, every=False)[1]], "<u4").tobytes()
+        return array("I", [self.bpe.ids[t] for t in self.bpe.prefix_tokens(mapped, every=False)[1]]).tobytes()
 
     def ids(self, text: str) -> np.ndarray:
         pieces = self.bpe.pieces(text)

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +40,9 @@ LIMIT = 2048
 #: Distinct pieces that a worker keeps tables of.
 PIECES = 1_000_000
 #: Letters of which lower case and composed form are plain in every Unicode version.
-PLAIN = regex.compile(r"[\t\n\r\x20-\x7eÀ-įı-ňŊ-ž]*")
+PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-įı-ňŊ-ž]*")
+#: The letters and digits among these in lower case, as parts of a character class.
+PLAIN_LETTERS, PLAIN_DIGITS = "a-zß-öø-ÿā-ž", "0-9"
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -86,9 +89,18 @@ class PieceBpe:
         self.rank = {m: r for r, m in enumerate(merges)}
         self.parts = {a + b: (r, a, b) for r, (a, b) in reversed(list(enumerate(merges)))}
         self.longest = max(map(len, self.ids))
+        import ahocorasick
+
+        self.ending = ahocorasick.Automaton()  # tokens without the end mark, found by where they end, the longest first
+        for t in self.ids:
+            if not t.endswith(self.end):
+                self.ending.add_word(t, (t, len(t)))
+        self.ending.make_automaton()
         self.specials = sorted((t["content"] for t in said["added_tokens"]), key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")") if self.specials else None
         self.split = regex.compile(next(p["pattern"]["Regex"] for p in said["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"))
+        plain = self.split.pattern.replace(r"\p{L}", PLAIN_LETTERS).replace(r"\p{N}", PLAIN_DIGITS)
+        self.split_plain = self.split if r"\p" in plain else re.compile(plain)
         self.symbols = byte_symbols()
         self.fits = Pieces(self._fits, PIECES)
 
@@ -115,19 +127,16 @@ class PieceBpe:
         n, ids, fits, end = len(piece), self.ids, self.fits, self.end
         last, count = [""] * (n + 1), [0] * (n + 1)  # open prefixes: their last token, their number of tokens
         closed, whole = [0] * (n + 1), ("", 0)
-        for k in range(1, n + 1):
-            low = max(0, k - self.longest)
-            for j in range(low, k) if every or k < n else ():
-                t = piece[j:k]
+        for at, (t, size) in self.ending.iter(piece):
+            k, j = at + 1, at + 1 - size
+            if not count[k] and (j == 0 or fits[last[j], t]):
+                last[k], count[k] = t, count[j] + 1
+        for k in range(1, n + 1) if every else range(n, n + 1) if n else ():
+            for j in range(max(0, k - self.longest), k):
+                t = piece[j:k] + end
                 if t in ids and (j == 0 or fits[last[j], t]):
-                    last[k], count[k] = t, count[j] + 1
+                    closed[k], whole = count[j] + 1, (t, j)
                     break
-            if every or k == n:
-                for j in range(low, k):
-                    t = piece[j:k] + end
-                    if t in ids and (j == 0 or fits[last[j], t]):
-                        closed[k], whole = count[j] + 1, (t, j)
-                        break
         tokens, k = [], n
         if n:
             tokens, k = [whole[0]], whole[1]
@@ -142,7 +151,7 @@ class PieceBpe:
     def pieces(self, text: str) -> list[str]:
         """Pieces of a text, specials apart; a special string stands as ``None``."""
         if PLAIN.fullmatch(text) and not (self.special and "<|" in text and self.special.search(text)):
-            return self.split.findall(text.lower())
+            return self.split_plain.findall(text.lower())
         out: list[str | None] = []
         for i, part in enumerate(self.special.split(text) if self.special else [text]):
             if i % 2:
