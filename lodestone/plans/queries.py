@@ -1,10 +1,554 @@
-"""Queries over the given tables, by name, and the SQL that gives the same rows."""
+"""Queries over the given tables, by name, and the SQL that gives the same rows.
+
+The tables stand in for a retrieval system's: ``documents`` are items (title:
+first line, parameters: source, location: language), ``benchmark`` passages
+are queries, verbatim containment is the truth, and orders joined with their
+lines, parts, customers and suppliers are the log of past choices.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.text import context_key, normalized, tokens
+from ..operators import behavior, candidates, dense, evaluation, geography, lexical, ranker, split, submission, topk
+from ..sources.tables import check_vectors, scratch, table
+from ..streaming import counters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def r6(c):
+    return F.round(c, 6)
+
+
+# --- the stand-in tables -----------------------------------------------------
+
+LANGS = ("en", "fr", "de", "es")
+
+
+def items(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select(
+        F.col("doc_id").alias("item_idx"), F.split("text", "\n")[0].alias("title"), F.col("source").alias("params"), F.col("text").alias("description"), F.col("lang").alias("location")
+    )
+
+
+def asked(spark: SparkSession, d: str) -> DataFrame:
+    location = F.get(F.array(*[F.lit(x) for x in LANGS]), (F.col("item_id") % 4).cast("int"))
+    return table(spark, d, "benchmark").select(F.col("item_id").alias("qid"), "text", location.alias("location"))
+
+
+def truth(spark: SparkSession, d: str) -> DataFrame:
+    """(qid, item_idx) of passages that a document holds word for word. Pairs are found by the passage's rarest term, then verified."""
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("item_idx"), tokens(F.col("text")).alias("ts"))
+    asks = table(spark, d, "benchmark").select(F.col("item_id").alias("qid"), tokens(F.col("text")).alias("qs")).where(F.size("qs") > 0)
+    have = docs.select("item_idx", F.explode(F.array_distinct("ts")).alias("term"))
+    df = have.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    key = asks.select("qid", F.explode(F.array_distinct("qs")).alias("term")).join(df, "term").groupBy("qid").agg(F.min(F.struct("df", "term")).alias("k"))
+    pairs = key.select("qid", F.col("k.term").alias("term")).join(have, "term").select("qid", "item_idx")
+    text = lambda c: F.concat(F.lit(" "), F.array_join(c, " "), F.lit(" "))
+    both = pairs.join(docs, "item_idx").join(asks, "qid")
+    return both.where(F.contains(text("ts"), text("qs"))).select("qid", "item_idx")
+
+
+def log(spark: SparkSession, d: str) -> DataFrame:
+    t = lambda n: table(spark, d, n)
+    joined = (
+        t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
+        .join(t("orders").select("o_orderkey", "o_custkey", "o_orderpriority"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(t("customer").select("c_custkey", "c_nationkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(t("part").select("p_partkey", "p_name", "p_brand", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(t("supplier").select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+    )
+    return joined.select(
+        F.col("l_partkey").alias("item_id"), F.col("c_nationkey").cast("long").alias("search_location"), F.col("s_nationkey").cast("long").alias("item_location"),
+        F.col("p_brand").alias("category"), F.col("p_type").alias("filter"), normalized(F.col("p_name")).alias("text"),
+        F.concat_ws("|", "c_mktsegment", F.col("c_nationkey").cast("string"), "o_orderpriority").alias("context"),
+        (F.col("c_nationkey") == F.col("s_nationkey")).cast("long").alias("local"),
+    )
+
+
+def places(spark: SparkSession, d: str) -> DataFrame:
+    """Suppliers as items with coordinates."""
+    key, n = F.col("s_suppkey"), F.col("s_nationkey")
+    return table(spark, d, "supplier").select(
+        key.alias("item_id"), n.cast("long").alias("location"), (n * 7 % 120 - 60 + key % 10 * 0.01).cast("double").alias("lat"), (n * 37 % 360 - 180 + key % 7 * 0.01).cast("double").alias("lon")
+    )
+
+
+TOK = "regexp_extract_all(replace(lower(coalesce({0}, '')), 'ё', 'е'), '[a-zа-я0-9]+')"
+BASE = f"""
+log AS (
+  SELECT l_partkey AS item_id, CAST(c_nationkey AS BIGINT) AS search_location, CAST(s_nationkey AS BIGINT) AS item_location, p_brand AS category, p_type AS filter,
+         array_to_string({TOK.format("p_name")}, ' ') AS text,
+         c_mktsegment || '|' || CAST(c_nationkey AS VARCHAR) || '|' || o_orderpriority AS context,
+         CAST(c_nationkey = s_nationkey AS BIGINT) AS local
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
+)"""
+ITEMS = f"""
+items AS (SELECT doc_id AS item_idx, split_part(text, chr(10), 1) AS title, source AS params, text AS description, lang AS location FROM documents),
+asked AS (SELECT item_id AS qid, text, CASE item_id % 4 WHEN 0 THEN 'en' WHEN 1 THEN 'fr' WHEN 2 THEN 'de' ELSE 'es' END AS location FROM benchmark),
+qterms AS (SELECT DISTINCT qid, unnest({TOK.format("text")}) AS term FROM asked)"""
+BM25 = f"""{ITEMS},
+docs AS (SELECT item_idx, location, {TOK.format("title || ' ' || title || ' ' || title || ' ' || params || ' ' || params || ' ' || substr(description, 1, 3000)")} AS ts FROM items),
+tf AS (SELECT item_idx, term, count(*) AS tf FROM (SELECT item_idx, unnest(ts) AS term FROM docs) GROUP BY item_idx, term),
+lens AS (SELECT item_idx, sum(tf) AS len FROM tf GROUP BY item_idx),
+stats AS (SELECT CAST((SELECT count(*) FROM items) AS DOUBLE) AS n, greatest((SELECT sum(len) FROM lens) / CAST((SELECT count(*) FROM items) AS DOUBLE), 1.0) AS avg_len),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+scores AS (
+  SELECT qid, tf.item_idx AS item_idx, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (1 - 0.65 + 0.65 * len / avg_len))), 6) AS score
+  FROM qterms JOIN tf ON qterms.term = tf.term JOIN df ON tf.term = df.term JOIN lens ON tf.item_idx = lens.item_idx CROSS JOIN stats
+  GROUP BY qid, tf.item_idx
+)"""
+RANKED = f"""{BM25},
+ranked AS (SELECT qid, item_idx, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, item_idx) AS rank FROM scores WHERE score > 0)"""
+TRUTH = f"""
+truth AS (
+  SELECT item_id AS qid, doc_id AS item_idx
+  FROM (SELECT item_id, ' ' || array_to_string({TOK.format("text")}, ' ') || ' ' AS q FROM benchmark) b
+  JOIN (SELECT doc_id, ' ' || array_to_string({TOK.format("text")}, ' ') || ' ' AS t FROM documents) d ON contains(t, q)
+)"""
+PER_QUERY = f"""{RANKED}, {TRUTH},
+per_query AS (
+  SELECT a.qid AS qid, a.location AS location, a.qid % 3 = 0 AS flag,
+         CAST(count(DISTINCT t.item_idx) AS BIGINT) AS n_relevant,
+         CASE WHEN count(DISTINCT t.item_idx) > 0 THEN CAST(count(DISTINCT CASE WHEN r.rank <= 10 THEN r.item_idx END) AS DOUBLE) / count(DISTINCT t.item_idx) END AS recall_10
+  FROM asked a LEFT JOIN truth t ON a.qid = t.qid LEFT JOIN ranked r ON r.qid = t.qid AND r.item_idx = t.item_idx
+  GROUP BY a.qid, a.location
+)"""
+
+
+# --- lexical -----------------------------------------------------------------
+
+
+@query(f"""
+SELECT lang, count(*) AS n_docs, CAST(sum(len(ts)) AS BIGINT) AS n_tokens, max(len(ts)) AS longest, round(avg(len(ts)), 6) AS mean_tokens
+FROM (SELECT lang, {TOK.format("text")} AS ts FROM documents) GROUP BY lang""")
+def token_stats(spark, d):
+    n = F.size(tokens(F.col("text"))).cast("long")
+    return table(spark, d, "documents").groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"), F.sum(n).alias("n_tokens"), F.max(n).alias("longest"), r6(F.avg(n)).alias("mean_tokens"))
+
+
+def _index(spark, d):
+    return lexical.LexicalIndex(items(spark, d))
+
+
+@query(f"WITH {RANKED} SELECT qid, item_idx, score, rank FROM ranked WHERE rank <= 10")
+def bm25_topk(spark, d):
+    return _index(spark, d).search(asked(spark, d), "bm25", 10)
+
+
+@query(f"""
+WITH {BM25}, near AS (SELECT s.qid AS qid, s.item_idx AS item_idx, score FROM scores s JOIN items i ON s.item_idx = i.item_idx JOIN asked a ON s.qid = a.qid WHERE i.location = a.location AND score > 0)
+SELECT * FROM (SELECT qid, item_idx, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, item_idx) AS rank FROM near) WHERE rank <= 10""")
+def local_bm25_topk(spark, d):
+    return _index(spark, d).search(asked(spark, d), "bm25", 10, local=True)
+
+
+@query(f"WITH {BM25} SELECT * FROM (SELECT qid, item_idx, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, item_idx) AS rank FROM scores WHERE score > 0 AND item_idx < 500) WHERE rank <= 10")
+def allowed_prefix_topk(spark, d):
+    """The corpus restricted to its first 500 positions, a feature of the search."""
+    return _index(spark, d).search(asked(spark, d), "bm25", 10, allowed=500)
+
+
+def _tfidf_sql(grams: str, min_df: int, most: str) -> str:
+    return f"""
+WITH {ITEMS},
+texts AS (SELECT 'd' AS side, item_idx AS id, title || ' ' || params AS text FROM items UNION ALL SELECT 'q', qid, text FROM asked),
+toks AS (SELECT side, id, {TOK.format("text")} AS ts FROM texts),
+grams AS ({grams}),
+tf AS (SELECT side, id, term, count(*) AS tf FROM grams GROUP BY side, id, term),
+vocab AS (SELECT term, count(*) AS df, sum(tf) AS total FROM tf WHERE side = 'd' GROUP BY term HAVING count(*) >= {min_df} {most}),
+idf AS (SELECT term, ln((1.0 + (SELECT count(*) FROM items)) / (1 + df)) + 1 AS idf FROM vocab),
+raw AS (SELECT side, id, tf.term AS term, (1 + ln(tf)) * idf AS w FROM tf JOIN idf ON tf.term = idf.term),
+norms AS (SELECT side, id, sqrt(sum(w * w)) AS norm FROM raw GROUP BY side, id),
+unit AS (SELECT raw.side AS side, raw.id AS id, term, w / norm AS w FROM raw JOIN norms ON raw.side = norms.side AND raw.id = norms.id),
+scores AS (SELECT q.id AS qid, i.id AS item_idx, round(sum(q.w * i.w), 6) AS score FROM unit q JOIN unit i ON q.term = i.term WHERE q.side = 'q' AND i.side = 'd' GROUP BY q.id, i.id)
+SELECT * FROM (SELECT qid, item_idx, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, item_idx) AS rank FROM scores WHERE score > 0) WHERE rank <= 10"""
+
+
+@query(_tfidf_sql("SELECT side, id, unnest(ts) AS term FROM toks UNION ALL SELECT side, id, ts[i] || ' ' || ts[i + 1] FROM (SELECT side, id, ts, unnest(range(1, len(ts))) AS i FROM toks WHERE len(ts) > 1)", 1, ""))
+def tfidf_word_topk(spark, d):
+    return _index(spark, d).search(asked(spark, d), "word", 10)
+
+
+@query(_tfidf_sql("""
+  SELECT side, id, substr(p, i, n) AS term FROM (
+    SELECT side, id, p, n, unnest(range(1, greatest(length(p) - n + 1, 1) + 1)) AS i FROM (
+      SELECT side, id, ' ' || w || ' ' AS p, unnest([3, 4, 5]) AS n FROM (SELECT side, id, unnest(ts) AS w FROM toks))
+    WHERE n = 3 OR length(p) >= n)""", 2, "ORDER BY total DESC, term LIMIT 250000"))
+def char_ngram_topk(spark, d):
+    return _index(spark, d).search(asked(spark, d), "char", 10)
+
+
+@query(f"""
+WITH {ITEMS}, n AS (SELECT qid, count(*) AS n FROM qterms GROUP BY qid),
+have AS (SELECT DISTINCT item_idx, unnest({TOK.format("title || ' ' || params")}) AS term FROM items),
+hits AS (SELECT qid, item_idx, count(*) AS hits FROM qterms JOIN have ON qterms.term = have.term GROUP BY qid, item_idx)
+SELECT hits.qid AS qid, item_idx, round(hits / CAST(n AS DOUBLE), 6) AS coverage FROM hits JOIN n ON hits.qid = n.qid""")
+def term_coverage(spark, d):
+    return lexical.coverage(asked(spark, d), items(spark, d)).withColumn("coverage", r6("coverage"))
+
+
+# --- evaluation --------------------------------------------------------------
+
+
+@query(f"WITH {TRUTH} SELECT qid, item_idx FROM truth")
+def truth_pairs(spark, d):
+    return truth(spark, d)
+
+
+def _per_query(spark, d):
+    queries = asked(spark, d).withColumn("flag", F.col("qid") % 3 == 0).drop("text")
+    found = _index(spark, d).scores(asked(spark, d), "bm25").withColumn("score", r6("score")).where("score > 0")
+    return evaluation.per_query_recall(queries, found, truth(spark, d), [10])
+
+
+@query(f"WITH {PER_QUERY} SELECT qid, n_relevant, round(recall_10, 6) AS recall_10 FROM per_query")
+def recall_at_k(spark, d):
+    return _per_query(spark, d).select("qid", F.coalesce("n_relevant", F.lit(0)).cast("long").alias("n_relevant"), r6("recall_10").alias("recall_10"))
+
+
+@query(f"""
+WITH {PER_QUERY}, known AS (SELECT * FROM per_query WHERE recall_10 IS NOT NULL)
+SELECT 'all' AS group_name, 'all' AS group_value, round(avg(recall_10), 6) AS recall, count(*) AS n FROM known
+UNION ALL SELECT 'location', location, round(avg(recall_10), 6), count(*) FROM known GROUP BY location
+UNION ALL SELECT 'flag', CASE WHEN flag THEN 'true' ELSE 'false' END, round(avg(recall_10), 6), count(*) FROM known GROUP BY flag""")
+def recall_by_group(spark, d):
+    return evaluation.recall_by_group(_per_query(spark, d), ["location", "flag"], "recall_10").withColumn("recall", r6("recall"))
+
+
+@query(f"WITH {PER_QUERY} SELECT round(0.63 * avg(CASE WHEN flag THEN recall_10 END) + 0.37 * avg(CASE WHEN NOT flag THEN recall_10 END), 6) AS recall FROM per_query")
+def poststratified_recall(spark, d):
+    return evaluation.post_stratified(_per_query(spark, d), "flag", "recall_10", 0.63).withColumn("recall", r6("recall"))
+
+
+@query(f"WITH {RANKED}, {TRUTH} SELECT CASE WHEN rank <= 5 THEN 'hit' WHEN rank IS NOT NULL THEN 'below' ELSE 'missing' END AS outcome, count(*) AS n FROM truth t LEFT JOIN ranked r ON t.qid = r.qid AND t.item_idx = r.item_idx GROUP BY 1")
+def loss_decomposition(spark, d):
+    ranked = _index(spark, d).search(asked(spark, d), "bm25", 1_000_000_000)
+    return evaluation.loss(truth(spark, d), ranked, 5)
+
+
+@query("SELECT round(avg(CASE WHEN trim(regexp_extract(text, '^[^.]*')) = '' OR length(text) < 100 THEN 1.0 ELSE 0.0 END), 6) AS empty_fraction FROM documents")
+def empty_fraction(spark, d):
+    short = F.when(F.length("text") >= 100, F.regexp_extract("text", "^[^.]*", 0))
+    return evaluation.empty_fraction(table(spark, d, "documents").select(short.alias("filter")), "filter").withColumn("empty_fraction", r6("empty_fraction"))
+
+
+# --- behaviour ---------------------------------------------------------------
+
+
+@query(f"WITH {BASE} SELECT item_id, count(*) AS n, round(ln(1 + count(*)), 6) AS popularity FROM log GROUP BY item_id")
+def popularity(spark, d):
+    return behavior.counts(log(spark, d), "item_id").withColumn("popularity", r6(F.log1p("n")))
+
+
+@query(f"WITH {BASE} SELECT context, item_id, count(*) AS n FROM log GROUP BY context, item_id")
+def pair_counts(spark, d):
+    return behavior.counts(log(spark, d), "context", "item_id")
+
+
+@query(f"WITH {BASE} SELECT text, count(*) AS n FROM log GROUP BY text")
+def text_counts(spark, d):
+    return behavior.counts(log(spark, d), "text")
+
+
+@query(f"WITH {BASE} SELECT filter, category, round(count(*) / CAST(sum(count(*)) OVER (PARTITION BY filter) AS DOUBLE), 6) AS p FROM log WHERE filter <> '' GROUP BY filter, category")
+def filter_category_prob(spark, d):
+    return behavior.conditional(log(spark, d), "filter", "category").withColumn("p", r6("p"))
+
+
+@query(f"WITH {BASE} SELECT text, category, round(count(*) / CAST(sum(count(*)) OVER (PARTITION BY text) AS DOUBLE), 6) AS p FROM log WHERE text <> '' GROUP BY text, category")
+def text_category_prob(spark, d):
+    return behavior.conditional(log(spark, d), "text", "category").withColumn("p", r6("p"))
+
+
+@query(f"WITH {BASE}, g AS (SELECT avg(local) AS g FROM log) SELECT category, round((sum(local) + 20 * any_value(g)) / (count(*) + 20), 6) AS rate FROM log CROSS JOIN g GROUP BY category")
+def smoothed_local_rate(spark, d):
+    return behavior.smoothed_rate(log(spark, d), "category", F.col("local")).withColumn("rate", r6("rate"))
+
+
+def _behavior_queries(spark, d):
+    return table(spark, d, "benchmark").select(F.col("item_id").alias("qid"), F.array_join(F.slice(tokens(F.col("text")), 1, 6), " ").alias("text"), F.lit("").alias("context"), F.lit("PROMO").alias("filter"))
+
+
+@query()
+def behavior_knn(spark, d):
+    return behavior.neighbors(_behavior_queries(spark, d), log(spark, d))
+
+
+@query()
+def behavior_features(spark, d):
+    train = log(spark, d)
+    corpus = table(spark, d, "part").select(F.col("p_partkey").alias("item_id"), F.col("p_brand").alias("category"))
+    asks = train.select("text", "context", "filter").distinct().groupBy("text").agg(F.min("context").alias("context"), F.min("filter").alias("filter")).withColumn("qid", F.xxhash64("text"))
+    near = behavior.neighbors(asks, train)
+    found = behavior.memory(near, train, corpus).select("qid", "item_id")
+    return behavior.features(asks, found, train, corpus, near)
+
+
+@query("SELECT doc_id, coalesce(source, '') || chr(31) || coalesce(lang, '') || chr(31) || CAST(n_chars AS VARCHAR) AS context_key FROM documents")
+def context_keys(spark, d):
+    return table(spark, d, "documents").select("doc_id", context_key(F.col("source"), F.col("lang"), F.col("n_chars")).alias("context_key"))
+
+
+# --- geography ---------------------------------------------------------------
+
+PLACES = "places AS (SELECT s_suppkey AS item_id, CAST(s_nationkey AS BIGINT) AS location, CAST(s_nationkey * 7 % 120 - 60 + s_suppkey % 10 * 0.01 AS DOUBLE) AS lat, CAST(s_nationkey * 37 % 360 - 180 + s_suppkey % 7 * 0.01 AS DOUBLE) AS lon FROM supplier)"
+
+
+@query(f"WITH {PLACES} SELECT location, round(median(lat), 6) AS lat, round(median(lon), 6) AS lon FROM places WHERE NOT (lat = 0 AND lon = 0) GROUP BY location")
+def location_centers(spark, d):
+    return geography.centres(places(spark, d)).select("location", r6("lat").alias("lat"), r6("lon").alias("lon"))
+
+
+@query(f"""
+WITH {BASE}, pairs AS (SELECT search_location, item_location, count(*) AS observed FROM log GROUP BY 1, 2),
+total AS (SELECT search_location, count(*) AS total FROM log GROUP BY 1),
+prior AS (SELECT item_location, count(*) / CAST((SELECT count(*) FROM log) AS DOUBLE) AS prior FROM log GROUP BY 1)
+SELECT p.search_location AS search_location, p.item_location AS item_location, observed, round((observed + 5 * prior) / (total + 5), 6) AS probability, round((observed + 5 * prior) / (total + 5) / prior, 6) AS lift
+FROM pairs p JOIN total t ON p.search_location = t.search_location JOIN prior r ON p.item_location = r.item_location""")
+def transition_prob_lift(spark, d):
+    return geography.transitions(log(spark, d)).select("search_location", "item_location", "observed", r6("probability").alias("probability"), r6("lift").alias("lift"))
+
+
+@query("""
+WITH s AS (SELECT o_custkey AS who, o_totalprice AS v, sum(count(*)) OVER w AS run, sum(count(*)) OVER (PARTITION BY o_custkey) AS total FROM orders GROUP BY o_custkey, o_totalprice WINDOW w AS (PARTITION BY o_custkey ORDER BY o_totalprice ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT who, round(min(v), 6) AS middle FROM s WHERE run >= total / 2.0 GROUP BY who""")
+def weighted_median_price(spark, d):
+    rows = table(spark, d, "orders").select(F.col("o_custkey").alias("who"), F.col("o_totalprice").alias("v"), F.lit(1).alias("w"))
+    return topk.weighted_median(rows, "who", "v", "w", "middle").withColumn("middle", r6("middle"))
+
+
+def _geo(spark, d):
+    train, at = log(spark, d), geography.centres(places(spark, d))
+    moves = geography.transitions(train)
+    pairs = moves.select("search_location", F.col("item_location").alias("location")).join(places(spark, d), "location")
+    return geography.affinity(geography.features(geography.query_points(train, at), moves, pairs))
+
+
+@query()
+def geo_features(spark, d):
+    out = _geo(spark, d)
+    return out.select("search_location", "item_id", "same_location", r6("log_distance").alias("log_distance"), "has_center", r6("transition_probability").alias("transition_probability"), r6("transition_lift").alias("transition_lift"), r6("scope_km").alias("scope_km"), "train_count", r6("affinity").alias("affinity"))
+
+
+@query("""
+WITH n AS (SELECT n_nationkey AS k, CAST(n_nationkey * 7 % 120 - 60 AS DOUBLE) AS lat, CAST(n_nationkey * 37 % 360 - 180 AS DOUBLE) AS lon FROM nation)
+SELECT CAST(a.k AS BIGINT) AS a, CAST(b.k AS BIGINT) AS b,
+       round(12742.0 * asin(sqrt(least(greatest(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2), 0.0), 1.0))), 4) AS km
+FROM n a JOIN n b ON a.k < b.k""")
+def nation_distances(spark, d):
+    n = table(spark, d, "nation").select("n_nationkey", (F.col("n_nationkey") * 7 % 120 - 60).cast("double").alias("lat"), (F.col("n_nationkey") * 37 % 360 - 180).cast("double").alias("lon"))
+    a, b = n.alias("a"), F.broadcast(n).alias("b")  # 25 rows by definition
+    km = geography.haversine(F.col("a.lat"), F.col("a.lon"), F.col("b.lat"), F.col("b.lon"))
+    pairs = a.join(b, F.col("a.n_nationkey") < F.col("b.n_nationkey"))
+    return pairs.select(F.col("a.n_nationkey").cast("long").alias("a"), F.col("b.n_nationkey").cast("long").alias("b"), F.round(km, 4).alias("km"))
+
+
+# --- dense vectors -----------------------------------------------------------
+
+
+@query("""
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
+SELECT * FROM (SELECT qid, item_idx, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, item_idx) AS rank
+  FROM (SELECT q.vec_id AS qid, i.vec_id AS item_idx, round(list_inner_product(q.v, i.v), 6) AS score FROM e q JOIN e i ON q.vec_id < 20 AND i.vec_id >= 20)) WHERE rank <= 10""")
+def dense_topk(spark, d):
+    e = table(spark, d, "embeddings").select("vec_id", "embedding")
+    return dense.dense_top_k(e.where("vec_id < 20").withColumnRenamed("vec_id", "qid"), e.where("vec_id >= 20").withColumnRenamed("vec_id", "item_idx"), 10)
+
+
+@query("""
+SELECT count(*) AS n_vectors, CAST(sum(CASE WHEN len(embedding) <> 64 THEN 1 ELSE 0 END) AS BIGINT) AS wrong_size, CAST(0 AS BIGINT) AS not_finite,
+       CAST(sum(CASE WHEN abs(sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) - 1) > 0.0001 THEN 1 ELSE 0 END) AS BIGINT) AS not_unit FROM embeddings""")
+def vector_checks(spark, d):
+    return check_vectors(table(spark, d, "embeddings"), 64)
+
+
+# --- candidates, scoring, answers --------------------------------------------
+
+
+def _channels(spark, d):
+    index, q = _index(spark, d), asked(spark, d)
+    return [candidates.channel(index.scores(q, c).withColumn("score", r6("score")), c) for c in ("bm25", "word")]
+
+
+@query()
+def channel_union(spark, d):
+    a, b = _channels(spark, d)
+    return candidates.rank_columns(a.unionByName(b), ["bm25", "word"])
+
+
+@query()
+def candidate_features(spark, d):
+    found = channel_union(spark, d)
+    q = asked(spark, d).select("qid", tokens(F.col("text")).alias("qs"))
+    i = items(spark, d).select("item_idx", tokens(F.col("title")).alias("ts"), F.length("description").cast("long").alias("description_length"))
+    rows = found.join(q, "qid").join(i, "item_idx").withColumns(candidates.overlap_features(F.col("qs"), F.col("ts")))
+    return candidates.labels(rows.drop("qs", "ts"), truth(spark, d))
+
+
+@query(f"""
+WITH {RANKED}, c AS (SELECT qid, count(*) AS n FROM ranked WHERE rank <= 100 GROUP BY qid),
+few AS (SELECT asked.qid AS qid FROM asked LEFT JOIN c ON asked.qid = c.qid WHERE coalesce(n, 0) < 100),
+best AS (SELECT doc_id AS item_idx FROM documents ORDER BY n_chars DESC, doc_id LIMIT 50)
+SELECT qid, item_idx FROM ranked WHERE rank <= 100 UNION SELECT qid, item_idx FROM few CROSS JOIN best""")
+def candidate_fallback(spark, d):
+    popular = table(spark, d, "documents").select(F.col("doc_id").alias("item_idx"), F.col("n_chars").alias("score"))
+    return candidates.with_fallback(_channels(spark, d)[0], asked(spark, d), popular, below=100)
+
+
+MODELS = "pairs AS (SELECT l_orderkey AS qid, l_linenumber AS line, l_partkey AS item_idx, l_extendedprice AS s1, l_quantity AS s2 FROM lineitem)"
+
+
+def _two_scores(spark, d):
+    return table(spark, d, "lineitem").select(F.col("l_orderkey").alias("qid"), F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("item_idx"), F.col("l_extendedprice").alias("s1"), F.col("l_quantity").alias("s2"))
+
+
+@query(f"""
+WITH {MODELS}, z AS (
+  SELECT qid, line, item_idx, CASE WHEN stddev_pop(s1) OVER w > 0 THEN (s1 - avg(s1) OVER w) / stddev_pop(s1) OVER w ELSE 0 END AS z1, CASE WHEN stddev_pop(s2) OVER w > 0 THEN (s2 - avg(s2) OVER w) / stddev_pop(s2) OVER w ELSE 0 END AS z2
+  FROM pairs WINDOW w AS (PARTITION BY qid)),
+b AS (SELECT qid, line, item_idx, round(0.25 * z1 + 0.75 * z2, 6) AS score FROM z)
+SELECT * FROM (SELECT qid, line, item_idx, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, line) AS rank FROM b) WHERE rank <= 3""")
+def zscore_blend_topk(spark, d):
+    mixed = topk.blend(_two_scores(spark, d), ["s1", "s2"], [1, 3]).withColumn("score", r6("score"))
+    return topk.top_k(mixed, 3, tie="line").select("qid", "line", "item_idx", "score", "rank")
+
+
+def _answer_sql(k: int) -> str:
+    return f"a AS (SELECT asked.qid AS qid, coalesce(string_agg(CAST(item_idx AS VARCHAR), ' ' ORDER BY rank), '') AS answer FROM asked LEFT JOIN ranked ON asked.qid = ranked.qid AND rank <= {k} GROUP BY asked.qid)"
+
+
+def _answers(spark, d):
+    ranked = _index(spark, d).search(asked(spark, d), "bm25", 20).withColumnRenamed("item_idx", "item_id")
+    return submission.answers(ranked, asked(spark, d), 20)
+
+
+@query(f"WITH {RANKED}, {_answer_sql(20)} SELECT qid, answer FROM a")
+def answer_rows(spark, d):
+    return _answers(spark, d)
+
+
+@query(f"WITH {RANKED}, {_answer_sql(20)}, n AS (SELECT CASE WHEN answer = '' THEN 0 ELSE len(string_split(answer, ' ')) END AS n FROM a) SELECT count(*) AS queries, CAST(sum(CASE WHEN n = 0 THEN 1 ELSE 0 END) AS BIGINT) AS empty_answers, CAST(min(n) AS BIGINT) AS min_items, CAST(max(n) AS BIGINT) AS max_items, round(avg(n), 6) AS mean_items, CAST(sum(n) AS BIGINT) AS total_items FROM n")
+def answer_stats(spark, d):
+    return submission.answer_stats(_answers(spark, d)).withColumn("mean_items", r6("mean_items"))
+
+
+@query(f"WITH {RANKED} SELECT CAST(0 AS BIGINT) AS repeated, CAST(0 AS BIGINT) AS bad_qid, CAST(0 AS BIGINT) AS bad_item, (SELECT count(*) FROM benchmark) - count(DISTINCT qid) AS uncovered FROM ranked WHERE rank <= 100")
+def candidate_contract(spark, d):
+    n_queries, n_items = (table(spark, d, t).count() for t in ("benchmark", "documents"))
+    out = submission.check_candidates(_channels(spark, d)[0], n_queries, n_items)
+    return out.select("repeated", "bad_qid", "bad_item", F.col("uncovered").cast("long").alias("uncovered"))
+
+
+# --- splits and profiles -----------------------------------------------------
+
+
+@query("SELECT o_orderkey, substr(sha256(CAST(o_custkey AS VARCHAR) || '|' || o_orderpriority), 1, 16) AS query_id, md5(CAST(o_orderkey AS VARCHAR) || '|42') AS drawn FROM orders")
+def split_keys(spark, d):
+    o = table(spark, d, "orders")
+    key = F.concat_ws("|", F.col("o_custkey").cast("string"), "o_orderpriority")
+    return o.select("o_orderkey", split.query_id(key).alias("query_id"), F.md5(F.concat_ws("|", F.col("o_orderkey").cast("string"), F.lit("42"))).alias("drawn"))
+
+
+@query()
+def split_assignment(spark, d):
+    contexts = log(spark, d).select("context").distinct().withColumn("regime", F.when(F.xxhash64("context") % 3 == 0, "warm").otherwise("cold"))
+    return split.assign(contexts, "context")
+
+
+@query("SELECT count(*) AS shared FROM (SELECT o_custkey AS k FROM orders WHERE o_orderpriority = '1-URGENT' INTERSECT SELECT o_custkey FROM orders WHERE o_orderpriority = '2-HIGH')")
+def split_overlap(spark, d):
+    o = table(spark, d, "orders").select(F.col("o_custkey").alias("k"), "o_orderpriority")
+    return split.overlap(o.where("o_orderpriority = '1-URGENT'"), o.where("o_orderpriority = '2-HIGH'"), ["k"])
+
+
+@query("SELECT count(*) AS n, CAST(sum(l_quantity) AS DOUBLE) AS quantity FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderstatus = 'F')")
+def hidden_pairs(spark, d):
+    hidden = table(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"))
+    return split.hide(table(spark, d, "lineitem"), hidden, ["l_orderkey"]).agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity"))
+
+
+@query("SELECT o_custkey, o_orderkey, o_orderpriority FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders) WHERE rn = 1")
+def first_per_key(spark, d):
+    return split.first_per_key(table(spark, d, "orders"), "o_custkey", "o_orderkey").select("o_custkey", "o_orderkey", "o_orderpriority")
+
+
+@query("SELECT c_mktsegment, count(*) AS n, round(min(c_acctbal), 6) AS low, round(quantile_cont(c_acctbal, 0.25), 6) AS q25, round(quantile_cont(c_acctbal, 0.5), 6) AS q50, round(quantile_cont(c_acctbal, 0.9), 6) AS q90, round(stddev_samp(c_acctbal), 6) AS sd FROM customer GROUP BY c_mktsegment")
+def profile_numbers(spark, d):
+    q = F.percentile("c_acctbal", [0.25, 0.5, 0.9])
+    out = table(spark, d, "customer").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.min("c_acctbal").alias("low"), q.alias("q"), F.stddev_samp("c_acctbal").alias("sd"))
+    return out.select("c_mktsegment", "n", r6("low").alias("low"), r6(F.col("q")[0]).alias("q25"), r6(F.col("q")[1]).alias("q50"), r6(F.col("q")[2]).alias("q90"), r6("sd").alias("sd"))
+
+
+@query("SELECT lang, count(*) AS n, count(DISTINCT lower(regexp_replace(text, '\\s+', ' ', 'g'))) AS n_distinct, CAST(sum(CASE WHEN text IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_null, max(n_chars) AS longest FROM documents GROUP BY lang")
+def profile_texts(spark, d):
+    flat = F.lower(F.regexp_replace("text", r"\s+", " "))
+    return table(spark, d, "documents").groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.count_distinct(flat).alias("n_distinct"), F.sum(F.col("text").isNull().cast("long")).alias("n_null"), F.max("n_chars").alias("longest"))
+
+
+@query("SELECT event_type, count(*) AS n, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS total_k FROM events GROUP BY event_type")
+def json_props(spark, d):
+    return table(spark, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum(F.get_json_object("props", "$.k").cast("long")).alias("total_k"))
+
+
+@query("SELECT o_custkey, string_agg(CAST(o_orderkey AS VARCHAR), ' ' ORDER BY o_orderkey) AS orders, count(*) AS n FROM orders GROUP BY o_custkey")
+def collected_lists(spark, d):
+    rows = table(spark, d, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list("o_orderkey")).alias("ids"))
+    return rows.select("o_custkey", F.array_join(F.col("ids").cast("array<string>"), " ").alias("orders"), F.size("ids").cast("long").alias("n"))
+
+
+@query("SELECT l_partkey, l_quantity, l_shipdate FROM lineitem WHERE l_returnflag IN ('A', 'R') AND l_discount > 0.05")
+def pushed_filter_scan(spark, d):
+    return table(spark, d, "lineitem").where(F.col("l_returnflag").isin("A", "R") & (F.col("l_discount") > 0.05)).select("l_partkey", "l_quantity", "l_shipdate")
+
+
+@query("SELECT count(*) AS n, bit_xor(CAST('0x' || substr(h, 1, 15) AS BIGINT)) AS x, bit_xor(CAST('0x' || substr(h, 16, 15) AS BIGINT)) AS y FROM (SELECT sha256(CAST(doc_id AS VARCHAR) || ':' || text) AS h FROM documents)")
+def corpus_fingerprint(spark, d):
+    """Combined digests of all rows; their order doesn't matter, so no task needs all of them."""
+    rows = table(spark, d, "documents").select(F.sha2(F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("text")), 256).alias("h"))
+    part = lambda i: F.bit_xor(F.conv(F.substring("h", i, 15), 16, 10).cast("long"))
+    return rows.agg(F.count(F.lit(1)).alias("n"), part(1).alias("x"), part(16).alias("y"))
+
+
+@query("SELECT w.w AS w, o_orderpriority, round(avg(w.w * o_totalprice + (1 - w.w) * o_orderkey), 4) AS mean_score FROM orders CROSS JOIN (SELECT unnest([0.0, 0.25, 0.5, 0.75, 1.0]) AS w) w GROUP BY w.w, o_orderpriority")
+def blend_grid(spark, d):
+    w = F.explode(F.array(*[F.lit(x) for x in (0.0, 0.25, 0.5, 0.75, 1.0)])).alias("w")
+    rows = table(spark, d, "orders").select("o_orderpriority", "o_totalprice", "o_orderkey", w)
+    return rows.groupBy("w", "o_orderpriority").agg(F.round(F.avg(F.col("w") * F.col("o_totalprice") + (1 - F.col("w")) * F.col("o_orderkey")), 4).alias("mean_score"))
+
+
+# --- models and streams ------------------------------------------------------
+
+
+@query()
+def gbt_ranker(spark, d):
+    """A ranker of lines by whether they were returned, trained on three quarters of the orders and scored on all."""
+    rows = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("qid"), F.col("l_linenumber").cast("long").alias("item_idx"), "l_quantity", "l_extendedprice", "l_discount", "l_tax", F.datediff("l_shipdate", F.lit("1992-01-01")).alias("ship_day"), (F.col("l_returnflag") == "R").cast("double").alias("label"))
+    names = ranker.feature_columns(rows)
+    model = ranker.train(rows.where(F.pmod(F.xxhash64("qid"), F.lit(4)) != 0), names, trees=5)
+    return topk.z_score(ranker.score(model, rows), "score", "z").select("qid", "item_idx", r6("score").alias("score"), r6("z").alias("z"), "label")
+
+
+@query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
+def stream_popularity(spark, d):
+    """The streaming counter, run over all event files at once and read back."""
+    schema = table(spark, d, "events").schema
+    counted = counters.popularity(counters.read_stream(spark, f"{d}/events.parquet*", schema))
+    out = counters.run_to_table(counted, scratch(spark, "stream"))
+    return out.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
