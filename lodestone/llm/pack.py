@@ -146,7 +146,8 @@ def pack(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH) -
     bounds: list[int] = []
     if parts > 1:
         at = [i / parts for i in range(1, parts)]
-        bounds = sorted(set(table.agg(F.percentile_approx("place", at, max(10_000, 10 * parts))).first()[0]))
+        by_tokens = table.select(F.explode(F.array_repeat("place", F.ceil(F.col("n") / length).cast("int"))).alias("place"))
+        bounds = sorted(set(by_tokens.agg(F.percentile_approx("place", at, max(10_000, 10 * parts))).first()[0]))
     part = count_at_or_below(bounds, F.col("place"))
     sums = dict(table.groupBy(part.alias("part")).agg(F.sum("n")).collect())  # a number for each partition
     starts = np.concatenate([[0], np.cumsum([sums.get(p, 0) for p in range(len(bounds) + 1)])]).tolist()
