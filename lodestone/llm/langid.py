@@ -35,11 +35,11 @@ from .quality import fold
 
 UNKNOWN = "und"
 SAMPLE_CHARS = 160_000
-MOST_CHARS = 24_000
+MOST_CHARS = 16_000
 SLICE = 1_000
 LANE = 4096
 #: Letters with a column of their own in an automaton; rarer ones share the last.
-LETTERS = 120
+LETTERS = 80
 SCORED = regex.compile(r"\p{L}")
 
 
