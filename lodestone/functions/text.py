@@ -8,19 +8,20 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from .stem import stem_word
 
 TOKEN = "[a-zа-я0-9]+"
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(StringType())
 def nfkc(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for array in texts:
         yield pa.array([None if t is None else unicodedata.normalize("NFKC", t) for t in array.to_pylist()], pa.string())
 
 
-@F.arrow_udf("array<string>")
+@F.arrow_udf(ArrayType(StringType()))
 def stem_tokens(tokens: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for array in tokens:
         yield pa.array([None if ts is None else [stem_word(t) for t in ts] for ts in array.to_pylist()], pa.list_(pa.string()))
