@@ -35,16 +35,16 @@ from .quality import fold
 
 UNKNOWN = "und"
 SAMPLE_CHARS = 160_000
-MOST_CHARS = 16_000
+MOST_CHARS = 24_000
 SLICE = 1_000
 LANE = 4096
 #: Letters with a column of their own in an automaton; rarer ones share the last.
-LETTERS = 80
+LETTERS = 96
 SCORED = regex.compile(r"\p{L}")
 
 
 def suffix_automaton(text: np.ndarray, letters: int) -> np.ndarray:
-    """Transition table of the minimal automaton of all substrings (-1: none); state 0 is the start."""
+    """Transition table of the automaton of all substrings (-1: none); state 0 is the start, the last state has no way out."""
     table = np.full((2 * len(text) + 2, letters), -1, dtype=np.int32)
     link, length = [-1] * len(table), [0] * len(table)
     n, last = 1, 0
@@ -70,7 +70,7 @@ def suffix_automaton(text: np.ndarray, letters: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = copy
         last = new
-    return table[:n]
+    return table[: n + 1].copy()  # the last row is a dead end: after it every letter begins a phrase
 
 
 class Model:
@@ -102,17 +102,18 @@ class Model:
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         live = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")  # lanes longer than each step
         for k, table in enumerate(self.tables):
-            rows, width = table.reshape(-1), table.shape[1]
-            state, count = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
+            rows, width, dead = table.reshape(-1), table.shape[1], len(table) - 1
+            state, count = np.full(len(sizes), dead), np.zeros(len(sizes), np.int64)
             for t in range(sizes[0]):
                 n = live[t]
                 letter = flat[starts[:n] + t]
                 now = rows[state[:n] * width + letter]
-                ends = np.flatnonzero(now < 0)  # the phrase ends here and the next begins with this letter
-                count[ends] += 1
-                now[ends] = np.maximum(rows[letter[ends]], 0)
+                begins = np.flatnonzero(now < 0)  # a phrase ends before this letter and the next begins with it
+                count[begins] += 1
+                first = rows[letter[begins]]
+                now[begins] = np.where(first < 0, dead, first)  # a letter that the language lacks is a phrase of its own
                 state[:n] = now
-            np.add.at(out[:, k], owner[order], count + 1)
+            np.add.at(out[:, k], owner[order], count)
         return out
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:

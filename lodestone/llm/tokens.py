@@ -38,7 +38,7 @@ from ._common import documents
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
 #: Distinct pieces that a worker keeps tables of.
-PIECES = 500_000
+PIECES = 400_000
 #: Letters of which lower case and composed form are plain in every Unicode version.
 PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-įı-ňŊ-ž]*")
 #: The letters and digits among these in lower case, as parts of a character class.
