@@ -153,20 +153,12 @@ def samples(docs: DataFrame) -> dict[str, str]:
     return {lang: "\n".join(texts)[:chars] for lang, texts in out.items()}
 
 
-def _model(learned: dict[str, str], kept: dict = {}) -> Model:  # noqa: B006  one for each worker
-    key = hash(tuple(sorted(learned.items())))
-    if key not in kept:
-        kept.clear()
-        kept[key] = Model(learned) if learned else None
-    return kept[key]
-
-
 def predictor(learned: dict[str, str]):
     """A vectorised function text -> struct(lang_pred, score)."""
 
     @F.arrow_udf("struct<lang_pred:string,score:double>")
     def predict(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model = _model(learned)
+        model = Model(learned) if learned else None  # for this task only: later stages need the memory
         for array in texts:
             batch = pa.RecordBatch.from_arrays([array], ["text"])
             names, scores = [], []
