@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import count_at_or_below, documents, materialize
-from .tokens import PieceBpe, Pieces, vocabulary_path
+from .tokens import Pieces, PieceSplitter, vocabulary_path
 
 LENGTH = 2048
 END_ID = 1
@@ -37,26 +37,30 @@ DIMS, BITS = 4, 10
 #: Buckets of the hashed document vector.
 BUCKETS = 256
 SEED = 7
+#: Distinct pieces of which a worker keeps the ids.
+PIECES = 200_000
 TOKENS_PER_PART = 8_000_000
 MOST_PARTS = 20_000
 TIE_BITS = 23
 
 
 class Encoder:
-    """Ids of whole texts, joined from the ids of their pieces."""
+    """Ids of whole texts, joined from the ids that the library's merges give for their pieces."""
 
     def __init__(self, path: str):
-        self.bpe = PieceBpe(path)
-        self.pieces = Pieces(self._ids)
+        self.splitter = PieceSplitter(path)
+        self.merges = self.splitter.library.model
+        self.pieces = Pieces(self._ids, PIECES)
+        self.wide = "<u4" if max(self.splitter.library.get_vocab().values()) >= 1 << 16 else "<u2"
 
     def _ids(self, piece: str | None) -> bytes:
-        mapped = piece[1:] if piece[:1] == "\0" else self.bpe.mapped(piece)
-        return array("I", [self.bpe.ids[t] for t in self.bpe.prefix_tokens(mapped, every=False)[1]]).tobytes()
+        mapped = piece[1:] if piece[:1] == "\0" else self.splitter.mapped(piece)
+        return array("I", [t.id for t in self.merges.tokenize(mapped)]).tobytes()
 
     def ids(self, text: str) -> np.ndarray:
-        pieces = self.bpe.pieces(text)
+        pieces = self.splitter.pieces(text)
         if None in pieces:  # special strings: the library knows their ids
-            return np.array(self.bpe.library.encode(text, add_special_tokens=False).ids, "<u4")
+            return np.array(self.splitter.library.encode(text, add_special_tokens=False).ids, "<u4")
         return np.frombuffer(b"".join(map(self.pieces.__getitem__, pieces)), "<u4")
 
 
@@ -110,7 +114,7 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, projection = _encoder(path), _projection()
-        wide = "<u4" if max(encoder.bpe.ids.values()) + len(encoder.bpe.specials) >= 1 << 16 else "<u2"
+        wide = encoder.wide
         for batch in batches:
             for start in range(0, batch.num_rows, 1000):
                 part = batch.slice(start, 1000)

@@ -72,8 +72,8 @@ class Pieces(dict):
         return value
 
 
-class PieceBpe:
-    """Byte-pair merges of a tokenizers file with end-of-word marks."""
+class PieceSplitter:
+    """Pieces of texts, as the pre-tokenizer of a tokenizers file makes them."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -82,7 +82,37 @@ class PieceBpe:
         self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             said = json.load(f)
-        model = said["model"]
+        self.specials = sorted((t["content"] for t in said["added_tokens"]), key=len, reverse=True)
+        self.special = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")") if self.specials else None
+        self.split = regex.compile(next(p["pattern"]["Regex"] for p in said["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"))
+        plain = self.split.pattern.replace(r"\p{L}", PLAIN_LETTERS).replace(r"\p{N}", PLAIN_DIGITS)
+        self.split_plain = self.split if r"\p" in plain else re.compile(plain)
+        self.symbols = byte_symbols()
+
+    def mapped(self, piece: str) -> str:
+        return piece if piece.isascii() and piece.isalnum() else "".join(map(self.symbols.__getitem__, piece.encode()))
+
+    def pieces(self, text: str) -> list[str]:
+        """Pieces of a text, specials apart; a special string stands as ``None``."""
+        if PLAIN.fullmatch(text) and not (self.special and "<|" in text and self.special.search(text)):
+            return self.split_plain.findall(text.lower())
+        out: list[str | None] = []
+        for i, part in enumerate(self.special.split(text) if self.special else [text]):
+            if i % 2:
+                out.append(None)
+            elif part:
+                norm = self.library.normalizer.normalize_str(part)
+                out += ["\0" + p for p, _ in self.library.pre_tokenizer.pre_tokenize_str(norm)]  # byte symbols already
+        return out
+
+
+class PieceBpe(PieceSplitter):
+    """Byte-pair merges of a tokenizers file with end-of-word marks."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
         self.end = model["end_of_word_suffix"] or ""
         self.ids = model["vocab"]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
@@ -96,12 +126,6 @@ class PieceBpe:
             if not t.endswith(self.end):
                 self.ending.add_word(t, (t, len(t)))
         self.ending.make_automaton()
-        self.specials = sorted((t["content"] for t in said["added_tokens"]), key=len, reverse=True)
-        self.special = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")") if self.specials else None
-        self.split = regex.compile(next(p["pattern"]["Regex"] for p in said["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"))
-        plain = self.split.pattern.replace(r"\p{L}", PLAIN_LETTERS).replace(r"\p{N}", PLAIN_DIGITS)
-        self.split_plain = self.split if r"\p" in plain else re.compile(plain)
-        self.symbols = byte_symbols()
         self.fits = Pieces(self._fits, PIECES)
 
     def _fits(self, pair: tuple[str, str]) -> bool:
@@ -119,9 +143,6 @@ class PieceBpe:
             else:  # of two equal merges the left one came first
                 limit, b = right[0] + 1, right[1]
 
-    def mapped(self, piece: str) -> str:
-        return piece if piece.isascii() and piece.isalnum() else "".join(map(self.symbols.__getitem__, piece.encode()))
-
     def prefix_tokens(self, piece: str, every: bool = True) -> tuple[list[int], list[str]]:
         """For byte symbols: token count of each prefix (0 bytes, 1 byte, ...), and the tokens of the whole piece."""
         n, ids, fits, end = len(piece), self.ids, self.fits, self.end
@@ -148,20 +169,6 @@ class PieceBpe:
     def count(self, piece: str) -> int:
         return self.prefix_tokens(self.mapped(piece), every=False)[0][-1]
 
-    def pieces(self, text: str) -> list[str]:
-        """Pieces of a text, specials apart; a special string stands as ``None``."""
-        if PLAIN.fullmatch(text) and not (self.special and "<|" in text and self.special.search(text)):
-            return self.split_plain.findall(text.lower())
-        out: list[str | None] = []
-        for i, part in enumerate(self.special.split(text) if self.special else [text]):
-            if i % 2:
-                out.append(None)
-            elif part:
-                norm = self.library.normalizer.normalize_str(part)
-                out += ["\0" + p for p, _ in self.library.pre_tokenizer.pre_tokenize_str(norm)]  # byte symbols already
-        return out
-
-
 class PrefixCounter:
     """Counts at prefixes of texts."""
 
