@@ -165,6 +165,13 @@ def allowed_prefix_topk(spark, d):
     return _index(spark, d).search(asked(spark, d), "bm25", 10, allowed=500)
 
 
+@query()
+def allowed_share_topk(spark, d):
+    """The corpus restricted to the first half of its positions, however many there are."""
+    last = table(spark, d, "documents").agg(F.max("doc_id")).first()[0]
+    return _index(spark, d).search(asked(spark, d), "bm25", 10, allowed=((last if last is not None else -1) + 2) // 2)
+
+
 def _tfidf_sql(grams: str, min_df: int, most: str) -> str:
     return f"""
 WITH {ITEMS},
@@ -372,6 +379,13 @@ def dense_topk(spark, d):
     return dense.dense_top_k(e.where("vec_id < 20").withColumnRenamed("vec_id", "qid"), e.where("vec_id >= 20").withColumnRenamed("vec_id", "item_idx"), 10)
 
 
+@query()
+def dense_topk_all(spark, d):
+    """Every vector whose id is divisible by 20, against all vectors."""
+    e = table(spark, d, "embeddings").select("vec_id", "embedding")
+    return dense.dense_top_k(e.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "qid"), e.withColumnRenamed("vec_id", "item_idx"), 10)
+
+
 @query("""
 SELECT count(*) AS n_vectors, CAST(sum(CASE WHEN len(embedding) <> 64 THEN 1 ELSE 0 END) AS BIGINT) AS wrong_size, CAST(0 AS BIGINT) AS not_finite,
        CAST(sum(CASE WHEN abs(sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) - 1) > 0.0001 THEN 1 ELSE 0 END) AS BIGINT) AS not_unit FROM embeddings""")
