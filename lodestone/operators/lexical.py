@@ -9,16 +9,18 @@ from ..functions.text import bigrams, char_grams, tokens
 from .topk import top_k
 
 K1, B = 1.2, 0.65
+#: The reference's limits, off unless they are asked for.
 DESCRIPTION_CHARS = 3000
 MOST_CHAR_GRAMS = 250_000
 
 
-def field_text(title: Column, params: Column, description: Column | None = None) -> Column:
-    """Title and parameters; with a description, title three times, parameters twice, and its first part."""
+def field_text(title: Column, params: Column, description: Column | None = None, chars: int | None = None) -> Column:
+    """Title and parameters; with a description, title three times, parameters twice, and all of it (or its first ``chars``)."""
     empty = lambda c: F.coalesce(c, F.lit(""))
     if description is None:
         return F.concat_ws(" ", empty(title), empty(params))
-    return F.concat_ws(" ", *[empty(title)] * 3, *[empty(params)] * 2, F.substring(empty(description), 1, DESCRIPTION_CHARS))
+    body = empty(description) if chars is None else F.substring(empty(description), 1, chars)
+    return F.concat_ws(" ", *[empty(title)] * 3, *[empty(params)] * 2, body)
 
 
 def term_counts(df: DataFrame, key: str, terms: Column) -> DataFrame:
@@ -58,18 +60,21 @@ def term_scores(query_terms: DataFrame, postings: DataFrame, query_weight: str |
 
 
 class LexicalIndex:
-    """Word TF-IDF, BM25 and character TF-IDF of items (item_idx, title, params, description, location)."""
+    """Word TF-IDF, BM25 and character TF-IDF of items (item_idx, title, params, description, location).
 
-    def __init__(self, items: DataFrame, k1: float = K1, b: float = B):
+    Whole descriptions and all character n-grams, unless ``description_chars`` or ``most_char_grams`` limits them.
+    """
+
+    def __init__(self, items: DataFrame, k1: float = K1, b: float = B, description_chars: int | None = None, most_char_grams: int | None = None):
         self.items, self.n = items, items.count()
         short = tokens(field_text(F.col("title"), F.col("params")))
-        full = tokens(field_text(F.col("title"), F.col("params"), F.col("description")))
+        full = tokens(field_text(F.col("title"), F.col("params"), F.col("description"), description_chars))
         self.bm25 = bm25_postings(term_counts(items, "item_idx", full), self.n, k1=k1, b=b)
         words = term_counts(items, "item_idx", bigrams(short))
         self.word_idf = smooth_idf(words, self.n)
         self.word = tfidf_postings(words, self.word_idf, "item_idx")
         chars = term_counts(items, "item_idx", char_grams(short))
-        self.char_idf = smooth_idf(chars, self.n, min_df=2, most=MOST_CHAR_GRAMS)
+        self.char_idf = smooth_idf(chars, self.n, min_df=2, most=most_char_grams)
         self.char = tfidf_postings(chars, self.char_idf, "item_idx")
 
     def scores(self, queries: DataFrame, channel: str) -> DataFrame:
