@@ -296,7 +296,7 @@ def smoothed_local_rate(spark, d):
 
 
 def _behavior_queries(spark, d):
-    return table(spark, d, "benchmark").select(F.col("item_id").alias("qid"), F.array_join(F.slice(tokens(F.col("text")), 1, 6), " ").alias("text"), F.lit("").alias("context"), F.lit("PROMO").alias("filter"))
+    return table(spark, d, "benchmark").select(F.col("item_id").alias("qid"), normalized(F.col("text")).alias("text"), F.lit("").alias("context"), F.lit("PROMO").alias("filter"))
 
 
 @query()
