@@ -5,7 +5,9 @@ parsed with it into phrases, each the longest piece from where the last ended
 that occurs in the language's sample; the language that needs the fewest
 phrases a character wins. Many texts are parsed at once: an automaton is a
 table (state, letter) -> state, and all lanes of a batch step through it
-together. A text is parsed in lanes of ``LANE`` characters, so a long one
+together. Each code point of the samples is a letter of its own: the frequent
+ones have a column in the table, transitions by others are a sorted list that
+is searched, so large scripts need no more room than their samples. A text is parsed in lanes of ``LANE`` characters, so a long one
 doesn't hold up the others; a phrase ends at the end of a lane.
 
 Bounds: ``SAMPLE_CHARS`` characters of labelled text in all, shared evenly
@@ -38,52 +40,72 @@ SAMPLE_CHARS = 160_000
 MOST_CHARS = 24_000
 SLICE = 1_000
 LANE = 4096
-#: Letters with a column of their own in an automaton; rarer ones share the last.
+#: Columns of an automaton's table: the most frequent letters have one each, the last is empty and stands for all others.
 LETTERS = 96
 SCORED = regex.compile(r"\p{L}")
 
 
-def suffix_automaton(text: np.ndarray, letters: int) -> np.ndarray:
-    """Transition table of the automaton of all substrings (-1: none); state 0 is the start, the last state has no way out."""
+def suffix_automaton(text: np.ndarray, letters: int) -> tuple[np.ndarray, dict[int, dict[int, int]]]:
+    """Transitions of the automaton of all substrings; state 0 is the start, the last state has no way out.
+
+    A table of those by codes below ``letters - 1`` (-1: none), and by state those of larger codes.
+    """
     table = np.full((2 * len(text) + 2, letters), -1, dtype=np.int32)
+    rare: dict[int, dict[int, int]] = {}
     link, length = [-1] * len(table), [0] * len(table)
-    n, last = 1, 0
+    n, last, common = 1, 0, letters - 1
     for c in text.tolist():
         new, n = n, n + 1
         length[new] = length[last] + 1
-        p = last
-        while p != -1 and table[p, c] < 0:
-            table[p, c] = new
+        p, to = last, -1
+        while p != -1:
+            to = int(table[p, c]) if c < common else rare.get(p, {}).get(c, -1)
+            if to >= 0:
+                break
+            if c < common:
+                table[p, c] = new
+            else:
+                rare.setdefault(p, {})[c] = new
             p = link[p]
         if p == -1:
             link[new] = 0
+        elif length[p] + 1 == length[to]:
+            link[new] = to
         else:
-            q = int(table[p, c])
-            if length[p] + 1 == length[q]:
-                link[new] = q
-            else:
-                copy, n = n, n + 1
-                length[copy], link[copy] = length[p] + 1, link[q]
-                table[copy] = table[q]
-                while p != -1 and table[p, c] == q:
+            copy, n = n, n + 1
+            length[copy], link[copy] = length[p] + 1, link[to]
+            table[copy] = table[to]
+            if to in rare:
+                rare[copy] = dict(rare[to])
+            while p != -1 and (int(table[p, c]) if c < common else rare.get(p, {}).get(c, -1)) == to:
+                if c < common:
                     table[p, c] = copy
-                    p = link[p]
-                link[q] = link[new] = copy
+                else:
+                    rare[p][c] = copy
+                p = link[p]
+            link[to] = link[new] = copy
         last = new
-    return table[: n + 1].copy()  # the last row is a dead end: after it every letter begins a phrase
+    return table[: n + 1].copy(), rare  # the last row is a dead end: after it every letter begins a phrase
 
 
 class Model:
-    """Automata of all languages over one alphabet."""
+    """Automata of all languages over one alphabet: the code points of all samples, and one code that no automaton has."""
 
     def __init__(self, samples: dict[str, str]):
         self.languages = sorted(samples)
         points = np.concatenate([np.frombuffer(samples[x].lower().encode("utf-32-le"), "<u4") for x in self.languages])
         values, counts = np.unique(points, return_counts=True)
-        kept = np.sort(values[np.argsort(-counts, kind="stable")[: LETTERS - 1]])
-        self.codes = np.full(0x110000, LETTERS - 1, np.uint8)
-        self.codes[kept] = np.arange(len(kept))
-        self.tables = [suffix_automaton(self.encode(samples[x]), LETTERS) for x in self.languages]
+        order = values[np.argsort(-counts, kind="stable")]
+        common = LETTERS - 1
+        self.unseen = max(common, len(order))
+        self.codes = np.full(0x110000, self.unseen, np.uint16 if self.unseen < 1 << 16 else np.uint32)
+        self.codes[order] = np.arange(len(order))
+        self.tables, self.rare = [], []
+        for x in self.languages:
+            table, rare = suffix_automaton(self.encode(samples[x]), LETTERS)
+            ways = sorted((state * (self.unseen + 1) + c, to) for state, by in rare.items() for c, to in by.items())
+            self.tables.append(table)
+            self.rare.append((np.array([k for k, _ in ways], np.int64), np.array([to for _, to in ways], np.int32)))
 
     def encode(self, text: str) -> np.ndarray:
         return self.codes[np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")]
@@ -101,17 +123,37 @@ class Model:
         flat = np.concatenate([lanes[i] for i in order])
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         live = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")  # lanes longer than each step
+        common, unseen = LETTERS - 1, self.unseen
+        large = bool((flat >= common).any())
+        columns = np.minimum(flat, common).astype(np.uint8)
         for k, table in enumerate(self.tables):
             rows, width, dead = table.reshape(-1), table.shape[1], len(table) - 1
+            keys, goals = self.rare[k]
+
+            def by_rare(states: np.ndarray, letters: np.ndarray, keys=keys, goals=goals) -> np.ndarray:
+                """Where rare letters lead to (-1: nowhere)."""
+                wanted = states.astype(np.int64) * (unseen + 1) + letters
+                at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+                return np.where(keys[at] == wanted, goals[at], -1)
+
+            start = np.full(unseen + 1, dead, np.int64)  # a letter that the language lacks is a phrase of its own
+            start[:common] = np.where(table[0, :common] < 0, dead, table[0, :common])
+            if len(keys):
+                first = by_rare(np.zeros(unseen + 1 - common, np.int64), np.arange(common, unseen + 1))
+                start[common:] = np.where(first < 0, dead, first)
             state, count = np.full(len(sizes), dead), np.zeros(len(sizes), np.int64)
             for t in range(sizes[0]):
                 n = live[t]
-                letter = flat[starts[:n] + t]
-                now = rows[state[:n] * width + letter]
+                at = starts[:n] + t
+                now = rows[state[:n] * width + columns[at]]
+                if large and len(keys):
+                    letter = flat[at]
+                    is_rare = np.flatnonzero(letter >= common)
+                    if len(is_rare):
+                        now[is_rare] = by_rare(state[is_rare], letter[is_rare])
                 begins = np.flatnonzero(now < 0)  # a phrase ends before this letter and the next begins with it
                 count[begins] += 1
-                first = rows[letter[begins]]
-                now[begins] = np.where(first < 0, dead, first)  # a letter that the language lacks is a phrase of its own
+                now[begins] = start[flat[at[begins]]]
                 state[:n] = now
             np.add.at(out[:, k], owner[order], count)
         return out
