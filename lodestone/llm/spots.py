@@ -6,12 +6,18 @@ among the ``REACH`` words after it, common words skipped. Anchor and chain
 hash to a signature; the set of signatures, sorted, is the fingerprint. Common
 words stand where an author's prose is, so the set follows the prose.
 
+Where chains are rare, text of any other language, code or lists, the set has
+the hashes of all runs of ``SHINGLE`` words too: over the whole of a text with
+less than a chain in ``SPARSE`` words, else over every stretch of more than
+``STRETCH`` words without an anchor. In scripts written without spaces each
+character is a word.
+
 Sets are compared by Jaccard. Two sets can only reach a similarity if their
 sizes are close, so near duplicates are sought within partitions of set size,
 and among those only between sets that share one of their rarest signatures.
 
-Defined results: a null text counts as empty; a text without a chain has one
-signature, the hash of all of it, so equal texts are alike and others are not;
+Defined results: a null text counts as empty; a text with neither chain
+nor run of words has one signature, the hash of all of it;
 a null doc_id comes last in the order of documents; documents with equal
 doc_id are ordered by a hash of their text; the document after the last is the
 first, which may be the document itself; an empty table gives an empty result.
@@ -35,22 +41,47 @@ ANCHORS = (
 ).split()
 CHAIN = 2
 REACH = 8
+SHINGLE = 4
+SPARSE = 50
+STRETCH = 100
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+WORDS_END = rf"[^\p{{L}}\p{{N}}]+|(?<={UNSPACED})(?=[\p{{L}}\p{{N}}])|(?<=[\p{{L}}\p{{N}}])(?={UNSPACED})"
 CHARS_PER_PART = 16_000_000
 MOST_PARTS = 10_000
 
 
+def once(value: Column, f) -> Column:
+    """``f`` of a value that is made once, however often ``f`` names it."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
+def shingles(ws: Column) -> Column:
+    """Hashes of all runs of ``SHINGLE`` words."""
+    starts = F.when(F.size(ws) >= SHINGLE, F.sequence(F.lit(0), F.size(ws) - SHINGLE)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.xxhash64(*[F.get(ws, i + k) for k in range(SHINGLE)]))
+
+
 def signatures(text: Column) -> Column:
     """Sorted distinct signatures of a text, an ``array<bigint>`` with one element at least."""
-    words = F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
+    words = F.array_remove(F.split(F.lower(text), WORDS_END), "")
     common = lambda w: w.isin(*sorted(set(ANCHORS)))
 
-    def chains(ws: Column) -> Column:
-        at = F.filter(F.transform(ws, lambda w, i: F.when(common(w), i + 1).otherwise(0)), lambda i: i > 0)
+    def chains(ws: Column, at: Column) -> Column:
         each = F.transform(at, lambda i: F.concat(F.slice(ws, i, 1), F.slice(F.filter(F.slice(ws, i + 1, REACH), lambda w: ~common(w)), 1, CHAIN)))
         return F.transform(F.filter(each, lambda c: F.size(c) == CHAIN + 1), lambda c: F.xxhash64(c))
 
-    found = F.get(F.transform(F.array(words), chains), 0)  # words are made once
-    return F.get(F.transform(F.array(F.array_sort(F.array_distinct(found))), lambda s: F.when(F.size(s) > 0, s).otherwise(F.array(F.xxhash64(text)))), 0)
+    def stretches(ws: Column, marks: Column) -> Column:
+        gaps = F.transform(marks, lambda m, i: F.struct((m + 1).alias("start"), (F.coalesce(F.get(marks, i + 1), m) - m - 1).alias("n")))
+        return F.flatten(F.transform(F.filter(gaps, lambda g: g["n"] > STRETCH), lambda g: once(F.slice(ws, g["start"], g["n"]), shingles)))
+
+    def of(ws: Column) -> Column:
+        def given(at: Column) -> Column:
+            between = once(F.concat(F.array(F.lit(0)), at, F.array(F.size(ws) + 1)), lambda marks: stretches(ws, marks))
+            return once(chains(ws, at), lambda found: F.concat(found, F.when(F.size(found) * SPARSE < F.size(ws), shingles(ws)).otherwise(between)))
+
+        return once(F.filter(F.transform(ws, lambda w, i: F.when(common(w), i + 1).otherwise(0)), lambda i: i > 0), given)
+
+    return once(F.array_sort(F.array_distinct(once(words, of))), lambda s: F.when(F.size(s) > 0, s).otherwise(F.array(F.xxhash64(text))))
 
 
 def jaccard(a: Column, b: Column) -> Column:

@@ -2,7 +2,6 @@
 
 import random
 
-import corpus_pipeline as pipeline
 from pyspark.sql import functions as F
 
 from lodestone.llm import langid, spots
@@ -32,3 +31,21 @@ def test_two_languages_of_one_large_script():
     assert model.phrases(texts).tolist() == want
     asked = [(x, write(x, 15)) for x in ("ja", "zh") for _ in range(50)]
     assert model.predict([t for _, t in asked])[0] == [x for x, _ in asked]
+
+
+def test_near_copies_in_any_language(spark):
+    rng = random.Random(4)
+    ru = [rng.choice("бвгдклмн") + "".join(rng.choices("аеиолнрст", k=5)) for _ in range(300)]
+    zh = "".join(chr(0x4E00 + rng.randrange(2000)) for _ in range(300))
+    code = [f"x{rng.randrange(10**6)} = f{rng.randrange(10**6)}(y{i})" for i in range(100)]
+    prose = "the river and the stone of a mountain in the valley with old trees " * 8
+    pairs = {
+        "ru": (" ".join(ru), " ".join(ru[:150] + ["слово"] + ru[151:])),
+        "zh": (zh, zh[:150] + "\u9fa0" + zh[151:]),
+        "code": ("\n".join(code), "\n".join(code[:50] + ["other = 1"] + code[51:])),
+        "part": (prose + " ".join(ru), prose + " ".join(ru[:150] + ["слово"] + ru[151:])),
+        "other": (prose + " ".join(ru), prose + " ".join(reversed(ru))),
+    }
+    rows = spark.createDataFrame([(k, a, b) for k, (a, b) in pairs.items()], "name string, a string, b string")
+    got = {r.name: r.j for r in rows.select("name", spots.jaccard(spots.signatures(F.col("a")), spots.signatures(F.col("b"))).alias("j")).collect()}
+    assert all(0.9 < got[k] < 1 for k in ("ru", "zh", "code", "part")) and got["other"] < 0.2
