@@ -1,8 +1,7 @@
 """A corpus pipeline of the operators of ``lodestone.llm``.
 
 Each stage takes all that its predecessor kept. The stages but the last return
-the columns of documents: language ID drops documents in which no language can
-be told, exact dedup keeps the first of equal texts, near dedup keeps one
+the columns of documents: language ID drops documents without a letter, exact dedup keeps the first of equal texts, near dedup keeps one
 document of each SimHash component, the mix repeats or leaves out documents so
 that sources come to their target sizes, and packing returns the pieces.
 """
@@ -17,8 +16,11 @@ from lodestone.llm._common import documents, materialize
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; a text without a letter is rejected."""
-    told = langid.identify(docs, langid.samples(docs))
+    """Rejects null texts and those without a letter, also where no labelled row teaches a language; a predicted language or score rejects none."""
+    learned = langid.samples(docs)
+    if not learned:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    told = langid.identify(docs, learned)
     return told.where(F.col("__lang.lang_pred") != langid.UNKNOWN).select(*docs.columns)
 
 

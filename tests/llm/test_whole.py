@@ -2,6 +2,7 @@
 
 import random
 
+import corpus_pipeline as pipeline
 from pyspark.sql import functions as F
 
 from lodestone.llm import langid, spots
@@ -49,3 +50,12 @@ def test_near_copies_in_any_language(spark):
     rows = spark.createDataFrame([(k, a, b) for k, (a, b) in pairs.items()], "name string, a string, b string")
     got = {r.name: r.j for r in rows.select("name", spots.jaccard(spots.signatures(F.col("a")), spots.signatures(F.col("b"))).alias("j")).collect()}
     assert all(0.9 < got[k] < 1 for k in ("ru", "zh", "code", "part")) and got["other"] < 0.2
+
+
+def test_pipeline_without_labels(spark, tmp_path):
+    rows = [(0, "a clean text", None, "s", 12), (1, "еще один текст", None, "s", 14), (2, "123 !!!", None, "s", 7), (3, None, None, "s", None), (4, "", None, None, 0)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert sorted(r.doc_id for r in pipeline.language(spark, docs, "").collect()) == [0, 1]
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    assert {r.doc_id for r in pipeline.run(spark, str(tmp_path)).collect()} <= {0, 1}
+    assert pipeline.run(spark, str(tmp_path)).count() > 0
