@@ -19,23 +19,74 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: A key of more rows than this is dealt to ``SALTS`` tasks by :func:`spread_join`; at most ``HOT_KEYS`` keys, the most frequent ones.
+HOT_ROWS = 500
+HOT_KEYS = 10_000
+SALTS = 64
+
+
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a folder of its own only where none is set."""
+    """The shared folder of the cluster; a folder of its own only where none is set and all tasks run in this process."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="lodestone-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/") + "/lodestone"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, so that later steps don't recompute it."""
+def materialize(df: DataFrame, label: str, *done_with: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back, so that later steps don't recompute it.
+
+    Tables of earlier calls in ``done_with``, which nothing needs from here on, are deleted.
+    """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    for old in done_with:
+        discard(old)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a materialised table."""
+    spark = df.sparkSession
+    base = scratch_dir(spark)
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if path.toString().split(":", 1)[-1].lstrip("/").startswith(base.split(":", 1)[-1].lstrip("/")):
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """The names, each with as many underscores as it takes to differ from all ``columns``."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def hot_keys(rows: DataFrame, key: str) -> list[int]:
+    """Keys (long) of more than ``HOT_ROWS`` rows, the ``HOT_KEYS`` most frequent at most."""
+    n = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > HOT_ROWS)
+    return [r[0] for r in n.orderBy(F.desc("n_rows"), key).limit(HOT_KEYS).collect()]
+
+
+def spread_join(many: DataFrame, one: DataFrame, on: list[str], hot: list[int], by: Column, how: str = "inner") -> DataFrame:
+    """``many`` joined to ``one``, which has few rows a key; rows of ``many`` with a hot ``on[0]`` are dealt to ``SALTS`` tasks by ``by``."""
+    if not hot:
+        return many.join(one, on, how)
+    [salt] = fresh([*many.columns, *one.columns], "salt")
+    is_hot = F.col(on[0]).isin(hot)
+    dealt = many.withColumn(salt, F.when(is_hot, F.pmod(F.xxhash64(by), F.lit(SALTS))).otherwise(F.lit(0)).cast("int"))
+    every = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return dealt.join(one.withColumn(salt, F.explode(every)), [*on, salt], how).drop(salt)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, "documents.parquet"))
 
