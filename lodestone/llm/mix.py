@@ -4,13 +4,20 @@ Sources in code-point order (null last) get the weights 5, 2, 1, repeating.
 They share ``BUDGET`` times all words; a source stops at ``MOST`` times its own
 size and what it can't take is shared again by weight until none is above.
 A document of a source then has the copy number target / size: the whole part
-is sure, the fraction is a probability. Pivotal steps round the fractions:
-two open documents of a source exchange word mass at random, so that the
-expectation of each stays and their common mass stays exactly, until one of
-them is 0 or 1. Groups of about ``GROUP`` open documents leave one open
-document each; these residuals meet in groups again, up a reduction tree. The
-last open document of a source is rounded to the nearer side, so a source's
-taken words differ from its target by half the size of one document at most.
+is sure, the fraction is a probability. Pivotal steps round the fractions: two open units of a source exchange word
+mass at random, so that the expectation of each stays and their common mass
+stays exactly, until one of them is 0 or 1.
+
+Large documents come first, those of more than 1 / ``LARGE`` of their source's
+words, of which a source has fewer than ``LARGE``. Each in turn, the largest
+first, is paired with all that is still open below it, taken as one unit
+whose members share what it gains or loses; so it is settled unless too
+little is left below. Then groups of about ``GROUP`` open documents leave one
+open document each; these residuals meet in groups again, up a reduction tree.
+The last open document of a source is rounded to the nearer side. It is a
+small one, so a source's taken words differ from its target by 1 / (2
+``LARGE``) of its size at most, unless a source has hardly any small documents:
+then by half of one document.
 
 All draws hash identifiers and ``SEED``: reruns and retried tasks agree.
 
@@ -25,12 +32,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import documents, materialize, number_rows, word_count
+from ._common import documents, fresh, materialize, number_rows, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)
 BUDGET = 1.5
 MOST = 2.0
 GROUP = 48
+LARGE = 400
 SEED = 20_011
 #: A table of sources up to this many rows is broadcast; a larger one is joined by shuffle.
 BROADCAST_SOURCES = 100_000
@@ -87,6 +95,27 @@ def _settle(group: Column) -> Column:
     return F.aggregate(F.slice(group, 2, F.greatest(F.size(group) - 1, F.lit(0))), start, step)
 
 
+def _settle_large(items: Column, p: Column, words: Column) -> Column:
+    """Large documents (sorted, the largest first) against all open below them: the settled ones, and the fraction of the rest.
+
+    All open documents of a source have one fraction p, so the unit of all
+    below is told by p and its words.
+    """
+
+    def step(acc: Column, x: Column) -> Column:
+        rest, p = acc["words"] - x["w"], acc["p"]
+        mass, below = p * x["w"], p * rest
+        gain, loss = F.least(x["w"] - mass, below), F.least(mass, rest - below)
+        up = _uniform(x["h"], F.lit(SEED + 1)) * (gain + loss) < loss
+        moved = F.when(up, gain).otherwise(-loss)
+        done = F.struct(x["doc_id"].alias("doc_id"), x["size"].alias("size"), x["rows"].alias("rows"), ((mass + moved) * 2 >= x["w"]).alias("one"))
+        left = F.when(rest > 0, F.least(F.greatest((below - moved) / rest, F.lit(0.0)), F.lit(1.0))).otherwise(0.0)
+        return F.struct(left.alias("p"), rest.alias("words"), F.concat(acc["done"], F.array(done)).alias("done"))
+
+    none = F.array().cast("array<struct<doc_id:bigint,size:bigint,rows:bigint,one:boolean>>")
+    return F.aggregate(items, F.struct(p.alias("p"), words.alias("words"), none.alias("done")), step)
+
+
 def round_copies(sized: DataFrame) -> DataFrame:
     """(doc_id, source, size, rows, source_size, target, copies): one row per unit of equal rows.
 
@@ -94,23 +123,25 @@ def round_copies(sized: DataFrame) -> DataFrame:
     """
     targets, n_sources = source_targets(sized)
     targets = materialize(targets, "mix-targets")
+    small = n_sources <= BROADCAST_SOURCES  # a row a source
+    by_source = lambda rows, side: rows.alias("u").join(F.broadcast(side.alias("t")) if small else side.alias("t"), F.col("u.source").eqNullSafe(F.col("t.source")), "left")
     units = sized.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("rows"))
-    side = F.broadcast(targets) if n_sources <= BROADCAST_SOURCES else targets
-    units = units.alias("u").join(side.alias("t"), F.col("u.source").eqNullSafe(F.col("t.source"))).select("u.*", "source_size", "n_rows", "target")
+    units = by_source(units, targets).select("u.*", "source_size", "n_rows", "target")
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    units = units.withColumns({"base": F.floor(share), "p": share - F.floor(share)})
+    units = units.withColumns({"base": F.floor(share), "p": share - F.floor(share), "w": (F.col("size") * F.col("rows")).cast("double"), "h": F.xxhash64("doc_id", "size", "source", F.lit(SEED))})
     units = materialize(units, "mix-units")
     is_open = (F.col("p") > 0) & (F.col("size") > 0)
-    weight = (F.col("size") * F.col("rows")).cast("double")
-    level = units.where(is_open).select(
-        "source",
-        F.struct(
-            F.xxhash64("doc_id", "size", "source", F.lit(SEED)).alias("h"), "doc_id", "size", "rows", weight.alias("w"), (weight * F.col("p")).alias("mass")
-        ).alias("item"),
-        F.ceil(F.col("n_rows") / GROUP).alias("buckets"),
-    )
+    is_large = F.col("w") * LARGE > F.col("source_size")
+    item = F.struct((-F.col("w")).alias("order"), "h", "doc_id", "size", "rows", "w")
+    large = units.where(is_open & is_large).groupBy("source").agg(F.array_sort(F.collect_list(item)).alias("items"), F.max("p").alias("p"), F.max("source_size").cast("double").alias("words"))
+    large = materialize(large.select("source", _settle_large(F.col("items"), F.col("p"), F.col("words")).alias("out")), "mix-large")
+    settled = [large.select("source", F.explode("out.done").alias("d")).select("source", "d.*")]
+    fractions = large.select("source", F.col("out.p").alias("p_left"))
+    level = by_source(units.where(is_open & ~is_large), fractions).select("u.*", (F.col("w") * F.coalesce("p_left", "p")).alias("mass"))
+    item = F.struct("h", "doc_id", "size", "rows", "w", "mass")
+    level = level.select("source", item.alias("item"), F.ceil(F.col("n_rows") / GROUP).alias("buckets"))
     most = targets.agg(F.max("n_rows")).first()[0] or 0
-    buckets, settled = -(-most // GROUP), []
+    buckets = -(-most // GROUP)
     while True:
         bucket = F.pmod(F.xxhash64("item.h", F.lit(len(settled) + SEED)), F.col("buckets"))
         merged = level.groupBy("source", bucket.alias("bucket"), "buckets").agg(_settle(F.array_sort(F.collect_list("item"))).alias("out"))
@@ -120,11 +151,10 @@ def round_copies(sized: DataFrame) -> DataFrame:
         if buckets <= 1:
             break
         buckets = -(-buckets // GROUP)
-    last = level.select("source", "item.doc_id", "item.size", "item.rows", (F.col("item.mass") * 2 >= F.col("item.w")).alias("one"))
-    drawn = last
+    drawn = level.select("source", "item.doc_id", "item.size", "item.rows", (F.col("item.mass") * 2 >= F.col("item.w")).alias("one"))
     for part in settled:
         drawn = drawn.unionByName(part)
-    drawn = drawn.alias("d").join(side.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source"))).select("d.*", "source_size", "target")
+    drawn = by_source(drawn, targets).select("u.*", "source_size", "target")
     share = F.floor(F.col("target") / F.col("source_size"))
     names = ["doc_id", "source", "size", "rows", "source_size", "target"]
     sure = units.where(~is_open).select(*names, F.when(F.col("size") > 0, F.col("base")).otherwise(F.when(F.col("source_size") > 0, F.col("base")).otherwise(1)).cast("int").alias("copies"))
@@ -137,14 +167,15 @@ def sized_rows(docs: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, with their own columns only."""
-    copies = round_copies(sized_rows(docs)).where("copies > 0").select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), F.col("copies").alias("__copies"))
-    keyed = docs.withColumn("__words", word_count())
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & F.col("source").cast("string").eqNullSafe(F.col("__source")) & (F.col("__words") == F.col("__size"))
+    id_, source, size, n, words, copy = fresh(docs.columns, "unit_id", "unit_source", "unit_size", "copies", "words", "copy")
+    copies = round_copies(sized_rows(docs)).where("copies > 0").select(F.col("doc_id").alias(id_), F.col("source").alias(source), F.col("size").alias(size), F.col("copies").alias(n))
+    keyed = docs.withColumn(words, word_count())
+    on = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & keyed["source"].cast("string").eqNullSafe(F.col(source)) & (F.col(words) == F.col(size))
     taken = keyed.join(copies, on)
-    return taken.withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    return taken.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*docs.columns)
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     units = round_copies(sized_rows(documents(spark, sf_dir)))
-    rows = units.withColumn("__n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
+    rows = units.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "source", "copies")
