@@ -11,13 +11,21 @@ their own merges, undone from the latest to the earliest, meet no earlier
 merge across the border). One table for open prefixes (no end mark) and one
 step with the end mark give the counts of all prefixes of a piece in one pass.
 
-Tables are kept for each distinct piece, up to ``PIECES`` of them in a worker.
+A text's table is kept as steps, the change of the count from each prefix to
+the next, joined from the steps of its pieces; its sums answer how many tokens
+there are, whether a budget holds and where to cut, without a second encoding.
+The query reads all of its columns off that table, checkpoints of it included.
+
+Steps are kept for each distinct piece, up to ``PIECES`` of them in a worker.
+The work is in proportion to the text in every script; only characters that
+are not in composed form (NFC) are counted again for each cut, within their
+piece.
 
 Defined results: a null text counts as empty (0 bytes, 0 tokens); repeated
 rows are counted one by one; special strings inside a text are one token each,
 as the library takes them by default; texts with characters outside of
 ``PLAIN`` take the library's own normalizer and pre-tokenizer, others an equal
-and shorter way.
+and shorter way. Only tokenizer files of these normalizers are taken.
 """
 
 from __future__ import annotations
@@ -25,7 +33,9 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
+from itertools import accumulate, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +47,15 @@ from ._common import documents
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
+#: Characters between two checkpoints of a text's table.
+STRIDE = 1024
 #: Distinct pieces that a worker keeps tables of.
 PIECES = 400_000
+#: Longer pieces are rare and not kept.
+LONGEST_KEPT = 64
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+BLANKS = "\t\n\x0b\x0c\r "
+CHUNK = re.compile("[^\t\n\x0b\x0c\r ]+[\t\n\x0b\x0c\r ]*|[\t\n\x0b\x0c\r ]+")
 #: Letters of which lower case and composed form are plain in every Unicode version.
 PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-įı-ňŊ-ž]*")
 #: The letters and digits among these in lower case, as parts of a character class.
@@ -66,9 +83,11 @@ class Pieces(dict):
         self.make, self.most = make, most
 
     def __missing__(self, piece):
-        if len(self) >= self.most:
-            self.clear()
-        self[piece] = value = self.make(piece)
+        value = self.make(piece)
+        if piece is None or len(piece) <= LONGEST_KEPT:
+            if len(self) >= self.most:
+                self.clear()
+            self[piece] = value
         return value
 
 
@@ -82,6 +101,8 @@ class PieceSplitter:
         self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             said = json.load(f)
+        if [n["type"] for n in said["normalizer"].get("normalizers", [said["normalizer"]])] != NORMALIZERS:
+            raise ValueError(f"the tokenizer's normalizers must be {NORMALIZERS}")
         self.specials = sorted((t["content"] for t in said["added_tokens"]), key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")") if self.specials else None
         self.split = regex.compile(next(p["pattern"]["Regex"] for p in said["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"))
@@ -118,13 +139,16 @@ class PieceBpe(PieceSplitter):
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.rank = {m: r for r, m in enumerate(merges)}
         self.parts = {a + b: (r, a, b) for r, (a, b) in reversed(list(enumerate(merges)))}
-        self.longest = max(map(len, self.ids))
         import ahocorasick
 
-        self.ending = ahocorasick.Automaton()  # tokens without the end mark, found by where they end, the longest first
+        ends: dict[str, list[str | None]] = {}  # symbols -> the token of them inside a word, and at its end
         for t in self.ids:
-            if not t.endswith(self.end):
-                self.ending.add_word(t, (t, len(t)))
+            closed = bool(self.end) and t.endswith(self.end)
+            ends.setdefault(t[: -len(self.end)] if closed else t, [None, None])[closed] = t
+        self.ending = ahocorasick.Automaton()  # found by where they end, the longest first
+        for symbols, (inner, last) in ends.items():
+            if symbols:
+                self.ending.add_word(symbols, (inner, last, len(symbols)))
         self.ending.make_automaton()
         self.fits = Pieces(self._fits, PIECES)
 
@@ -143,74 +167,112 @@ class PieceBpe(PieceSplitter):
             else:  # of two equal merges the left one came first
                 limit, b = right[0] + 1, right[1]
 
-    def prefix_tokens(self, piece: str, every: bool = True) -> tuple[list[int], list[str]]:
-        """For byte symbols: token count of each prefix (0 bytes, 1 byte, ...), and the tokens of the whole piece."""
-        n, ids, fits, end = len(piece), self.ids, self.fits, self.end
+    def prefix_counts(self, piece: str) -> list[int]:
+        """For byte symbols: token count of each prefix (0 bytes, 1 byte, ...)."""
+        n, fits = len(piece), self.fits
         last, count = [""] * (n + 1), [0] * (n + 1)  # open prefixes: their last token, their number of tokens
-        closed, whole = [0] * (n + 1), ("", 0)
-        for at, (t, size) in self.ending.iter(piece):
+        closed = [0] * (n + 1)
+        for at, (inner, final, size) in self.ending.iter(piece):
             k, j = at + 1, at + 1 - size
-            if not count[k] and (j == 0 or fits[last[j], t]):
-                last[k], count[k] = t, count[j] + 1
-        for k in range(1, n + 1) if every else range(n, n + 1) if n else ():
-            for j in range(max(0, k - self.longest), k):
-                t = piece[j:k] + end
-                if t in ids and (j == 0 or fits[last[j], t]):
-                    closed[k], whole = count[j] + 1, (t, j)
-                    break
-        tokens, k = [], n
-        if n:
-            tokens, k = [whole[0]], whole[1]
-        while k:
-            tokens.append(last[k])
-            k -= len(last[k])
-        return closed, tokens[::-1]
-
-    def count(self, piece: str) -> int:
-        return self.prefix_tokens(self.mapped(piece), every=False)[0][-1]
+            if inner is not None and not count[k] and (not j or fits[last[j], inner]):
+                last[k], count[k] = inner, count[j] + 1
+            if final is not None and not closed[k] and (not j or fits[last[j], final]):
+                closed[k] = count[j] + 1
+        return closed
+
 
 class PrefixCounter:
     """Counts at prefixes of texts."""
 
     def __init__(self, path: str):
         self.bpe = PieceBpe(path)
-        self.counts = Pieces(self._count)
-
-    def _count(self, piece: str | None) -> int:
-        if piece is None:
-            return 1
-        return self.bpe.prefix_tokens(piece[1:], every=False)[0][-1] if piece[:1] == "\0" else self.bpe.count(piece)
+        plain = self.bpe.split_plain.pattern
+        self.spaced = (re if isinstance(self.bpe.split_plain, re.Pattern) else regex).compile(rf"(?:{plain})[{BLANKS}]*|[{BLANKS}]+")
+        self.plain_steps = Pieces(self._plain_steps)
+        self.chunk_steps = Pieces(self._chunk_steps)
+
+    @staticmethod
+    def _as_steps(counts: list[int]) -> bytes:
+        """Steps of counts (of the empty prefix first)."""
+        return array("h", [b - a for a, b in pairwise(counts)]).tobytes()
+
+    def _piece_counts(self, piece: str) -> list[int]:
+        """Counts of a piece of a normalised text at all its prefixes; a cut may part it (an apostrophe and a letter)."""
+        table = self.bpe.prefix_counts(self.bpe.mapped(piece))
+        if piece[0] == "'" and len(piece) > 1 and piece[1].isalpha():
+            return [0, *(self.total(piece[:k]) for k in range(1, len(piece))), table[-1]]
+        if len(table) == len(piece) + 1:
+            return table
+        return [0, *(table[e] for e in accumulate(len(c.encode()) for c in piece))]
+
+    def _plain_steps(self, spaced: str) -> bytes:
+        piece = spaced.rstrip(BLANKS)
+        steps = self._as_steps(self._piece_counts(piece)) if piece else b""
+        return steps + bytes(2 * (len(spaced) - len(piece)))
+
+    def _chunk_steps(self, chunk: str) -> bytes:
+        """Steps of a run without blanks, and of the blanks after it."""
+        word = chunk.rstrip(BLANKS)
+        steps = self._as_steps(self._word_counts(word)) if word else b""
+        return steps + bytes(2 * (len(chunk) - len(word)))
+
+    def _word_counts(self, word: str) -> list[int]:
+        special = self.bpe.special
+        if special and "<|" in word and special.search(word):
+            counts = [0]
+            parts = special.split(word)
+            for i in range(0, len(parts), 2):
+                base = counts[-1]
+                counts += [base + c for c in (self._word_counts(parts[i])[1:] if parts[i] else [])]
+                if i + 1 < len(parts):  # a cut special string is ordinary text, together with what stands before it
+                    counts += [base + self.total(parts[i] + parts[i + 1][:k]) for k in range(1, len(parts[i + 1]))]
+                    counts.append(base + (self.total(parts[i]) if parts[i] else 0) + 1)
+            return counts
+        library = self.bpe.library
+        norm, low = library.normalizer.normalize_str(word), [c.lower() for c in word]
+        if "".join(low) != norm:
+            return self._recounted(word)
+        # Every prefix is in composed form too, so its normal form is a prefix of the word's.
+        at = [0] * (len(norm) + 1)
+        done = end = 0
+        for _, (a, b) in library.pre_tokenizer.pre_tokenize_str(norm):
+            at[end + 1 : a + 1] = [done] * (a - end)
+            counts = self._piece_counts(norm[a:b])
+            at[a + 1 : b + 1] = [done + c for c in counts[1:]]
+            done, end = done + counts[-1], b
+        at[end + 1 :] = [done] * (len(norm) - end)
+        return [0, *(at[e] for e in accumulate(map(len, low)))]
+
+    def _recounted(self, word: str) -> list[int]:
+        """Counts where composition changes what a prefix is: each cut by what stands of its piece and the three before it.
+
+        A cut changes the last character of what it leaves, and no piece looks ahead by more than two.
+        """
+        from tokenizers import PreTokenizedString
+
+        library, parted = self.bpe.library, PreTokenizedString(word)
+        parted.normalize(library.normalizer.normalize)
+        library.pre_tokenizer.pre_tokenize(parted)
+        starts = sorted({0, *(a for _, (a, _), _ in parted.get_splits(offset_referential="original", offset_type="char"))})
+        counts = [0]
+        for i, a in enumerate(starts):
+            base = starts[max(0, i - 3)]
+            counts += [counts[base] + self.total(word[base:k]) for k in range(a + 1, (starts[i + 1] if i + 1 < len(starts) else len(word)) + 1)]
+        return counts
 
     def total(self, text: str) -> int:
-        return sum(map(self.counts.__getitem__, self.bpe.pieces(text)))
+        """Tokens of a text, as the library counts them."""
+        return sum(1 if p is None else self.bpe.prefix_counts(p[1:] if p[:1] == "\0" else self.bpe.mapped(p))[-1] for p in self.bpe.pieces(text))
 
-    def prefixes(self, text: str) -> np.ndarray:
-        """Token count of text[:k] for k = 0 .. len(text).
+    def steps(self, text: str) -> np.ndarray:
+        """Change of the token count from text[:k] to text[:k + 1], for each k."""
+        if PLAIN.fullmatch(text) and "<|" not in text:
+            return np.frombuffer(b"".join(map(self.plain_steps.__getitem__, self.spaced.findall(text.lower()))), "<i2")
+        return np.frombuffer(b"".join(map(self.chunk_steps.__getitem__, CHUNK.findall(text))), "<i2")
 
-        The count at a cut inside a piece is that of the cut piece, which may
-        itself fall into several pieces (an apostrophe and a letter).
-        """
-        out = np.zeros(len(text) + 1, dtype=np.int64)
-        if not PLAIN.fullmatch(text) or (self.bpe.special and "<|" in text):
-            # Characters that compose, change length or form special strings: each prefix by the sum over its own pieces.
-            for k in range(1, len(text) + 1):
-                out[k] = self.total(text[:k])
-            return out
-        low, done, at = text.lower(), 0, 0
-        for m in self.bpe.split.finditer(low):
-            out[at : m.start() + 1] = done
-            piece = m.group()
-            counts = [0]
-            if piece[0] == "'" and len(piece) > 1 and piece[1].isalpha():
-                counts += [self.total(piece[:k]) for k in range(1, len(piece) + 1)]
-            else:
-                table = self.bpe.prefix_tokens(self.bpe.mapped(piece))[0]
-                ends = np.cumsum([len(c.encode()) for c in piece])
-                counts += [table[e] for e in ends]
-            out[m.start() : m.end() + 1] = done + np.array(counts)
-            done, at = done + counts[-1], m.end()
-        out[at:] = done
-        return out
+    def prefixes(self, text: str) -> np.ndarray:
+        """Token count of text[:k] for k = 0 .. len(text)."""
+        return np.concatenate([[0], np.cumsum(self.steps(text), dtype=np.int64)])
 
     def longest_prefix(self, text: str, budget: int) -> int:
         """Characters of the longest prefix with at most ``budget`` tokens."""
@@ -223,21 +285,37 @@ def _counter(path: str, kept: dict = {}) -> PrefixCounter:  # noqa: B006  one fo
     return kept[path]
 
 
-def count_tokens(docs: DataFrame, vocabulary: str | None = None, limit: int = LIMIT) -> DataFrame:
-    """doc_id, n_bytes, n_tokens, over_limit of every whole text; one scan, no exchange."""
+def count_tokens(docs: DataFrame, vocabulary: str | None = None, limit: int = LIMIT, stride: int = STRIDE) -> DataFrame:
+    """doc_id, n_bytes, n_tokens, over_limit, fit_chars and checkpoints of every whole text, off its prefix table; one scan, no exchange.
+
+    ``fit_chars`` is the length of the longest prefix with at most ``limit``
+    tokens; ``checkpoints`` has the counts after each ``stride`` characters.
+    """
     path = vocabulary or vocabulary_path()
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(path)
         for batch in batches:
-            texts = batch.column(1)
-            n_tokens = pa.array([counter.total(t.as_py() or "") for t in texts], pa.int64())
-            n_bytes = pa.array([len(t.as_buffer()) if t.is_valid else 0 for t in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), n_bytes, n_tokens], ["doc_id", "n_bytes", "n_tokens"])
+            n_bytes, n_tokens, fits, stops, ends = [], [], [], [], [0]
+            for t in batch.column(1):
+                n_bytes.append(len(t.as_buffer()) if t.is_valid else 0)
+                steps = counter.steps(t.as_py() or "")
+                total = int(steps.sum(dtype=np.int64))
+                n_tokens.append(total)
+                if total <= limit and len(steps) < stride:
+                    fits.append(len(steps))
+                else:
+                    counts = np.cumsum(steps, dtype=np.int64)
+                    fits.append(len(steps) if total <= limit else int(np.flatnonzero(np.append(0, counts) <= limit)[-1]))
+                    stops.append(counts[stride - 1 :: stride])
+                ends.append(ends[-1] + len(steps) // stride)
+            flat = pa.array(np.concatenate(stops) if stops else [], pa.int32())
+            columns = [batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64()), pa.array(fits, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_tokens", "fit_chars", "checkpoints"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out = rows.mapInArrow(counted, "doc_id long, n_bytes long, n_tokens long")
-    return out.withColumn("over_limit", F.col("n_tokens") > limit)
+    out = rows.mapInArrow(counted, "doc_id long, n_bytes long, n_tokens long, fit_chars long, checkpoints array<int>")
+    return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "fit_chars", "checkpoints")
 
 
 def prefix_table(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
