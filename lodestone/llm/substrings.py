@@ -5,14 +5,19 @@
    two prefix sums). Windows of up to ``CHUNK`` words form a chunk. A hash
    that occurs twice in a chunk is settled there and then sent on once, so
    even a passage that every document holds is sent once a chunk.
-2. The hashes are dealt by range into buckets, packed as arrays; the task of a
-   bucket counts them and answers each chunk with the places of the repeated.
+2. A second, independent hash deals the hashes into buckets, packed as arrays;
+   the task of a bucket counts them and answers each chunk with the places of
+   the repeated.
 3. Each chunk's places, with those settled before, merge into the maximal
    intervals of covered words of each text.
-4. Texts meet their intervals by a 128-bit key of the text, and lose them.
+4. Texts meet their intervals by a 128-bit key of the text, and lose them. The
+   copies of a frequent text are dealt to many tasks.
 
-Windows are equal if 62 bits or more of their hashes are; the hash of a word
-mixes a polynomial of its bytes.
+Windows are equal if the 64 bits of one hash and the bucket by the other are:
+64 bits whatever the input, and one more with each doubling of it beyond
+``BYTES_PER_BUCKET``. Of n windows, about n * n / buckets / 2**65 pairs would
+be taken for equal wrongly: under one in a million at 1 TB, one at 100 TB. The
+hash of a word mixes a polynomial of its bytes.
 
 Defined results: a null or blank text has no words and the hash of the empty
 text; a text of fewer words than a window loses nothing; equal texts of at
@@ -30,15 +35,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import documents, text_blocks, text_or_empty
+from ._common import documents, hot_keys, spread_join, text_blocks, text_or_empty
 
 WINDOW = 35
 #: Words of a chunk, or one text if it has more.
-CHUNK = 1_500_000
+CHUNK = 700_000
 #: Bytes of text a bucket; about a sixth as many windows.
 BYTES_PER_BUCKET = 16_000_000
 MOST_BUCKETS = 2_000_000
-_BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+_BYTE_BASE, _WORD_BASE, _DEAL_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xA0761D6478BD642F
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -90,13 +95,13 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return hashes, np.diff(np.searchsorted(starts, offsets))
 
 
-def windows(hashes: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Start (word number) and hash of every window that lies in one text."""
+def windows(hashes: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start (word number), hash and second hash of every window that lies in one text."""
     stops = np.cumsum(counts)
     last = np.repeat(stops, counts)  # end of each word's text
     starts = np.arange(len(hashes))
     starts = starts[starts + size <= last]
-    return starts, mix(_spans(hashes, _WORD_BASE, starts, starts + size))
+    return starts, *(mix(_spans(hashes, base, starts, starts + size)) for base in (_WORD_BASE, _DEAL_BASE))
 
 
 def text_buffers(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -131,26 +136,25 @@ def _send(buckets: int, size: int):
             nonlocal number, held
             chunk = (task << 32) | number
             all_counts = np.concatenate(counts)
-            starts, h = windows(np.concatenate(hashes), all_counts, size)
-            order = np.argsort(h, kind="stable")
-            sorted_h = h[order]
-            new = np.concatenate([[True], sorted_h[1:] != sorted_h[:-1]])[: len(h)]
+            starts, h, deal = windows(np.concatenate(hashes), all_counts, size)
+            to = ((deal >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+            order = np.lexsort((h, to))
+            sorted_h, sorted_to = h[order], to[order]
+            new = np.concatenate([[True], (sorted_h[1:] != sorted_h[:-1]) | (sorted_to[1:] != sorted_to[:-1])])[: len(h)]
             first = np.flatnonzero(new)
             many = np.diff(np.concatenate([first, [len(h)]])) > 1
             local = np.sort(starts[order[np.repeat(many, np.diff(np.concatenate([first, [len(h)]])))]])
             once, twice = order[first[~many]], order[first[many]]
             rows: list[tuple] = [(int(chunk % buckets), chunk, True, 0, np.concatenate([np.concatenate(keys).ravel(), all_counts]).astype("<i8").tobytes(), local.astype("<u4").tobytes())]
-            of = lambda x: ((x >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-            low = lambda x: np.ascontiguousarray(x.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :7].tobytes()
-            once = once[np.lexsort((once, of(h[once])))]
-            b1, b2 = of(h[once]), of(h[twice])  # ``twice`` is in the order of hashes, so of buckets
+            once = once[np.lexsort((once, to[once]))]
+            b1, b2 = to[once], to[twice]
             cut1, cut2 = np.searchsorted(b1, np.arange(buckets + 1)), np.searchsorted(b2, np.arange(buckets + 1))
             for b in np.union1d(b1, b2).tolist():
                 one, two = once[cut1[b] : cut1[b + 1]], twice[cut2[b] : cut2[b + 1]]
                 at = starts[one]
                 step = np.diff(at, prepend=0)
                 wide = "<u4" if len(step) and step.max() >= 1 << 16 else "<u2"
-                rows.append((b, chunk, False, len(one), low(h[one]) + low(h[two]), step.astype(wide).tobytes()))
+                rows.append((b, chunk, False, len(one), np.concatenate([h[one], h[two]]).astype("<u8").tobytes(), step.astype(wide).tobytes()))
             number, held = number + 1, 0
             for x in (keys, hashes, counts):
                 x.clear()
@@ -182,9 +186,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if meta:
                 yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([True]), pa.array([hashes], pa.binary()), pa.array([at], pa.binary())], names)
                 continue
-            low = np.zeros((len(hashes) // 7, 8), np.uint8)
-            low[:, :7] = np.frombuffer(hashes, np.uint8).reshape(-1, 7)
-            parts.append(low.view("<u8").ravel())
+            parts.append(np.frombuffer(hashes, "<u8"))
             places.append(np.cumsum(np.frombuffer(at, f"<u{len(at) // n}" if n else "<u2").astype(np.int64)))
             chunks.append(chunk)
             singles.append(n)
@@ -280,7 +282,8 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and kept (the words that stay, joined by one space)."""
-    joined = _keyed(docs).join(repeated_spans(docs, size), ["k1", "k2"], "left").select("doc_id", "text", "spans")
+    keyed = _keyed(docs)
+    joined = spread_join(keyed, repeated_spans(docs, size), ["k1", "k2"], hot_keys(keyed, "k1"), F.col("doc_id"), "left").select("doc_id", "text", "spans")
     return joined.mapInArrow(_cut, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
 
 
