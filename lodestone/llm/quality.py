@@ -9,8 +9,9 @@ compression ratio, since the difference means little where hardly anything is
 left after compression (a word repeated a thousand times).
 
 Bounds: ``SAMPLE`` rows a class for the dictionaries and as many for the
-curve, chosen by a hash; a dictionary sees up to ``SLICE`` characters of each.
-Scores are of whole texts.
+curve, chosen by a hash; of all parts of ``PART`` characters of the former, a
+dictionary sees ``PARTS``, again chosen by a hash, wherever they stand in
+their texts. Scores are of whole texts.
 
 Defined results: a null or empty text has the features (0, 1); a class without
 labelled rows gives everyone the share of good labels (0.5 if there is no
@@ -32,7 +33,8 @@ from ._common import documents
 
 BLOCK = 1024
 SAMPLE = 3000
-SLICE = 8000
+PART = 2048
+PARTS = 6000
 DICTIONARY_BYTES = 112_640
 LEVEL = 3
 CUT = 0.7
@@ -125,7 +127,13 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[list[bytes], np.ndarray]:
         picked = own if picked is None else picked.unionByName(own)
     # At most 4 x SAMPLE identifiers are broadcast; the texts stay where they are.
     sample = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(2)))
-    seen = sample.where("part = 0").select("quality", F.substring(F.coalesce("text", F.lit("")), 1, SLICE).alias("text"), "doc_id").orderBy("doc_id", "text").limit(2 * SAMPLE + SAMPLE)
+    at = F.explode(F.sequence(F.lit(1), F.greatest(F.length("text"), F.lit(1)), F.lit(PART)))
+    parts = sample.where("part = 0").select("quality", "doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("at", at)
+    parts = parts.select("quality", F.substring(F.col("text"), F.col("at"), F.lit(PART)).alias("text"), F.xxhash64("doc_id", "at").alias("h"))
+    seen = None
+    for quality in (0, 1):
+        own = parts.where(F.col("quality") == quality).orderBy("h", "text").limit(PARTS)  # a bounded sample
+        seen = own if seen is None else seen.unionByName(own)
     texts: dict[int, list[str]] = {0: [], 1: []}
     for row in seen.collect():
         texts[row["quality"]].append(row["text"])
