@@ -127,13 +127,13 @@ def number_rows(df: DataFrame, order: list[Column], name: str, label: str) -> Da
     on its own and shifted by the exact counts of the partitions before it
     (one row a partition, so the broadcast side is bounded).
     """
-    part = F.spark_partition_id().alias("__part")
-    laid = materialize(df.repartitionByRange(*order).select("*", part), label)
-    counts = laid.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    here = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
-    return laid.join(F.broadcast(starts), "__part").withColumn(name, (F.col("__start") + here - 1).cast("long")).drop("__part", "__start")
+    part, n, start = fresh([*df.columns, name], "part", "part_rows", "part_start")
+    laid = materialize(df.repartitionByRange(*order).select("*", F.spark_partition_id().alias(part)), label)
+    counts = laid.groupBy(part).agg(F.count(F.lit(1)).alias(n))
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(part, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(start))
+    here = F.row_number().over(Window.partitionBy(part).orderBy(*order))
+    return laid.join(F.broadcast(starts), part).withColumn(name, (F.col(start) + here - 1).cast("long")).drop(part, start)
 
 
 def text_blocks(batch, column: str, limit: int = 2_000_000) -> Iterator[tuple[int, int]]:

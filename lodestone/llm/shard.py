@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import count_at_or_below, documents, materialize, text_or_empty
+from ._common import count_at_or_below, documents, fresh, materialize, text_or_empty
 
 SHARDS = 16
 TOLERANCE = 0.001
@@ -46,13 +46,15 @@ class Plan:
     rows: int
     rounds: int
 
-    def shard(self, spark: SparkSession, rows: DataFrame, key: str) -> DataFrame:
+    def shard(self, spark: SparkSession, rows: DataFrame, key: str, name: str = "shard") -> DataFrame:
+        """``rows`` with the shard of their key as the column ``name``."""
         light = count_at_or_below(self.splitters, F.col(key))
         if not self.heavy:
-            return rows.withColumn("shard", light.cast("int"))
-        placed = spark.createDataFrame(list(self.heavy.items()), "__key long, __to int")
-        joined = rows.join(F.broadcast(placed), rows[key] == placed["__key"], "left")
-        return joined.withColumn("shard", F.coalesce("__to", light).cast("int")).drop("__key", "__to")
+            return rows.withColumn(name, light.cast("int"))
+        heavy, to = fresh([*rows.columns, name], "heavy_key", "heavy_to")
+        placed = spark.createDataFrame(list(self.heavy.items()), f"{heavy} long, {to} int")
+        joined = rows.join(F.broadcast(placed), rows[key] == placed[heavy], "left")  # under shards / HEAVY rows
+        return joined.withColumn(name, F.coalesce(to, light).cast("int")).drop(heavy, to)
 
 
 def text_key(name: str = "text") -> Column:
@@ -127,14 +129,18 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     return numbered.select("doc_id", "size", "text_crc32", "shard", (F.col("start") + F.col("__here") - 1).cast("long").alias("slot"))
 
 
-def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
-    """Write ``docs`` with all columns into folders ``shard=N``, one exchange of the texts."""
+def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> str:
+    """Write ``docs`` with all columns into a folder for each shard, one exchange of the texts; the name of the folders' column.
+
+    That is ``shard``, with underscores if ``docs`` has such a column.
+    """
     rows = materialize(size_rows(docs), "shard-sizes")
     plan = plan_shards(rows, shards)
-    names = [c for c in docs.columns if c not in ("shard", "__key_of_text")]
-    placed = plan.shard(docs.sparkSession, docs.select(*names, text_key().alias("__key_of_text")), "__key_of_text").drop("__key_of_text")
+    key, name = fresh(docs.columns, "key_of_text", "shard")
+    placed = plan.shard(docs.sparkSession, docs.withColumn(key, text_key()), key, name).drop(key)
     bins = max(1, -(-plan.rows // (shards * ROWS_PER_BIN)))
-    placed.repartition(shards * bins, "shard", F.pmod(F.xxhash64("doc_id"), F.lit(bins))).write.partitionBy("shard").parquet(path)
+    placed.repartition(shards * bins, name, F.pmod(F.xxhash64("doc_id"), F.lit(bins))).write.partitionBy(name).parquet(path)
+    return name
 
 
 def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
