@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import documents, materialize
+from ._common import HOT_KEYS, HOT_ROWS, documents, fresh, materialize, spread_join
 
 SHINGLE = 3
 SEED = 42
@@ -216,19 +216,32 @@ def links(fps: DataFrame, radius: int = RADIUS, most: int = MOST) -> DataFrame:
     return found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
+def _hot(counted: DataFrame, key: str) -> list[int]:
+    """Keys that many rows share, from a table with their number ``n``."""
+    return [r[0] for r in counted.where(F.col("n") > HOT_ROWS).orderBy(F.desc("n"), key).limit(HOT_KEYS).select(key).collect()]
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of every node of the edges, root being the smallest node of its component."""
+    """(node, root) of every node of the edges, root being the smallest node of its component.
+
+    Large-star and small-star rounds; the neighbours of a hub, which the
+    centre of a large component becomes, meet it in many tasks.
+    """
     edges = materialize(edges.select("u", "v"), "links")
     mark = None
+
+    def met(pairs: DataFrame, least: Column, label: str) -> DataFrame:
+        """``pairs`` with the smallest neighbour m of their u."""
+        low = materialize(pairs.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")), label)
+        return spread_join(pairs, low.select("u", least.alias("m")), ["u"], _hot(low, "u"), F.col("v"))
+
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        small = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        low = small.groupBy("u").agg(F.min("v").alias("m"))
-        met = small.join(low, "u")
-        stars = met.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(met.select("u", F.col("m").alias("v")))
-        edges = materialize(stars.where("u <> v").distinct(), "links")
+        large = met(both, F.least("u", "m"), "links-large").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        small = materialize(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "links-small", edges)
+        stars = met(small, F.col("m"), "links-low")
+        stars = stars.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(stars.select("u", F.col("m").alias("v")))
+        edges = materialize(stars.where("u <> v").distinct(), "links", small)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if now == mark:
             break
@@ -240,28 +253,29 @@ def components(edges: DataFrame) -> DataFrame:
 def near_components(docs: DataFrame, most: int = MOST) -> DataFrame:
     """doc_id, row, fp and component_id of every row."""
     rows = materialize(fingerprint_rows(docs), "simhash-rows")
-    classes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes")
+    classes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "simhash-classes")
     edges = materialize(links(classes.select("fp"), most=most), "simhash-links")
     if edges.isEmpty():
         named = classes.select("fp", F.col("first").alias("component_id"))
     else:
         member = components(edges)
         held = materialize(classes.join(member, classes["fp"] == member["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root")), "simhash-roots")
-        names = held.groupBy("root").agg(F.min("first").alias("component_id"))
-        named = held.join(names, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "row", "fp", "component_id")
+        names = materialize(held.groupBy("root").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("n")), "simhash-names")
+        named = spread_join(held, names.select("root", "component_id"), ["root"], _hot(names, "root"), F.col("fp")).select("fp", "component_id")
+    return spread_join(rows, named, ["fp"], _hot(classes, "fp"), F.struct("doc_id", "row")).select("doc_id", "row", "fp", "component_id")
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, one of each component: its smallest doc_id (of several such rows, that with the smallest hash of its text)."""
     marked = near_components(docs)
     first = marked.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row")).alias("s"))
-    stay = materialize(first.select(F.col("s.doc_id").alias("__id"), F.col("s.row").alias("__row")), "simhash-stay")
-    keyed = docs.withColumn("__text", F.xxhash64(F.col("text").cast("string")))
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__row"))
+    id_, row, text = fresh(docs.columns, "stay_id", "stay_row", "text_hash")
+    stay = materialize(first.select(F.col("s.doc_id").alias(id_), F.col("s.row").alias(row)), "simhash-stay")
+    keyed = docs.withColumn(text, F.xxhash64(F.col("text").cast("string")))
+    on = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (F.col(text) == F.col(row))
     kept = keyed.join(stay, on, "left_semi")
     if stay.count() != kept.select("doc_id").count():
-        kept = kept.dropDuplicates(["doc_id", "__text"])  # rows that repeat both are one document
+        kept = kept.dropDuplicates(["doc_id", text])  # rows that repeat both are one document
     return kept.select(*docs.columns)
 
 
