@@ -289,7 +289,7 @@ def predictor(learned: dict[str, str]):
     return predict
 
 
-def identify(docs: DataFrame, learned: dict[str, str], name: str = "told", text: Column | None = None) -> DataFrame:
+def identify(docs: DataFrame, learned: dict[str, str], name: str = "__lang", text: Column | None = None) -> DataFrame:
     """``docs`` with the column ``name``: struct of lang_pred, score and reach (characters a phrase), of whole texts."""
     text = F.col("text") if text is None else text
     return docs.withColumn(name, predictor(learned)(text.cast("string")))
@@ -298,4 +298,4 @@ def identify(docs: DataFrame, learned: dict[str, str], name: str = "told", text:
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     out = identify(docs.select("doc_id", "text"), samples(docs))
-    return out.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), F.col("told.lang_pred").alias("lang_pred"), F.col("told.score").alias("score"))
+    return out.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), F.col("__lang.lang_pred").alias("lang_pred"), F.col("__lang.score").alias("score"))
