@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from functools import lru_cache
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 # Fixed values of the published algorithm.
 VOWELS = "аеиоуыэюя"
 GERUND_1 = "в вши вшись".split()
@@ -74,3 +77,32 @@ def stem_word(word: str) -> str:
         elif rest.endswith("ь"):
             rest = rest[:-1]
     return head + rest
+
+
+def _any(endings: list[str]) -> str:
+    return "|".join(sorted(endings, key=len, reverse=True))
+
+
+def _ending(first: list[str], second: list[str]) -> str:
+    """A pattern for the longer of an ending that needs а or я before it and one that doesn't."""
+    return f"(?:(?:{_any(second)})|(?<=[ая])(?:{_any(first)}))$"
+
+
+def stem_column(word: Column) -> Column:
+    """``stem_word`` inside the plan: a pattern's leftmost match at the end of a word is its longest ending."""
+    head = F.regexp_extract(word, f"^[^{VOWELS}]*[{VOWELS}]", 0)
+    rest = F.substring(word, F.length(head) + 1, F.length(word))
+    cut = lambda x, pattern: F.regexp_replace(x, pattern, "")
+    gerund, verb = _ending(GERUND_1, GERUND_2), _ending(VERB_1, VERB_2)
+    adjective, noun = f"(?:{_any(ADJECTIVE)})$", f"(?:{_any(NOUN)})$"
+    plain = cut(rest, f"(?:{_any(REFLEXIVE)})$")
+    ended = F.when(plain.rlike(adjective), cut(cut(plain, adjective), _ending(PARTICIPLE_1, PARTICIPLE_2))).when(plain.rlike(verb), cut(plain, verb)).otherwise(cut(plain, noun))
+    ended = cut(F.when(rest.rlike(gerund), cut(rest, gerund)).otherwise(ended), "и$")
+    # The second region begins after the second run of a vowel and a non-vowel; only there a derivational ending goes.
+    region = F.length(F.regexp_extract(word, f"^[^{VOWELS}]*[{VOWELS}]+[^{VOWELS}][^{VOWELS}]*[{VOWELS}]+[^{VOWELS}]", 0))
+    short = cut(ended, f"(?:{_any(DERIVATIONAL)})$")
+    derived = F.when((region > 0) & (F.length(head) + F.length(short) >= region), short).otherwise(ended)
+    best = cut(derived, f"(?:{_any(SUPERLATIVE)})$")
+    double = lambda x: cut(x, "(?<=н)н$")
+    last = F.when(derived.endswith("нн"), double(derived)).when(best != derived, double(best)).otherwise(cut(derived, "ь$"))
+    return F.when((F.length(head) > 0) & word.rlike("[а-я]"), F.concat(head, last)).otherwise(word)

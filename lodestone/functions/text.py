@@ -1,4 +1,4 @@
-"""Text normalisation, tokens and n-grams as column expressions."""
+"""Text normalisation, tokens, stems and n-grams as column expressions."""
 
 from __future__ import annotations
 
@@ -6,13 +6,15 @@ import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-from .stem import stem_word
+from .stem import stem_column, stem_word
 
 TOKEN = "[a-zа-я0-9]+"
+#: Characters that compatibility composition leaves alone wherever they stand.
+STABLE = r"\x00-\x7FÀ-ÖØ-öø-ÿА-яЁё"
 
 
 @F.arrow_udf(StringType())
@@ -21,6 +23,14 @@ def nfkc(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.array([None if t is None else unicodedata.normalize("NFKC", t) for t in array.to_pylist()], pa.string())
 
 
+def composed(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` with these columns in form NFKC; only rows with a character that may change leave the JVM."""
+    may = F.lit(False)
+    for c in columns:
+        may = may | F.coalesce(F.col(c).rlike(f"[^{STABLE}]"), F.lit(False))
+    return df.where(~may).unionByName(df.where(may).withColumns({c: nfkc(F.col(c)) for c in columns}))
+
+
 @F.arrow_udf(ArrayType(StringType()))
 def stem_tokens(tokens: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for array in tokens:
@@ -33,11 +43,32 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(low, F.lit(f"({TOKEN})"), 1)
 
 
+def tokenize(text: Column) -> Column:
+    """Stems of the tokens; only texts with Cyrillic letters have any to cut."""
+    return F.when(text.rlike("[а-яёА-ЯЁ]"), F.transform(tokens(text), stem_column)).otherwise(tokens(text))
+
+
 def normalized(text: Column, compose: bool = False) -> Column:
     """Tokens joined by one space; ``compose`` applies NFKC first."""
     return F.array_join(tokens(nfkc(text) if compose else text), " ")
 
 
+def flattened(text: Column) -> Column:
+    """Lower case, ``ё`` as ``е``, runs of white space as one space and none at the ends; punctuation stays (null: empty)."""
+    low = F.replace(F.lower(F.coalesce(text, F.lit(""))), F.lit("ё"), F.lit("е"))
+    return F.regexp_replace(F.regexp_replace(low, r"(?U)\s+", " "), "^ | $", "")
+
+
+def context_text(text: Column, filter_: Column) -> Column:
+    """A query's text and its filter in one."""
+    return F.concat(F.coalesce(text, F.lit("")), F.lit(" "), F.coalesce(filter_, F.lit("")))
+
+
+def passage_text(*fields: Column) -> Column:
+    """The fields that aren't blank, trimmed, on a line each: what an encoder is given."""
+    return F.concat_ws("\n", *[F.when(~blank(f), F.trim(f)) for f in fields])
+
+
 def bigrams(ts: Column) -> Column:
     """Unigrams and bigrams in one array."""
 
@@ -68,7 +99,7 @@ def char_grams(ts: Column, low: int = 3, high: int = 5) -> Column:
 
 
 def context_key(*parts: Column) -> Column:
-    """Fields joined by U+001F, nulls as empty."""
+    """Fields joined by U+001F, nulls as empty; free text goes in normalised."""
     return F.concat_ws("\u001f", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])
 
 

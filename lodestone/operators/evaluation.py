@@ -2,24 +2,39 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import blank
+from .checks import one_to_one
 from .topk import top_k
 
+#: Breakdowns of a report, of the columns that the queries have.
+BREAKDOWNS = ("regime", "seen_text", "seen_context", "filter_empty", "seen_item_group")
+
+
+def load_queries(queries: DataFrame, identities: DataFrame, splits: list[str]) -> DataFrame:
+    """Queries of these splits with their positions: ``qid`` is the place in the whole table, found before the filter."""
+    return one_to_one(queries, identities, ["query_id"]).where(F.col("split").isin(splits))
+
 
 def per_query_recall(queries: DataFrame, candidates: DataFrame, truth: DataFrame, ks: list[int], score: str = "score") -> DataFrame:
-    """queries with n_relevant, n_candidates, recall@k; truth (qid, item_idx) may repeat pairs; queries without candidates have recall 0."""
+    """queries with n_relevant, n_candidates, recall@k and recall_union; truth (qid, item_idx) may repeat pairs; queries without candidates have recall 0."""
     pairs = truth.select("qid", "item_idx").distinct()
     ranked = top_k(candidates.select("qid", "item_idx", F.col(score).alias("score")), max(ks))
     hits = ranked.join(pairs, ["qid", "item_idx"], "left_semi").groupBy("qid").agg(*[F.sum((F.col("rank") <= k).cast("long")).alias(f"hits_{k}") for k in ks])
     relevant = pairs.groupBy("qid").agg(F.count(F.lit(1)).alias("n_relevant"))
-    pool = candidates.groupBy("qid").agg(F.count(F.lit(1)).alias("n_candidates"))
+    marked = candidates.select("qid", "item_idx").join(pairs.withColumn("__hit", F.lit(1)), ["qid", "item_idx"], "left")
+    pool = marked.groupBy("qid").agg(F.count(F.lit(1)).alias("n_candidates"), F.count("__hit").alias("hits_union"))
     joined = queries.join(relevant, "qid", "left").join(pool, "qid", "left").join(hits, "qid", "left")
-    recall = {f"recall_{k}": F.when(F.col("n_relevant") > 0, F.coalesce(f"hits_{k}", F.lit(0)) / F.col("n_relevant")) for k in ks}
-    return joined.withColumns({"n_candidates": F.coalesce("n_candidates", F.lit(0)), **recall}).drop(*[f"hits_{k}" for k in ks])
+    recall = {f"recall_{k}": F.when(F.col("n_relevant") > 0, F.coalesce(f"hits_{k}", F.lit(0)) / F.col("n_relevant")) for k in [*ks, "union"]}
+    return joined.withColumns({"n_candidates": F.coalesce("n_candidates", F.lit(0)), **recall}).drop(*[f"hits_{k}" for k in [*ks, "union"]])
+
+
+def seen_groups(truth: DataFrame, by: str = "qid", seen: str = "seen_item") -> DataFrame:
+    """(qid, seen_item_group): whether all, some or none of a query's relevant items are known from the log."""
+    every, some = F.bool_and(seen), F.bool_or(seen)
+    return truth.groupBy(by).agg(F.when(every, "all_seen").when(some, "mixed").otherwise("all_unseen").alias("seen_item_group"))
 
 
 def recall_by_group(per_query: DataFrame, groups: list[str], metric: str) -> DataFrame:
@@ -36,6 +51,8 @@ def recall_by_group(per_query: DataFrame, groups: list[str], metric: str) -> Dat
 
 def post_stratified(per_query: DataFrame, flag: str, metric: str, weight: float) -> DataFrame:
     """weight * mean(flag) + (1 - weight) * mean(not flag); null if a group that counts is empty."""
+    if not 0 <= weight <= 1:
+        raise ValueError("the weight is a fraction")
     yes, no = F.avg(F.when(F.col(flag), F.col(metric))), F.avg(F.when(~F.col(flag), F.col(metric)))
     parts = ([F.lit(weight) * yes] if weight > 0 else []) + ([F.lit(1 - weight) * no] if weight < 1 else [])
     total = parts[0]
@@ -44,32 +61,119 @@ def post_stratified(per_query: DataFrame, flag: str, metric: str, weight: float)
     return per_query.agg(total.alias("recall"))
 
 
+def check_evaluation(queries: DataFrame, candidates: DataFrame, truth: DataFrame, n_items: int, score: str = "score") -> None:
+    """ValueError names what makes an evaluation meaningless."""
+    value = F.col(score).cast("double")
+    wrong = {
+        "queries repeat": queries.groupBy("qid").count().where("count > 1"),
+        "a candidate repeats": candidates.groupBy("qid", "item_idx").count().where("count > 1"),
+        "a candidate's query is not asked": candidates.join(queries, "qid", "left_anti"),
+        "an item is outside of the corpus": candidates.where(F.col("item_idx").isNull() | (F.col("item_idx") < 0) | (F.col("item_idx") >= n_items)),
+        "a score is not finite": candidates.where(value.isNull() | F.isnan(value) | (F.abs(value) == float("inf"))),
+        "a query has no relevant item": queries.join(truth, "qid", "left_anti"),
+    }
+    for what, rows in wrong.items():
+        if rows.head(1):
+            raise ValueError(what)
+
+
+def report(queries: DataFrame, candidates: DataFrame, truth: DataFrame, n_items: int, ks: tuple[int, ...] = (10, 50, 100), score: str = "score", empty_weight: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows (metric, group_name, group_value, value, n), and the recall of each query.
+
+    Queries may have regime, seen_text, seen_context and filter, truth
+    seen_item; the breakdowns are by those there are. Post-stratified values
+    are null where one of the two groups is missing.
+    """
+    if not ks or any(isinstance(k, bool) or not isinstance(k, int) or k < 1 for k in ks):
+        raise ValueError("cut-offs are positive integers")
+    check_evaluation(queries, candidates, truth, n_items, score)
+    asked = queries.withColumn("filter_empty", blank(F.col("filter"))) if "filter" in queries.columns else queries
+    asked = asked.join(seen_groups(truth), "qid", "left") if "seen_item" in truth.columns else asked
+    per = per_query_recall(asked, candidates, truth, sorted(set(ks)), score)
+    groups = [g for g in BREAKDOWNS if g in per.columns]
+    metrics = [f"recall_{k}" for k in [*sorted(set(ks)), "union"]]
+    sets = [[], *[[F.col(g)] for g in groups]]
+    means = per.groupingSets(sets, *groups).agg(*[F.avg(m).alias(m) for m in metrics], F.avg("n_candidates").alias("n_candidates"), F.count(F.lit(1)).alias("n"), *[F.grouping(g).alias(f"__{g}") for g in groups])
+    name, value = F.lit("all"), F.lit("all")
+    for g in groups:
+        name = F.when(F.col(f"__{g}") == 0, g).otherwise(name)
+        value = F.when(F.col(f"__{g}") == 0, F.coalesce(F.col(g).cast("string"), F.lit(""))).otherwise(value)
+    wide = means.select(name.alias("group_name"), value.alias("group_value"), "n", *metrics, "n_candidates")
+    out = wide.unpivot(["group_name", "group_value", "n"], [*metrics, "n_candidates"], "metric", "value").select("metric", "group_name", "group_value", "value", "n")
+    if empty_weight is not None and "filter_empty" in groups:
+        for m in metrics:
+            strata = post_stratified(per, "filter_empty", m, empty_weight).crossJoin(per.agg(F.count(F.lit(1)).alias("n")))  # one row each
+            strata = strata.select(F.lit(m).alias("metric"), F.lit("poststratified").alias("group_name"), F.lit("all").alias("group_value"), F.col("recall").alias("value"), "n")
+            out = out.unionByName(strata)
+    return out, per
+
+
+def target_disjoint(queries: DataFrame, truth: DataFrame, train_items: DataFrame) -> DataFrame:
+    """Queries none of whose relevant items occurs in the training truth (item_idx)."""
+    shared = truth.join(train_items.select("item_idx").distinct(), "item_idx", "left_semi").select("qid").distinct()
+    return queries.join(shared, "qid", "left_anti")
+
+
 def empty_fraction(queries: DataFrame, column: str) -> DataFrame:
     return queries.agg(F.avg(blank(F.col(column)).cast("double")).alias("empty_fraction"))
 
 
-def loss(truth: DataFrame, ranked: DataFrame, k: int) -> DataFrame:
-    """Truth pairs by outcome: hit, below the cut, or not among the candidates."""
-    found = truth.select("qid", "item_idx").distinct().join(ranked.select("qid", "item_idx", "rank"), ["qid", "item_idx"], "left")
-    kind = F.when(F.col("rank") <= k, "hit").when(F.col("rank").isNotNull(), "below").otherwise("missing")
-    return found.groupBy(kind.alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+def loss(truth: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
+    """Truth pairs by outcome: hit, below the cut, or not among the candidates (qid, item_idx, score).
+
+    A pair's place is the number of candidates that stand before it, so the
+    candidates are never sorted.
+    """
+    pairs = truth.select("qid", "item_idx").distinct()
+    scored = pairs.join(candidates.select("qid", "item_idx", "score"), ["qid", "item_idx"], "left")
+    others = candidates.select("qid", F.col("item_idx").alias("__other"), F.col("score").alias("__score"))
+    before = (F.col("__score") > F.col("score")) | ((F.col("__score") == F.col("score")) & (F.col("__other") < F.col("item_idx")))
+    ahead = scored.where("score is not null").join(others, "qid").groupBy("qid", "item_idx").agg(F.sum(before.cast("long")).alias("ahead"))
+    kind = F.when(F.col("score").isNull(), "missing").when(F.col("ahead") < k, "hit").otherwise("below")
+    return scored.join(ahead, ["qid", "item_idx"], "left").groupBy(kind.alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+
 
+def paired_bootstrap(current: DataFrame, baseline: DataFrame, key: str, metric: str, flag: str | None = None, weight: float | None = None, iterations: int = 2000, seed: int = 42) -> DataFrame:
+    """One row: mean difference, its 95 % interval, the share of positive resamples, and the number of pairs.
 
-def paired_bootstrap(current: DataFrame, baseline: DataFrame, key: str, metric: str, flag: str | None = None, weight: float | None = None, iterations: int = 2000, seed: int = 42) -> dict:
-    """Mean difference, its 95 % interval and the share of positive resamples over paired queries (a bounded evaluation set)."""
+    Each resample weighs a pair by a Poisson draw with mean 1, made from a hash
+    of key, resample and ``seed``, so no row leaves its executor: ``iterations``
+    sums are all that is gathered. With ``flag`` and ``weight`` the means are
+    post-stratified in every resample.
+    """
     side = baseline.select(F.col(key).alias("__key"), F.col(metric).alias("__base"))
-    joined = current.join(side, current[key] == side["__key"], "full_outer")
-    rows = joined.select("__key", key, (F.col(metric) - F.col("__base")).alias("d"), *([flag] if flag else [])).collect()
-    if any(r["__key"] is None or r[key] is None for r in rows):
+    joined = current.join(side, current[key] == side["__key"], "full_outer").select(key, "__key", (F.col(metric) - F.col("__base")).alias("d"), (F.col(flag) if flag else F.lit(True)).alias("flag"))
+    if joined.where(F.col("__key").isNull() | F.col(key).isNull()).head(1):
         raise ValueError("both sides need the same queries")
-    rows.sort(key=lambda r: r[key])
-    d = np.array([r["d"] for r in rows], float)
-    rng = np.random.default_rng(seed)
-    draws = np.stack([d[rng.integers(0, len(d), len(d))].mean() for _ in range(iterations)])
-    low, high = np.quantile(draws, [0.025, 0.975])
-    out = {"delta": float(d.mean()), "ci95": [float(low), float(high)], "positive": float((draws > 0).mean()), "n": len(d)}
-    if flag and weight is not None:
-        yes = np.array([bool(r[flag]) for r in rows])
-        if yes.any() and not yes.all():
-            out["post_stratified"] = float(weight * d[yes].mean() + (1 - weight) * d[~yes].mean())
+    u = F.pmod(F.xxhash64(F.col(key), "resample", F.lit(seed)), F.lit(1 << 52)) / float(1 << 52)
+    steps, below, p = F.lit(0), 0.0, 0.36787944117144233  # of a Poisson draw with mean 1
+    for n in range(1, 16):
+        below += p
+        steps, p = steps + (u >= below).cast("int"), p / n
+    drawn = joined.select(key, "d", "flag", F.explode(F.sequence(F.lit(0), F.lit(iterations))).alias("resample"))
+    w = F.when(F.col("resample") == 0, 1).otherwise(steps)  # resample 0 is the data as it is
+    drawn = drawn.withColumn("w", w)
+
+    def mean(of):
+        return F.sum(F.when(of, F.col("d") * F.col("w"))) / F.nullif(F.sum(F.when(of, F.col("w"))), F.lit(0))
+
+    yes, no = F.col("flag"), ~F.col("flag")
+    value = mean(F.lit(True)) if weight is None else weight * mean(yes) + (1 - weight) * mean(no)
+    means = drawn.groupBy("resample").agg(value.alias("m"), F.count(F.lit(1)).alias("n"))
+    resampled = F.when(F.col("resample") > 0, F.col("m"))
+    ends = F.percentile(resampled, [0.025, 0.975])
+    return means.agg(F.max(F.when(F.col("resample") == 0, F.col("m"))).alias("delta"), ends.alias("ends"), F.avg((resampled > 0).cast("double")).alias("positive"), F.max("n").alias("n")).select("delta", F.col("ends")[0].alias("low"), F.col("ends")[1].alias("high"), "positive", "n")
+
+
+def merged_reports(current: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Two reports side by side, each row with exactly one partner."""
+    return one_to_one(current, other.select(*keys, F.col("value").alias("other")), keys, whole=True).withColumn("difference", F.col("value") - F.col("other"))
+
+
+def tagged(parts: dict[str, DataFrame], name: str = "model") -> DataFrame:
+    """Tables of one shape in one, with the name of each as a column."""
+    out = None
+    for tag, part in parts.items():
+        own = part.withColumn(name, F.lit(tag))
+        out = own if out is None else out.unionByName(own)
     return out

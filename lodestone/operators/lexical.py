@@ -2,55 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import hashlib
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import bigrams, char_grams, tokens
+from ..functions.text import bigrams, char_grams, composed, context_text, tokenize
+from ..sources.tables import fingerprint, store_once
 from .topk import top_k
 
 K1, B = 1.2, 0.65
-#: The reference's limits, off unless they are asked for.
+#: Customary limits, off unless they are asked for.
 DESCRIPTION_CHARS = 3000
 MOST_CHAR_GRAMS = 250_000
-
-
-def field_text(title: Column, params: Column, description: Column | None = None, chars: int | None = None) -> Column:
-    """Title and parameters; with a description, title three times, parameters twice, and all of it (or its first ``chars``)."""
-    empty = lambda c: F.coalesce(c, F.lit(""))
-    if description is None:
-        return F.concat_ws(" ", empty(title), empty(params))
-    body = empty(description) if chars is None else F.substring(empty(description), 1, chars)
-    return F.concat_ws(" ", *[empty(title)] * 3, *[empty(params)] * 2, body)
+#: How often a field counts in the text that BM25 sees.
+FIELD_WEIGHTS = {"title": 3, "params": 2, "description": 1}
 
 
 def term_counts(df: DataFrame, key: str, terms: Column) -> DataFrame:
     return df.select(key, F.explode(terms).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def bm25_postings(counts: DataFrame, n_docs: int, key: str = "item_idx", k1: float = K1, b: float = B) -> DataFrame:
-    """Okapi weights from term counts; ``n_docs`` counts items without any term too."""
-    lengths = counts.groupBy(key).agg(F.sum("tf").alias("len"))
-    mean = lengths.agg(F.greatest(F.sum("len") / F.lit(float(max(n_docs, 1))), F.lit(1.0)).alias("avg_len"))
-    df = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    joined = counts.join(lengths, key).join(df, "term").crossJoin(F.broadcast(mean))  # one row
-    idf = F.log(1 + (F.lit(float(n_docs)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    norm = k1 * (1 - b + b * F.col("len") / F.col("avg_len"))
-    return joined.select("term", key, (idf * F.col("tf") * (k1 + 1) / (F.col("tf") + norm)).alias("weight"))
+def smooth_idf(counts: DataFrame, n_docs: int, min_df: int = 1, most: int | None = None) -> DataFrame:
+    """ln((1 + N) / (1 + df)) + 1 of the vocabulary; ``most`` keeps the terms with the largest total count."""
+    stats = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total")).where(F.col("df") >= min_df)
+    if most is not None:
+        stats = stats.orderBy(F.desc("total"), "term").limit(most)
+    return stats.select("term", (F.log((1.0 + n_docs) / (1 + F.col("df"))) + 1).alias("idf"))
 
 
 def tfidf_postings(counts: DataFrame, idf: DataFrame, key: str) -> DataFrame:
     """Sublinear tf times idf, rows of unit length."""
-    raw = counts.join(idf, "term").select("term", key, ((1 + F.log(F.col("tf"))) * F.col("idf")).alias("w"))
+    raw = tfidf_weights(counts, idf, key)
     length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
     return raw.select("term", key, (F.col("w") / length).alias("weight"))
 
 
-def smooth_idf(counts: DataFrame, n_docs: int, min_df: int = 1, most: int | None = None) -> DataFrame:
-    """ln((1 + N) / (1 + df)) + 1 of the vocabulary; ``most`` keeps the terms with the largest total count."""
-    stats = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total")).where(F.col("df") >= min_df)
-    if most is not None:
-        stats = stats.orderBy(F.desc("total"), "term").limit(most)
-    return stats.select("term", (F.log((1.0 + n_docs) / (1 + F.col("df"))) + 1).alias("idf"))
+def tfidf_weights(counts: DataFrame, idf: DataFrame, key: str) -> DataFrame:
+    return counts.join(idf, "term").select("term", key, ((1 + F.log(F.col("tf"))) * F.col("idf")).alias("w"))
 
 
 def term_scores(query_terms: DataFrame, postings: DataFrame, query_weight: str | None = None) -> DataFrame:
@@ -59,49 +48,129 @@ def term_scores(query_terms: DataFrame, postings: DataFrame, query_weight: str |
     return query_terms.join(postings, "term").groupBy("qid", "item_idx").agg(F.sum(weight).alias("score"), F.count(F.lit(1)).alias("n_terms"))
 
 
+def word_tokens(items: DataFrame, description_chars: int | None = None) -> DataFrame:
+    """item_idx, location, the stems of each field and their weighted number ``len``."""
+    body = F.col("description") if description_chars is None else F.substring("description", 1, description_chars)
+    fields = composed(items.select("item_idx", "location", "title", "params", body.alias("description")), *FIELD_WEIGHTS)
+    ts = fields.select("item_idx", "location", *[tokenize(F.col(c)).alias(c) for c in FIELD_WEIGHTS])
+    return ts.withColumn("len", sum((F.size(c) * w for c, w in FIELD_WEIGHTS.items()), F.lit(0)).cast("long"))
+
+
 class LexicalIndex:
     """Word TF-IDF, BM25 and character TF-IDF of items (item_idx, title, params, description, location).
 
-    Whole descriptions and all character n-grams, unless ``description_chars`` or ``most_char_grams`` limits them.
+    Terms are stems of the composed text. Whole descriptions and all character
+    n-grams, unless ``description_chars`` or ``most_char_grams`` limits them.
+    The stems of the items are stored under a fingerprint of the corpus and the
+    limits, in the folder that all executors share, and any later index of the
+    same corpus opens them. Postings are made for the terms that are asked.
     """
 
     def __init__(self, items: DataFrame, k1: float = K1, b: float = B, description_chars: int | None = None, most_char_grams: int | None = None):
-        self.items, self.n = items, items.count()
-        short = tokens(field_text(F.col("title"), F.col("params")))
-        full = tokens(field_text(F.col("title"), F.col("params"), F.col("description"), description_chars))
-        self.bm25 = bm25_postings(term_counts(items, "item_idx", full), self.n, k1=k1, b=b)
-        words = term_counts(items, "item_idx", bigrams(short))
-        self.word_idf = smooth_idf(words, self.n)
-        self.word = tfidf_postings(words, self.word_idf, "item_idx")
-        chars = term_counts(items, "item_idx", char_grams(short))
-        self.char_idf = smooth_idf(chars, self.n, min_df=2, most=most_char_grams)
-        self.char = tfidf_postings(chars, self.char_idf, "item_idx")
-
-    def scores(self, queries: DataFrame, channel: str) -> DataFrame:
-        """(qid, item_idx, score) of queries (qid, text)."""
-        ts = tokens(F.col("text"))
+        self.items, self.k1, self.b, self.most = items, k1, b, most_char_grams
+        said = items.select("item_idx", "title", "params", "description", "location")
+        self.fingerprint = hashlib.sha256(f"{fingerprint(said)}|{description_chars}".encode()).hexdigest()[:32]
+        self.stems = store_once(items.sparkSession, f"lexical-{self.fingerprint}", lambda: word_tokens(said, description_chars))
+        self.n, self.words = self.stems.agg(F.count(F.lit(1)), F.coalesce(F.sum("len"), F.lit(0))).first()
+
+    def save(self, path: str) -> None:
+        """All postings as tables bucketed by hash of their term, for other engines and sessions."""
+        for name, postings in (("bm25", self.bm25_postings()), ("word", self.tfidf_index("word")[1]), ("char", self.tfidf_index("char")[1])):
+            postings.repartition("term").sortWithinPartitions("term", "item_idx").write.mode("overwrite").parquet(f"{path}/{name}")
+
+    @staticmethod
+    def open(spark: SparkSession, path: str, channel: str) -> DataFrame:
+        return spark.read.parquet(f"{path}/{channel}")
+
+    def _asked(self, terms: DataFrame, wanted: DataFrame | None) -> DataFrame:
+        return terms if wanted is None else terms.join(wanted.select("term").distinct(), "term", "left_semi")
+
+    def bm25_postings(self, wanted: DataFrame | None = None) -> DataFrame:
+        """(term, item_idx, weight), of the ``wanted`` terms only if given: others leave before anything is shuffled."""
+        fields = F.array(*[F.struct(F.col(c).alias("ts"), F.lit(w).alias("times")) for c, w in FIELD_WEIGHTS.items()])
+        each = self.stems.select("item_idx", "len", F.explode(fields).alias("f")).select("item_idx", "len", "f.times", F.explode("f.ts").alias("term"))
+        tf = self._asked(each, wanted).groupBy("item_idx", "len", "term").agg(F.sum("times").alias("tf"))
+        df = F.count(F.lit(1)).over(Window.partitionBy("term")) if wanted is None else None
+        counted = tf.withColumn("df", df) if df is not None else tf.join(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "term")
+        idf = F.log(1 + (F.lit(float(self.n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+        norm = self.k1 * (1 - self.b + self.b * F.col("len") / max(self.words / max(self.n, 1), 1.0))
+        return counted.select("term", "item_idx", (idf * F.col("tf") * (self.k1 + 1) / (F.col("tf") + norm)).alias("weight"))
+
+    def tfidf_index(self, channel: str, wanted: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+        """Inverse document frequencies (term, idf) and postings (term, item_idx, weight) of words and word pairs, or character n-grams."""
+        short = F.concat("title", "params")
+        if channel == "word":
+            counts, min_df, most = term_counts(self.stems, "item_idx", bigrams(short)), 1, None
+        else:
+            words = term_counts(self.stems, "item_idx", short)  # n-grams of a word that repeats are made once
+            each = words.select("item_idx", "tf", F.explode(char_grams(F.array("term"))).alias("term"))
+            counts, min_df, most = each.groupBy("item_idx", "term").agg(F.sum("tf").alias("tf")), 2, self.most
+        idf = smooth_idf(counts, self.n, min_df=min_df, most=most)
+        raw = tfidf_weights(counts, idf, "item_idx")
+        length = raw.groupBy("item_idx").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
+        postings = self._asked(raw, wanted).join(length, "item_idx").select("term", "item_idx", (F.col("w") / F.col("length")).alias("weight"))
+        return idf, postings
+
+    @property
+    def char_idf(self) -> DataFrame:
+        return self.tfidf_index("char")[0]
+
+    def terms(self, queries: DataFrame, channel: str, text: str = "text") -> DataFrame:
+        """(qid, term, tf) of queries; BM25 takes each term once."""
+        ts = tokenize(F.col("text"))
+        asks = composed(queries.select("qid", F.col(text).alias("text")), "text")
         if channel == "bm25":
-            return term_scores(queries.select("qid", F.explode(F.array_distinct(ts)).alias("term")), self.bm25)
-        terms, idf, postings = (bigrams(ts), self.word_idf, self.word) if channel == "word" else (char_grams(ts), self.char_idf, self.char)
-        asked = tfidf_postings(term_counts(queries, "qid", terms), idf, "qid").withColumnRenamed("weight", "qw")
-        return term_scores(asked, postings, "qw")
+            return asks.select("qid", F.explode(F.array_distinct(ts)).alias("term"), F.lit(1).alias("tf"))
+        return term_counts(asks, "qid", bigrams(ts) if channel == "word" else char_grams(ts))
+
+    def scores(self, queries: DataFrame, channel: str, text: str = "text") -> DataFrame:
+        """(qid, item_idx, score, n_terms) of queries (qid, text)."""
+        asked = self.terms(queries, channel, text)
+        if channel == "bm25":
+            return term_scores(asked, self.bm25_postings(asked))
+        idf, postings = self.tfidf_index(channel, asked)
+        return term_scores(tfidf_postings(asked, idf, "qid").withColumnRenamed("weight", "qw"), postings, "qw")
+
+    def candidate_scores(self, queries: DataFrame) -> dict[str, DataFrame]:
+        """Scores by name: word, bm25 and char of queries (qid, text, filter) without their filters, context_word with them, and full_coverage."""
+        out = {c: self.scores(queries, c) for c in ("word", "bm25", "char")}
+        n = queries.select("qid", F.greatest(F.size(F.array_distinct(tokenize(F.col("text")))), F.lit(1)).alias("n"))
+        out["full_coverage"] = out["bm25"].join(n, "qid").select("qid", "item_idx", (F.col("n_terms") / F.col("n")).alias("score"))
+        context = queries.select("qid", context_text(F.col("text"), F.col("filter")).alias("text"))
+        return {name: df.select("qid", "item_idx", "score") for name, df in (out | {"context_word": self.scores(context, "word")}).items()}
 
     def search(self, queries: DataFrame, channel: str, k: int = 300, allowed: int | None = None, local: bool = False) -> DataFrame:
-        """Top k (qid, item_idx, score, rank); ``local``: of items in the query's location only; ``allowed``: of items before that position."""
+        """Top k (qid, item_idx, score, rank); ``local``: of items in the query's location only; ``allowed``: of items before that position.
+
+        Queries with a column ``filter`` are asked with it. ``allowed`` may be
+        0, which allows nothing.
+        """
         if isinstance(k, bool) or not isinstance(k, int) or k <= 0:
             raise ValueError("k must be a positive integer")
-        found = self.scores(queries, channel).withColumn("score", F.round("score", 6)).where("score > 0")
+        if allowed is not None and (isinstance(allowed, bool) or not isinstance(allowed, int) or not 0 <= allowed):
+            raise ValueError("allowed must be a number of items")
+        asks = queries.withColumn("text", context_text(F.col("text"), F.col("filter"))) if "filter" in queries.columns else queries
+        found = self.scores(asks, channel).withColumn("score", F.round("score", 6)).where("score > 0")
         if allowed is not None:
             found = found.where(F.col("item_idx") < allowed)
         if local:
-            found = found.join(self.items.select("item_idx", "location"), "item_idx").join(queries.select("qid", F.col("location").alias("wanted")), "qid").where("location = wanted").select("qid", "item_idx", "score")
+            place = self.items.select("item_idx", "location")
+            found = found.join(place, "item_idx").join(queries.select("qid", F.col("location").alias("wanted")), "qid").where(same_place(F.col("location"), F.col("wanted")))
         return top_k(found.select("qid", "item_idx", "score"), k)
 
 
+def same_place(a: Column, b: Column) -> Column:
+    """Whether two location ids are one: numbers compare as numbers (7, 7.0 and '7' are one place)."""
+    plain = lambda c: F.coalesce(c.try_cast("decimal(20,0)").cast("string"), c.cast("string"))
+    number = lambda c: F.when(c.try_cast("double") == c.try_cast("double").cast("long"), c.try_cast("double").cast("long").cast("string")).otherwise(plain(c))
+    return number(a.cast("string")) == number(b.cast("string"))
+
+
 def coverage(queries: DataFrame, items: DataFrame) -> DataFrame:
     """(qid, item_idx, coverage): share of a query's distinct terms that the item has."""
-    asked = queries.select("qid", F.array_distinct(tokens(F.col("text"))).alias("ts"))
+    asked = composed(queries.select("qid", "text"), "text").select("qid", F.array_distinct(tokenize(F.col("text"))).alias("ts"))
     n = asked.select("qid", F.greatest(F.size("ts"), F.lit(1)).alias("n"))
-    have = items.select("item_idx", F.explode(F.array_distinct(tokens(field_text(F.col("title"), F.col("params"))))).alias("term"))
+    short = composed(items.select("item_idx", "title", "params"), "title", "params")
+    have = short.select("item_idx", F.explode(F.array_distinct(F.concat(tokenize(F.col("title")), tokenize(F.col("params"))))).alias("term"))
     hits = asked.select("qid", F.explode("ts").alias("term")).join(have, "term").groupBy("qid", "item_idx").agg(F.count(F.lit(1)).alias("hits"))
     return hits.join(n, "qid").select("qid", "item_idx", (F.col("hits") / F.col("n")).alias("coverage"))

@@ -5,6 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import appended, with_row_index, written
+
+#: Shares of the regimes among validation queries; the rest are cold texts.
+WARM_CONTEXT, WARM_TEXT = 0.044, 0.33
+#: Share of the target items that leave the log altogether.
+COLD_ITEMS = 0.904
+
 
 def draw(*key: Column, seed: int) -> Column:
     """A reproducible draw in [0, 2^32) by md5, equal in every engine."""
@@ -16,11 +23,24 @@ def query_id(key: Column) -> Column:
     return F.substring(F.sha2(key, 256), 1, 16)
 
 
+def sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
+    """``n`` rows without replacement, those of the smallest draws; Spark cuts each task's rows to n before they move."""
+    return df.withColumn("__draw", draw(F.col(key), seed=seed)).orderBy("__draw", key).limit(n).drop("__draw")
+
+
+def place_in(df: DataFrame, group: str, key: str, seed: int, name: str = "place", size: str = "of") -> DataFrame:
+    """Place of each row (from 0) in the order of draws within its group, and the group's size; no group is sorted by one task."""
+    drawn = df.withColumn("__draw", draw(F.col(key), seed=seed))
+    placed = with_row_index(drawn, group, "__draw", key)
+    starts = placed.groupBy(group).agg(F.min("row_idx").alias("__start"), F.count(F.lit(1)).alias(size))
+    return placed.join(starts, group).withColumn(name, F.col("row_idx") - F.col("__start")).drop("__draw", "row_idx", "__start")
+
+
 def assign(contexts: DataFrame, key: str, seed: int = 42) -> DataFrame:
     """``split``: half fit, a quarter dev, a quarter audit, in the order of draws within ``regime``."""
-    order = Window.partitionBy("regime").orderBy("__draw", key)
-    ranked = contexts.withColumn("__draw", draw(F.col(key), seed=seed)).withColumn("__p", F.percent_rank().over(order))
-    return ranked.withColumn("split", F.when(F.col("__p") < 0.5, "fit").when(F.col("__p") < 0.75, "dev").otherwise("audit")).drop("__draw", "__p")
+    placed = place_in(contexts, "regime", key, seed, "__place", "__of")
+    p = F.when(F.col("__of") > 1, F.col("__place") / (F.col("__of") - 1)).otherwise(0.0)
+    return placed.withColumn("split", F.when(p < 0.5, "fit").when(p < 0.75, "dev").otherwise("audit")).drop("__place", "__of")
 
 
 def hide(train: DataFrame, hidden: DataFrame, on: list[str]) -> DataFrame:
@@ -33,4 +53,41 @@ def overlap(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
 
 
 def first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
-    return df.withColumn("__rn", F.row_number().over(Window.partitionBy(key).orderBy(order))).where("__rn = 1").drop("__rn")
+    """The first row of each key; the rows before it never leave their task."""
+    rest = [c for c in df.columns if c != key]
+    return df.groupBy(key).agg(F.min_by(F.struct(*rest), F.col(order)).alias("__s")).select(*[key if c == key else F.col(f"__s.{c}").alias(c) for c in df.columns])
+
+
+def make_validation(log: DataFrame, corpus: DataFrame, items: DataFrame, count: int, seed: int = 42) -> dict[str, DataFrame]:
+    """Queries, truth, training log and corpus of a validation split of a log (text, context, item_id, ...).
+
+    ``count`` contexts become queries, each text once: warm contexts (two
+    items or more, of which half is hidden), warm texts (in two contexts or
+    more) and cold texts, whose every row leaves the log. Of the target items
+    ``COLD_ITEMS`` leave the log altogether, and all hidden pairs do. Queries
+    are split into fit, dev and audit; the corpus gets the targets it lacks
+    behind its own items.
+    """
+    pairs = written(log.select("context", "text", "item_id").distinct(), "split-pairs")
+    contexts = pairs.groupBy("context", "text").agg(F.count(F.lit(1)).alias("n_items"))
+    spread = contexts.groupBy("text").agg(F.count(F.lit(1)).alias("n_contexts"))
+    told = contexts.join(spread, "text")
+    can_context, can_text = F.col("n_items") >= 2, F.col("n_contexts") >= 2
+    # A hashed draw a text says which regime it may serve; of its contexts the one with the smallest draw is taken.
+    share = draw(F.col("text"), seed=seed + 1) / float(1 << 32)
+    regime = F.when(can_context & (share < 2 * WARM_CONTEXT), "warm_context").when(can_text & (share < WARM_TEXT + 2 * WARM_CONTEXT), "warm_text").otherwise("cold_text")
+    one = told.withColumns({"regime": regime, "__draw": draw(F.col("context"), seed=seed)})
+    chosen = one.groupBy("text").agg(F.min_by(F.struct("context", "regime", "n_items"), F.struct("__draw", "context")).alias("s")).select("text", "s.*")
+    wanted = {"warm_context": round(count * WARM_CONTEXT), "warm_text": round(count * WARM_TEXT)}
+    wanted["cold_text"] = count - sum(wanted.values())
+    limit = F.create_map(*[F.lit(x) for kv in wanted.items() for x in kv])
+    queries = place_in(chosen, "regime", "context", seed).where(F.col("place") < limit[F.col("regime")]).drop("place", "of")
+    queries = written(assign(queries.withColumn("query_id", query_id(F.col("context"))), "context", seed), "split-queries")
+    targets = pairs.join(queries.select("context", "regime", "query_id", "n_items"), "context")
+    order = Window.partitionBy("context").orderBy(draw(F.col("context"), F.col("item_id"), seed=seed), "item_id")  # one query's items
+    keep = (F.col("regime") != "warm_context") | (F.row_number().over(order) <= F.greatest(F.floor(F.col("n_items") / 2), F.lit(1)))
+    truth = written(targets.withColumn("keep", keep).where("keep").select("query_id", "context", "item_id"), "split-truth")
+    goal = truth.select("item_id").distinct().where(draw(F.col("item_id"), seed=seed + 2) < int(COLD_ITEMS * (1 << 32)))
+    train = hide(log, queries.where("regime = 'cold_text'"), ["text"])
+    train = hide(hide(train, goal, ["item_id"]), truth, ["context", "item_id"])
+    return {"queries": queries, "truth": truth, "train": train, "corpus": appended(corpus, items.join(truth.select("item_id").distinct(), "item_id", "left_semi"), "item_id")}

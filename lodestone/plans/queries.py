@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import context_key, normalized, tokens
 from ..operators import behavior, candidates, dense, evaluation, geography, lexical, ranker, split, submission, topk
-from ..sources.tables import check_vectors, scratch, table
+from ..sources.tables import check_vectors, scratch, table, written
 from ..streaming import counters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -178,7 +178,7 @@ def allowed_share_topk(spark, d):
     return _index(spark, d, True).search(asked(spark, d), "bm25", 10, allowed=((last if last is not None else -1) + 2) // 2)
 
 
-def _tfidf_sql(grams: str, min_df: int, most: str) -> str:
+def _tfidf_sql(grams: str, min_df: int, most: str, k: int = 10) -> str:
     return f"""
 WITH {ITEMS},
 texts AS (SELECT 'd' AS side, item_idx AS id, title || ' ' || params AS text FROM items UNION ALL SELECT 'q', qid, text FROM asked),
@@ -191,19 +191,23 @@ raw AS (SELECT side, id, tf.term AS term, (1 + ln(tf)) * idf AS w FROM tf JOIN i
 norms AS (SELECT side, id, sqrt(sum(w * w)) AS norm FROM raw GROUP BY side, id),
 unit AS (SELECT raw.side AS side, raw.id AS id, term, w / norm AS w FROM raw JOIN norms ON raw.side = norms.side AND raw.id = norms.id),
 scores AS (SELECT q.id AS qid, i.id AS item_idx, round(sum(q.w * i.w), 6) AS score FROM unit q JOIN unit i ON q.term = i.term WHERE q.side = 'q' AND i.side = 'd' GROUP BY q.id, i.id)
-SELECT * FROM (SELECT qid, item_idx, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, item_idx) AS rank FROM scores WHERE score > 0) WHERE rank <= 10"""
+SELECT * FROM (SELECT qid, item_idx, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, item_idx) AS rank FROM scores WHERE score > 0) WHERE rank <= {k}"""
 
 
-@query(_tfidf_sql("SELECT side, id, unnest(ts) AS term FROM toks UNION ALL SELECT side, id, ts[i] || ' ' || ts[i + 1] FROM (SELECT side, id, ts, unnest(range(1, len(ts))) AS i FROM toks WHERE len(ts) > 1)", 1, ""))
+WORD_PAIRS = "SELECT side, id, unnest(ts) AS term FROM toks UNION ALL SELECT side, id, ts[i] || ' ' || ts[i + 1] FROM (SELECT side, id, ts, unnest(range(1, len(ts))) AS i FROM toks WHERE len(ts) > 1)"
+CHAR_GRAMS = """
+  SELECT side, id, substr(p, i, n) AS term FROM (
+    SELECT side, id, p, n, unnest(range(1, greatest(length(p) - n + 1, 1) + 1)) AS i FROM (
+      SELECT side, id, ' ' || w || ' ' AS p, unnest([3, 4, 5]) AS n FROM (SELECT side, id, unnest(ts) AS w FROM toks))
+    WHERE n = 3 OR length(p) >= n)"""
+
+
+@query(_tfidf_sql(WORD_PAIRS, 1, ""))
 def tfidf_word_topk(spark, d):
     return _index(spark, d, True).search(asked(spark, d), "word", 10)
 
 
-@query(_tfidf_sql("""
-  SELECT side, id, substr(p, i, n) AS term FROM (
-    SELECT side, id, p, n, unnest(range(1, greatest(length(p) - n + 1, 1) + 1)) AS i FROM (
-      SELECT side, id, ' ' || w || ' ' AS p, unnest([3, 4, 5]) AS n FROM (SELECT side, id, unnest(ts) AS w FROM toks))
-    WHERE n = 3 OR length(p) >= n)""", 2, "ORDER BY total DESC, term LIMIT 250000"), whole=True)
+@query(_tfidf_sql(CHAR_GRAMS, 2, "ORDER BY total DESC, term LIMIT 250000"), whole=True)
 def char_ngram_topk(spark, d, whole=False):
     return _index(spark, d, whole).search(asked(spark, d), "char", 10)
 
@@ -252,8 +256,8 @@ def poststratified_recall(spark, d, whole=False):
 
 @query(f"WITH {RANKED}, {TRUTH} SELECT CASE WHEN rank <= 5 THEN 'hit' WHEN rank IS NOT NULL THEN 'below' ELSE 'missing' END AS outcome, count(*) AS n FROM truth t LEFT JOIN ranked r ON t.qid = r.qid AND t.item_idx = r.item_idx GROUP BY 1", whole=True)
 def loss_decomposition(spark, d, whole=False):
-    ranked = _index(spark, d, whole).search(asked(spark, d), "bm25", 1_000_000_000)
-    return evaluation.loss(truth(spark, d), ranked, 5)
+    found = _index(spark, d, whole).scores(asked(spark, d), "bm25").withColumn("score", r6("score")).where("score > 0")
+    return evaluation.loss(truth(spark, d), found, 5)
 
 
 @query("SELECT round(avg(CASE WHEN trim(regexp_extract(text, '^[^.]*')) = '' OR length(text) < 100 THEN 1.0 ELSE 0.0 END), 6) AS empty_fraction FROM documents")
@@ -299,14 +303,80 @@ def _behavior_queries(spark, d):
     return table(spark, d, "benchmark").select(F.col("item_id").alias("qid"), normalized(F.col("text")).alias("text"), F.lit("").alias("context"), F.lit("PROMO").alias("filter"))
 
 
+def _near_sql(asks: str) -> str:
+    """CTEs with the nearest texts of the log for ``asks`` (qid, text): near_q (qid, near, score, rank, weight)."""
+    parts, each = [], []
+    for share, grams, min_df in ((0.55, WORD_PAIRS, 1), (0.45, CHAR_GRAMS, 2)):
+        each.append(f"""
+  SELECT q.id AS qid, i.text AS near, {share} * sum(q.w * i.w) AS score FROM (
+    WITH toks AS (SELECT side, id, list_filter(string_split(text, ' '), lambda x: x <> '') AS ts FROM sides), grams AS ({grams}),
+    tf AS (SELECT side, id, term, count(*) AS tf FROM grams GROUP BY side, id, term),
+    vocab AS (SELECT term, count(*) AS df FROM tf WHERE side = 'd' GROUP BY term HAVING count(*) >= {min_df}),
+    raw AS (SELECT side, id, tf.term AS term, (1 + ln(tf)) * (ln((1.0 + (SELECT count(*) FROM base)) / (1 + df)) + 1) AS w FROM tf JOIN vocab ON tf.term = vocab.term),
+    norms AS (SELECT side, id, sqrt(sum(w * w)) AS norm FROM raw GROUP BY side, id)
+    SELECT raw.side AS side, raw.id AS id, term, w / norm AS w FROM raw JOIN norms ON raw.side = norms.side AND raw.id = norms.id) q
+  JOIN (
+    WITH toks AS (SELECT side, id, list_filter(string_split(text, ' '), lambda x: x <> '') AS ts FROM sides WHERE side = 'd'), grams AS ({grams}),
+    tf AS (SELECT id, term, count(*) AS tf FROM grams GROUP BY id, term),
+    vocab AS (SELECT term, count(*) AS df FROM tf GROUP BY term HAVING count(*) >= {min_df}),
+    raw AS (SELECT id, tf.term AS term, (1 + ln(tf)) * (ln((1.0 + (SELECT count(*) FROM base)) / (1 + df)) + 1) AS w FROM tf JOIN vocab ON tf.term = vocab.term),
+    norms AS (SELECT id, sqrt(sum(w * w)) AS norm FROM raw GROUP BY id)
+    SELECT b.text AS text, term, w / norm AS w FROM raw JOIN norms ON raw.id = norms.id JOIN base b ON b.id = raw.id) i ON q.term = i.term
+  WHERE q.side = 'q' GROUP BY q.id, i.text""")
+    parts.append("base AS (SELECT row_number() OVER (ORDER BY text) AS id, text FROM (SELECT DISTINCT text FROM log))")
+    parts.append(f"asks AS ({asks})")
+    parts.append("sides AS (SELECT 'd' AS side, id, text FROM base UNION ALL SELECT 'q', qid, text FROM asks)")
+    parts.append(f"sums AS (SELECT qid, near, round(sum(score), 6) AS score FROM ({' UNION ALL '.join(each)}) GROUP BY qid, near)")
+    parts.append("best AS (SELECT * FROM (SELECT qid, near, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, near) AS rank FROM sums) WHERE rank <= 40)")
+    parts.append("near_q AS (SELECT qid, near, score, rank, CASE WHEN sum(pow(greatest(score, 0.0), 4)) OVER (PARTITION BY qid) > 0 THEN pow(greatest(score, 0.0), 4) / sum(pow(greatest(score, 0.0), 4)) OVER (PARTITION BY qid) ELSE pow(greatest(score, 0.0), 4) END AS weight FROM best)")
+    return ",\n".join(parts)
+
+
 @query()
 def behavior_knn(spark, d):
     return behavior.neighbors(_behavior_queries(spark, d), log(spark, d))
 
 
+@query(f"WITH {BASE}, {_near_sql('SELECT item_id AS qid, array_to_string(' + TOK.format('text') + ', chr(32)) AS text FROM benchmark')} SELECT qid, near, score, rank, round(weight, 4) AS weight FROM near_q")
+def behavior_nearest(spark, d):
+    """``behavior_knn`` with rounded weights."""
+    return behavior_knn(spark, d).withColumn("weight", F.round("weight", 4))
+
+
+@query(f"""
+WITH {BASE}, {_near_sql("SELECT row_number() OVER (ORDER BY text) AS qid, text FROM (SELECT DISTINCT text FROM log)")},
+keys AS (SELECT text, min(context) AS context, min(filter) AS filter FROM log GROUP BY text),
+corpus AS (SELECT p_partkey AS item_id, p_brand AS category FROM part),
+pairs AS (SELECT text, item_id, count(*) AS n FROM log WHERE item_id IN (SELECT item_id FROM corpus) GROUP BY text, item_id),
+memory AS (SELECT a.text AS text, p.item_id AS item_id, sum(weight * ln(1 + n)) AS m FROM near_q q JOIN asks a ON q.qid = a.qid JOIN pairs p ON p.text = q.near GROUP BY a.text, p.item_id),
+pop AS (SELECT item_id, count(*) AS n FROM log GROUP BY item_id),
+own AS (SELECT context, item_id, count(*) AS n FROM log GROUP BY context, item_id),
+cat AS (SELECT text, category, count(*) / CAST(sum(count(*)) OVER (PARTITION BY text) AS DOUBLE) AS p FROM log WHERE text <> '' GROUP BY text, category),
+probs AS (SELECT a.text AS text, category, sum(weight * p) AS probability FROM near_q q JOIN asks a ON q.qid = a.qid JOIN cat ON cat.text = q.near GROUP BY a.text, category),
+rates AS (SELECT category, (sum(local) + 20 * (SELECT avg(local) FROM log)) / (count(*) + 20) AS rate FROM log GROUP BY category),
+locals AS (SELECT text, sum(probability * rate) AS r FROM probs JOIN rates ON probs.category = rates.category GROUP BY text),
+fcat AS (SELECT filter, category, count(*) / CAST(sum(count(*)) OVER (PARTITION BY filter) AS DOUBLE) AS p FROM log WHERE filter <> '' GROUP BY filter, category),
+fn AS (SELECT filter, count(*) AS n FROM log GROUP BY filter), tn AS (SELECT text, count(*) AS n FROM log GROUP BY text),
+top AS (SELECT a.text AS text, max(score) AS s FROM near_q q JOIN asks a ON q.qid = a.qid GROUP BY a.text)
+SELECT k.text AS text, m.item_id AS item_id, round(coalesce(ln(1 + pop.n), 0.0), 4) AS popularity, round(m.m, 4) AS memory_score,
+       round(coalesce(ln(1 + pairs.n), 0.0), 4) AS text_item_count, round(coalesce(ln(1 + own.n), 0.0), 4) AS context_item_count,
+       round(coalesce(probability, 0.0), 4) AS microcat_probability, round(coalesce(rate, (SELECT avg(local) FROM log)), 4) AS category_local_rate,
+       round(coalesce(locals.r, 0.0), 4) AS query_local_rate, round(coalesce(fcat.p, 0.0), 4) AS filter_microcat_probability,
+       round(coalesce(ln(1 + fn.n), 0.0), 4) AS filter_train_count, round(coalesce(ln(1 + tn.n), 0.0), 4) AS query_train_count, round(coalesce(top.s, 0.0), 4) AS nearest_query_similarity
+FROM memory m JOIN keys k ON m.text = k.text JOIN corpus c ON c.item_id = m.item_id LEFT JOIN pop ON pop.item_id = m.item_id
+LEFT JOIN pairs ON pairs.text = k.text AND pairs.item_id = m.item_id LEFT JOIN own ON own.context = k.context AND own.item_id = m.item_id
+LEFT JOIN probs ON probs.text = k.text AND probs.category = c.category LEFT JOIN rates ON rates.category = c.category LEFT JOIN locals ON locals.text = k.text
+LEFT JOIN fcat ON fcat.filter = k.filter AND fcat.category = c.category LEFT JOIN fn ON fn.filter = k.filter LEFT JOIN tn ON tn.text = k.text LEFT JOIN top ON top.text = k.text""")
+def behavior_by_text(spark, d):
+    """``behavior_features`` rounded, with the query's text."""
+    texts = log(spark, d).select("text").distinct().withColumn("qid", F.xxhash64("text"))
+    found = behavior_features(spark, d).join(texts, "qid").drop("qid")
+    return found.select("text", "item_id", *[F.round(c, 4).alias(c) for c in found.columns if c not in ("text", "item_id")])
+
+
 @query()
 def behavior_features(spark, d):
-    train = log(spark, d)
+    train = written(log(spark, d), "log")
     corpus = table(spark, d, "part").select(F.col("p_partkey").alias("item_id"), F.col("p_brand").alias("category"))
     asks = train.select("text", "context", "filter").distinct().groupBy("text").agg(F.min("context").alias("context"), F.min("filter").alias("filter")).withColumn("qid", F.xxhash64("text"))
     near = behavior.neighbors(asks, train)
@@ -348,13 +418,32 @@ def weighted_median_price(spark, d):
 
 
 def _geo(spark, d):
-    train, at = log(spark, d), geography.centres(places(spark, d))
+    train, at = written(log(spark, d).select("search_location", "item_location"), "log"), geography.centres(places(spark, d))
     moves = geography.transitions(train)
     pairs = moves.select("search_location", F.col("item_location").alias("location")).join(places(spark, d), "location")
-    return geography.affinity(geography.features(geography.query_points(train, at), moves, pairs))
+    return geography.affinity(geography.features(geography.query_points(train, at), moves, pairs, geography.priors(train, places(spark, d))))
 
 
-@query()
+@query(f"""
+WITH {BASE}, {PLACES},
+mid AS (SELECT location, median(lat) AS lat, median(lon) AS lon FROM places WHERE NOT (lat = 0 AND lon = 0) GROUP BY location),
+pairs AS (SELECT search_location AS s, item_location AS l, count(*) AS n FROM log GROUP BY 1, 2),
+total AS (SELECT s, sum(n) AS t FROM pairs GROUP BY s),
+prior AS (SELECT l, sum(n) / CAST((SELECT count(*) FROM log) AS DOUBLE) AS p FROM pairs GROUP BY l),
+moves AS (SELECT pairs.s AS s, pairs.l AS l, n, t, p AS prior, (n + 5 * p) / (t + 5) AS prob FROM pairs JOIN total ON pairs.s = total.s JOIN prior ON pairs.l = prior.l),
+went AS (SELECT s, lat, lon, n FROM moves JOIN mid ON moves.l = mid.location),
+lats AS (SELECT s, min(v) AS v FROM (SELECT s, lat AS v, sum(sum(n)) OVER (PARTITION BY s ORDER BY lat) AS run, sum(sum(n)) OVER (PARTITION BY s) AS total FROM went GROUP BY s, lat) WHERE run >= total / 2.0 GROUP BY s),
+lons AS (SELECT s, min(v) AS v FROM (SELECT s, lon AS v, sum(sum(n)) OVER (PARTITION BY s ORDER BY lon) AS run, sum(sum(n)) OVER (PARTITION BY s) AS total FROM went GROUP BY s, lon) WHERE run >= total / 2.0 GROUP BY s),
+points AS (SELECT total.s AS s, coalesce(mid.lat, lats.v) AS lat, coalesce(mid.lon, lons.v) AS lon FROM total LEFT JOIN mid ON mid.location = total.s LEFT JOIN lats ON lats.s = total.s LEFT JOIN lons ON lons.s = total.s),
+far AS (SELECT w.s AS s, n, 12742.0 * asin(sqrt(least(greatest(pow(sin(radians(w.lat - p.lat) / 2), 2) + cos(radians(p.lat)) * cos(radians(w.lat)) * pow(sin(radians(w.lon - p.lon) / 2), 2), 0.0), 1.0))) AS km FROM went w JOIN points p ON w.s = p.s),
+scope AS (SELECT s, min(km) AS km FROM (SELECT s, km, sum(sum(n)) OVER (PARTITION BY s ORDER BY km) AS run, sum(sum(n)) OVER (PARTITION BY s) AS total FROM far GROUP BY s, km) WHERE run >= total / 2.0 GROUP BY s),
+best AS (SELECT total.s AS s, greatest(max(prob), 5 * (SELECT max(p) FROM prior) / (any_value(total.t) + 5)) AS b FROM total JOIN moves ON moves.s = total.s WHERE l IN (SELECT location FROM places) GROUP BY total.s),
+f AS (SELECT m.s AS s, i.item_id AS item_id, m.l AS l, m.n AS n, m.t AS t, m.prob AS prob, m.prob / m.prior AS lift, coalesce(scope.km, 0.0) AS scope_km, b,
+        CASE WHEN NOT (i.lat = 0 AND i.lon = 0) AND p.lat IS NOT NULL THEN 12742.0 * asin(sqrt(least(greatest(pow(sin(radians(i.lat - p.lat) / 2), 2) + cos(radians(p.lat)) * cos(radians(i.lat)) * pow(sin(radians(i.lon - p.lon) / 2), 2), 0.0), 1.0))) END AS km, p.lat IS NOT NULL AS has_point
+      FROM moves m JOIN places i ON i.location = m.l JOIN points p ON p.s = m.s LEFT JOIN scope ON scope.s = m.s JOIN best ON best.s = m.s),
+a AS (SELECT *, CASE WHEN scope_km > 300 THEN 0.9 ELSE 0.02 END AS low, greatest(CASE WHEN km IS NULL THEN 0.5 ELSE 1 / (1 + km / (25 + least(scope_km, 150.0))) END, 0.85 * (n / CAST(n + 5 AS DOUBLE)) * (0.7 * sqrt(prob / greatest(b, 1e-12)) + 0.3 * lift / (1 + lift))) AS v FROM f)
+SELECT s AS search_location, item_id, CAST(s = l AS BIGINT) AS same_location, round(coalesce(ln(1 + km), 0.0), 6) AS log_distance, CAST(km IS NOT NULL AS BIGINT) AS has_center, round(prob, 6) AS transition_probability, round(lift, 6) AS transition_lift,
+       round(scope_km, 6) AS scope_km, CAST(t AS BIGINT) AS train_count, round(CASE WHEN s = l OR NOT has_point THEN 1.0 ELSE least(greatest(low + (1 - low) * v, 0.0), 1.0) END, 6) AS affinity FROM a""")
 def geo_features(spark, d):
     out = _geo(spark, d)
     return out.select("search_location", "item_id", "same_location", r6("log_distance").alias("log_distance"), "has_center", r6("transition_probability").alias("transition_probability"), r6("transition_lift").alias("transition_lift"), r6("scope_km").alias("scope_km"), "train_count", r6("affinity").alias("affinity"))
@@ -407,19 +496,41 @@ def _channels(spark, d, whole):
     return [candidates.channel(index.scores(q, c).withColumn("score", r6("score")), c) for c in ("bm25", "word")]
 
 
-@query()
+WHOLE_BM25 = BM25.replace("substr(description, 1, 3000)", "description")
+UNION = f"""
+found AS (
+  SELECT * FROM (SELECT 'bm25' AS channel, qid, item_idx, row_number() OVER (PARTITION BY qid ORDER BY score DESC, item_idx) AS rank FROM (WITH {WHOLE_BM25} SELECT qid, item_idx, score FROM scores WHERE score > 0)) WHERE rank <= 100
+  UNION ALL SELECT 'word', qid, item_idx, rank FROM ({_tfidf_sql(WORD_PAIRS, 1, "", 100)})),
+pool AS (
+  SELECT qid, item_idx, round(coalesce(1 / sqrt(min(CASE WHEN channel = 'bm25' THEN rank END)), 0.0), 6) AS rank_bm25, round(coalesce(1 / sqrt(min(CASE WHEN channel = 'word' THEN rank END)), 0.0), 6) AS rank_word
+  FROM found GROUP BY qid, item_idx)"""
+
+
+@query(f"WITH {UNION} SELECT qid, item_idx, rank_bm25, rank_word FROM pool")
 def channel_union(spark, d):
     a, b = _channels(spark, d, True)
-    return candidates.rank_columns(a.unionByName(b), ["bm25", "word"])
+    found = candidates.rank_columns(a.unionByName(b), ["bm25", "word"])
+    return found.withColumns({c: r6(c) for c in ("rank_bm25", "rank_word")})
 
 
-@query()
+@query(f"""
+WITH {UNION}, {TRUTH},
+asks AS (SELECT item_id AS qid, {TOK.format("text")} AS qs FROM benchmark),
+docs AS (SELECT doc_id AS item_idx, {TOK.format("split_part(text, chr(10), 1)")} AS ts, length(text) AS description_length FROM documents)
+SELECT p.qid AS qid, p.item_idx AS item_idx, rank_bm25, rank_word, description_length,
+       round(len(list_intersect(qs, ts)) / CAST(greatest(len(list_distinct(qs)), 1) AS DOUBLE), 6) AS title_coverage,
+       round(len(list_intersect(qs, ts)) / CAST(greatest(len(list_distinct(ts)), 1) AS DOUBLE), 6) AS title_precision,
+       CAST(len(qs) > 0 AND contains(array_to_string(ts, ' '), array_to_string(qs, ' ')) AS BIGINT) AS title_exact_phrase,
+       CAST(len(list_distinct(qs)) AS BIGINT) AS query_words, CAST(length(array_to_string(qs, ' ')) AS BIGINT) AS query_length,
+       CAST(t.item_idx IS NOT NULL AS BIGINT) AS label
+FROM pool p JOIN asks a ON p.qid = a.qid JOIN docs d ON p.item_idx = d.item_idx LEFT JOIN (SELECT DISTINCT qid, item_idx FROM truth) t ON p.qid = t.qid AND p.item_idx = t.item_idx""")
 def candidate_features(spark, d):
     found = channel_union(spark, d)
-    q = asked(spark, d).select("qid", tokens(F.col("text")).alias("qs"))
-    i = items(spark, d).select("item_idx", tokens(F.col("title")).alias("ts"), F.length("description").cast("long").alias("description_length"))
-    rows = found.join(q, "qid").join(i, "item_idx").withColumns(candidates.overlap_features(F.col("qs"), F.col("ts")))
-    return candidates.labels(rows.drop("qs", "ts"), truth(spark, d))
+    q = asked(spark, d).select("qid", F.col("text").alias("query_text"))
+    i = items(spark, d).select("item_idx", "title", F.length("description").cast("long").alias("description_length"))
+    rows = found.join(q, "qid").join(i, "item_idx").withColumns(candidates.overlap_features(F.col("query_text"), F.col("title")))
+    rounded = {c: r6(c) for c in ("title_coverage", "title_precision")}
+    return candidates.labels(rows.drop("query_text", "title").withColumns(rounded), truth(spark, d))
 
 
 @query(f"""
@@ -560,7 +671,7 @@ def blend_grid(spark, d):
 def gbt_ranker(spark, d):
     """A ranker of lines by whether they were returned, trained on three quarters of the orders and scored on all."""
     rows = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("qid"), F.col("l_linenumber").cast("long").alias("item_idx"), "l_quantity", "l_extendedprice", "l_discount", "l_tax", F.datediff("l_shipdate", F.lit("1992-01-01")).alias("ship_day"), (F.col("l_returnflag") == "R").cast("double").alias("label"))
-    names = ranker.feature_columns(rows)
+    names = ranker.numeric_inputs(rows)
     model = ranker.train(rows.where(F.pmod(F.xxhash64("qid"), F.lit(4)) != 0), names, trees=5)
     return topk.z_score(ranker.score(model, rows), "score", "z").select("qid", "item_idx", r6("score").alias("score"), r6("z").alias("z"), "label")
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -14,13 +15,61 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def scratch(spark: SparkSession, label: str) -> str:
-    """A new folder in the shared one that ``spark.checkpoint.dir`` names; one of its own only where none is set."""
+def shared_folder(spark: SparkSession) -> str:
+    """The shared folder that ``spark.checkpoint.dir`` names; one of its own only where none is set and all tasks run in this process."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="lodestone-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return base.rstrip("/")
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new folder in the shared one."""
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, so that later steps don't make it again."""
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def store_once(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The table of this name in the shared folder; made where there is none yet.
+
+    It is written beside and moved in whole, so no reader finds a part of it;
+    of two writers at once the first wins.
+    """
+    final = f"{shared_folder(spark)}/{name}"
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    files = jvm_path(final).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(jvm_path(f"{final}/_SUCCESS")):
+        path = scratch(spark, name)
+        make().write.parquet(path)
+        if not files.rename(jvm_path(path), jvm_path(final)) or not files.exists(jvm_path(f"{final}/_SUCCESS")):
+            final = path
+    return spark.read.parquet(final)
+
+
+def fingerprint(df: DataFrame) -> str:
+    """A digest of a table's rows in any order, repeats counted: number of rows, sum and exclusive or of two 64-bit hashes."""
+    row = F.struct(*[F.col(c) for c in sorted(df.columns)])
+    total = F.sum(F.xxhash64(row).cast("decimal(38,0)"))
+    return "|".join(map(str, df.agg(F.count(F.lit(1)), total, F.bit_xor(F.xxhash64(row, F.lit(7)))).first()))
+
+
+def row_counts(spark: SparkSession, sf_dir: str, names: list[str]) -> DataFrame:
+    """(name, n_rows, n_columns) of tables. The scans read no column: Spark takes the counts from the files' footers."""
+    out = None
+    for name in names:
+        t = table(spark, sf_dir, name)
+        own = t.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("name"), "n_rows", F.lit(len(t.columns)).cast("long").alias("n_columns"))
+        out = own if out is None else out.unionByName(own)
+    return out
 
 
 def require(df: DataFrame, *columns: str) -> DataFrame:
@@ -30,16 +79,31 @@ def require(df: DataFrame, *columns: str) -> DataFrame:
     return df
 
 
-def with_row_index(df: DataFrame, order: str) -> DataFrame:
-    """Position of each row by a unique column, as ``row_idx``; partitions are numbered apart and shifted."""
-    from pyspark.sql import Window
-
-    part = df.repartitionByRange(order).withColumn("__part", F.spark_partition_id())
+def with_row_index(df: DataFrame, *order: str) -> DataFrame:
+    """Position of each row by these columns, as ``row_idx``; the rows are dealt to ranges and written once, then numbered by range and shifted."""
+    part = written(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()), "row-index")
     counts = part.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    here = F.row_number().over(Window.partitionBy("__part").orderBy(order))
-    return part.join(F.broadcast(starts), "__part").withColumn("row_idx", (F.col("__start") + here - 1).cast("long")).drop("__part", "__start")
+    here = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
+    return part.join(F.broadcast(starts), "__part").withColumn("row_idx", (F.col("__start") + here - 1).cast("long")).drop("__part", "__start")  # a row a partition
+
+
+def appended(corpus: DataFrame, extra: DataFrame, key: str) -> DataFrame:
+    """Items after the corpus (row_idx), in the order of their key; those of the corpus keep their positions and come first."""
+    last = corpus.agg(F.coalesce(F.max("row_idx") + 1, F.lit(0))).first()[0]
+    new = with_row_index(extra.join(corpus.select(key), key, "left_anti").dropDuplicates([key]), key)
+    return corpus.unionByName(new.withColumn("row_idx", F.col("row_idx") + F.lit(last)))
+
+
+def head(df: DataFrame, n: int, order: str = "row_idx") -> DataFrame:
+    """The first ``n`` positions of a table with a row index: a filter, no sort."""
+    return df.where(F.col(order) < n)
+
+
+def number(c: Column) -> Column:
+    """A number, or null where the text is none."""
+    return c.try_cast("double")
 
 
 def read_answers(spark: SparkSession, path: str) -> DataFrame:
@@ -58,15 +122,30 @@ def write_answers(answers: DataFrame, path: str) -> None:
 
 
 def write_features(features: DataFrame, path: str) -> None:
-    features.repartition("qid").sortWithinPartitions("qid", "item_idx").write.mode("overwrite").option("compression", "zstd").parquet(path)
+    """Features of each query together, sorted by (qid, item_idx), as zstd Parquet; numbers other than keys as 32-bit floats."""
+    keys = ("qid", "item_idx", "label")
+    small = [F.col(c) if c in keys else F.col(c).cast("float").alias(c) for c in require(features, "qid", "item_idx").columns]
+    features.select(*small).repartition("qid").sortWithinPartitions("qid", "item_idx").write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
 def check_vectors(vectors: DataFrame, dims: int, tolerance: float = 1e-4) -> DataFrame:
     """Counts of vectors that are not finite, not of ``dims`` numbers, or not of unit length."""
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    odd = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     return vectors.agg(
         F.count(F.lit(1)).alias("n_vectors"),
-        F.sum((F.size("embedding") != dims).cast("long")).alias("wrong_size"),
-        F.sum(F.exists("embedding", lambda x: F.isnan(x) | x.isNull()).cast("long")).alias("not_finite"),
-        F.sum((F.abs(norm - 1) > tolerance).cast("long")).alias("not_unit"),
+        F.coalesce(F.sum((F.size("embedding") != dims).cast("long")), F.lit(0)).alias("wrong_size"),
+        F.coalesce(F.sum(F.exists("embedding", odd).cast("long")), F.lit(0)).alias("not_finite"),
+        F.coalesce(F.sum((F.abs(norm - 1) > tolerance).cast("long")), F.lit(0)).alias("not_unit"),
     )
+
+
+def load_vectors(spark: SparkSession, path: str, dims: int, ids: DataFrame) -> DataFrame:
+    """Vectors (item_id, embedding) that are sound and belong to exactly the items of ``ids`` (item_id)."""
+    vectors = require(spark.read.parquet(path), "item_id", "embedding")
+    wrong = {k: v for k, v in check_vectors(vectors, dims).first().asDict().items() if k != "n_vectors" and v}
+    if wrong:
+        raise ValueError(f"vectors are not sound: {wrong}")
+    if vectors.select("item_id").exceptAll(ids.select("item_id")).unionByName(ids.select("item_id").exceptAll(vectors.select("item_id"))).head(1):
+        raise ValueError("vectors and items differ")
+    return vectors

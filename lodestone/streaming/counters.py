@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -12,16 +12,22 @@ def read_stream(spark: SparkSession, path: str, schema: StructType, files: int =
 
 
 def popularity(events: DataFrame, delay: str = "1 hour", width: str = "1 hour") -> DataFrame:
-    """Counts and sums a window and event type; state is dropped behind the watermark."""
+    """Counts and sums a window and event type; with append or update output, state is dropped behind the watermark."""
     windowed = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay).groupBy(F.window("ts", width), "event_type")
     return windowed.agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")).select(F.col("window.start").alias("start"), "event_type", "n", "total")
 
 
 def run_to_table(counted: DataFrame, folder: str) -> DataFrame:
-    """Run a complete-mode counter over all files there are; its last table, kept in ``folder``."""
+    """Run a counter over all files there are; its newest rows, kept in ``folder``.
+
+    Update mode: a batch writes only the windows that it changed, into a part
+    of its own, which a repeated batch replaces. Readers take of each window
+    the part of the latest batch, so they never meet a half-written table.
+    """
     spark = counted.sparkSession
     path = f"{folder}/table"
-    keep = lambda batch, number: batch.write.mode("overwrite").parquet(path)
-    run = counted.writeStream.outputMode("complete").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).foreachBatch(keep).start()
+    keep = lambda batch, number: batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+    run = counted.writeStream.outputMode("update").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).foreachBatch(keep).start()
     run.awaitTermination()
-    return spark.read.parquet(path)
+    newest = Window.partitionBy("start", "event_type").orderBy(F.desc("batch"))
+    return spark.read.parquet(path).withColumn("__rn", F.row_number().over(newest)).where("__rn = 1").drop("__rn", "batch")
