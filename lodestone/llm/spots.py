@@ -14,7 +14,14 @@ character is a word.
 
 Sets are compared by Jaccard. Two sets can only reach a similarity if their
 sizes are close, so near duplicates are sought within partitions of set size,
-and among those only between sets that share one of their rarest signatures.
+and among those only between sets that share one of the first signatures in a
+common order, in which the most frequent come last. Of those that meet, pairs
+are dropped whose sizes, or the parities of whose signatures, allow too little
+in common; the others' sets are compared. The query gives each document the
+class that these links connect it to. Links are sought in two steps: all
+members of a group with one of them, then only members that no link connects
+yet, large groups in blocks; so a large class isn't expanded into its pairs,
+and no pair is left out that could connect two classes.
 
 Defined results: a null text counts as empty; a text with neither chain
 nor run of words has one signature, the hash of all of it;
@@ -30,7 +37,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import count_at_or_below, documents, long_array, materialize, text_or_empty
+from ._common import HOT_KEYS, HOT_ROWS, count_at_or_below, documents, hot_keys, long_array, materialize, spread_join, text_or_empty
+from .graph import components, hot_of
 
 #: Common words of several languages.
 ANCHORS = (
@@ -44,6 +52,16 @@ REACH = 8
 SHINGLE = 4
 SPARSE = 50
 STRETCH = 100
+#: Similarity of near duplicates.
+TAU = 0.8
+#: Signatures that come last: the ``HEAVY`` most frequent of those in ``HEAVY_SETS`` sets or more.
+HEAVY, HEAVY_SETS = 10_000, 64
+#: Members of a group that are compared in one block.
+BLOCK = 256
+#: Tables of up to this many sets (of two longs, or three) are broadcast; larger ones are joined by shuffle.
+BROADCAST_SETS = 1_000_000
+WORDS = 4
+MAY_BE_UNSPACED = r"[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u2E80-\uA9FF\uAA60-\uAA7F\uF900-\uFAFF\uFF00-\uFFEF]|[^\u0000-\uFFFF]"
 UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 WORDS_END = rf"[^\p{{L}}\p{{N}}]+|(?<={UNSPACED})(?=[\p{{L}}\p{{N}}])|(?<=[\p{{L}}\p{{N}}])(?={UNSPACED})"
 CHARS_PER_PART = 16_000_000
@@ -61,27 +79,45 @@ def shingles(ws: Column) -> Column:
     return F.transform(starts, lambda i: F.xxhash64(*[F.get(ws, i + k) for k in range(SHINGLE)]))
 
 
+def words_of(text: Column) -> Column:
+    """Words in lower case; only texts with unspaced scripts are tried at each character."""
+    low = F.lower(text)
+    may = (F.octet_length(text) - F.length(text) >= 2) & text.rlike(MAY_BE_UNSPACED)
+    return F.array_remove(F.when(may, F.split(low, WORDS_END)).otherwise(F.split(low, r"[^\p{L}\p{N}]+")), "")
+
+
 def signatures(text: Column) -> Column:
     """Sorted distinct signatures of a text, an ``array<bigint>`` with one element at least."""
-    words = F.array_remove(F.split(F.lower(text), WORDS_END), "")
-    common = lambda w: w.isin(*sorted(set(ANCHORS)))
+    anchors = sorted(set(ANCHORS))
+
+    def chains(ws: Column, marks: Column, content: Column) -> Column:
+        """Of the j-th anchor, at place m, the content words after it begin with the (m - j)-th."""
 
-    def chains(ws: Column, at: Column) -> Column:
-        each = F.transform(at, lambda i: F.concat(F.slice(ws, i, 1), F.slice(F.filter(F.slice(ws, i + 1, REACH), lambda w: ~common(w)), 1, CHAIN)))
-        return F.transform(F.filter(each, lambda c: F.size(c) == CHAIN + 1), lambda c: F.xxhash64(c))
+        def chain(m: Column, j: Column) -> Column:
+            at = [F.get(content, m - j + k) for k in range(CHAIN)]
+            return F.when(at[-1] <= m + REACH, F.xxhash64(F.get(ws, m), *[F.get(ws, i) for i in at]))
+
+        return F.array_compact(F.transform(marks, chain))
 
     def stretches(ws: Column, marks: Column) -> Column:
-        gaps = F.transform(marks, lambda m, i: F.struct((m + 1).alias("start"), (F.coalesce(F.get(marks, i + 1), m) - m - 1).alias("n")))
-        return F.flatten(F.transform(F.filter(gaps, lambda g: g["n"] > STRETCH), lambda g: once(F.slice(ws, g["start"], g["n"]), shingles)))
+        """Runs of words in the long gaps between anchors (and both ends)."""
+        edges = F.concat(F.array(F.lit(-1)), marks, F.array(F.size(ws)))
+
+        def gaps(edges: Column) -> Column:
+            each = F.transform(F.sequence(F.lit(1), F.size(edges) - 1), lambda i: F.struct((F.get(edges, i - 1) + 2).alias("start"), (F.get(edges, i) - F.get(edges, i - 1) - 1).alias("n")))
+            return F.flatten(F.transform(F.filter(each, lambda g: g["n"] > STRETCH), lambda g: once(F.slice(ws, g["start"], g["n"]), shingles)))
+
+        return once(edges, gaps)
 
     def of(ws: Column) -> Column:
-        def given(at: Column) -> Column:
-            between = once(F.concat(F.array(F.lit(0)), at, F.array(F.size(ws) + 1)), lambda marks: stretches(ws, marks))
-            return once(chains(ws, at), lambda found: F.concat(found, F.when(F.size(found) * SPARSE < F.size(ws), shingles(ws)).otherwise(between)))
+        def flagged(is_anchor: Column) -> Column:
+            places = F.when(F.size(ws) > 0, F.sequence(F.lit(0), F.size(ws) - 1)).otherwise(F.array().cast("array<int>"))
+            both = F.struct(F.filter(places, lambda i: F.get(is_anchor, i)).alias("marks"), F.filter(places, lambda i: ~F.get(is_anchor, i)).alias("content"))
+            return once(both, lambda b: once(chains(ws, b["marks"], b["content"]), lambda found: F.concat(found, F.when(F.size(found) * SPARSE < F.size(ws), shingles(ws)).otherwise(stretches(ws, b["marks"])))))
 
-        return once(F.filter(F.transform(ws, lambda w, i: F.when(common(w), i + 1).otherwise(0)), lambda i: i > 0), given)
+        return once(F.transform(ws, lambda w: w.isin(*anchors)), flagged)
 
-    return once(F.array_sort(F.array_distinct(once(words, of))), lambda s: F.when(F.size(s) > 0, s).otherwise(F.array(F.xxhash64(text))))
+    return once(F.array_sort(F.array_distinct(once(words_of(text), of))), lambda s: F.when(F.size(s) > 0, s).otherwise(F.array(F.xxhash64(text))))
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -123,8 +159,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     return found.where("ghost = 0").drop("part", "ghost", "tie")
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """Fingerprints of each text, of its edited text, and their likeness."""
+def likeness(docs: DataFrame) -> DataFrame:
+    """Fingerprints of each text, of its edited text, and their likeness; set_id names the text's set."""
     n, half = F.length("text"), F.floor(F.length("text") / 2)
     edited = F.concat(F.substring(F.col("text"), F.lit(1), (n - half).cast("int")), F.substring(F.col("next_text"), F.lit(1), half.cast("int")))
     rows = with_next(docs).withColumn("edited", edited).withColumn("edited_sigs", signatures(F.col("edited")))
@@ -136,9 +172,130 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         as_text(F.col("edited_sigs")).alias("edited_fingerprint"),
         jaccard(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"),
         jaccard(F.col("sigs"), F.col("next_sigs")).alias("near_next"),
+        F.xxhash64(short_set(F.col("sigs"))).alias("set_id"),
     )
 
 
+def short_set(sigs: Column) -> Column:
+    """The set as the fingerprint shows it: distinct 32-bit values, sorted."""
+    return F.array_sort(F.array_distinct(F.transform(sigs, lambda s: F.shiftright(F.shiftleft(s, 32), 32).cast("int"))))
+
+
+def parities(sigs: Column) -> Column:
+    """``WORDS`` longs with a bit for each residue of the signatures, set if an odd number of them have it."""
+    powers = long_array([1 << k if k < 63 else -(1 << 63) for k in range(64)])
+    bits = F.transform(sigs, lambda s: F.struct(F.shiftrightunsigned(s, 6).bitwiseAND(F.lit(WORDS - 1)).alias("word"), F.get(powers, s.bitwiseAND(F.lit(63))).alias("bit")))
+
+    def parity(bs: Column, k: int) -> Column:
+        return F.aggregate(bs, F.lit(0).cast("long"), lambda acc, b: F.when(b["word"] == k, acc.bitwiseXOR(b["bit"])).otherwise(acc))
+
+    return once(bits, lambda bs: F.array(*[parity(bs, k) for k in range(WORDS)]))
+
+
+def distinct_sets(docs: DataFrame) -> DataFrame:
+    """set_id, first (smallest doc_id), n_docs, n and sigs of each distinct set; copies of a text meet before the exchange."""
+    sets = docs.select(F.col("doc_id").cast("long").alias("doc_id"), short_set(signatures(text_or_empty())).alias("sigs"))
+    rows = sets.select("doc_id", F.xxhash64("sigs").alias("set_id"), "sigs")
+    met = rows.groupBy("set_id").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n_docs"), F.max("sigs").alias("sigs"))
+    return met.withColumn("n", F.size("sigs"))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, tau: float) -> DataFrame:
+    """Pairs (u, v) of set ids whose sets are similar, written; only sets in a pair are moved."""
+    pairs = materialize(pairs, "spots-pairs")
+    ids = materialize(pairs.select(F.explode(F.array("u", "v")).alias("set_id")).distinct(), "spots-ids")
+    few = ids.count() <= BROADCAST_SETS
+    asked = materialize(sets.join(F.broadcast(ids) if few else ids, "set_id", "left_semi").select("set_id", "sigs"), "spots-asked")
+    side = lambda c: asked.select(F.col("set_id").alias(c), F.col("sigs").alias(f"sigs_{c}"))
+    met = spread_join(pairs, side("v"), ["v"], hot_keys(pairs, "v"), F.col("u"))
+    met = spread_join(met, side("u"), ["u"], hot_keys(pairs, "u"), F.col("v"))
+    return materialize(met.where(jaccard(F.col("sigs_u"), F.col("sigs_v")) >= tau).select("u", "v"), "spots-links", pairs, ids, asked)
+
+
+def linked_sets(sets: DataFrame, tau: float = TAU) -> DataFrame | None:
+    """(node, root) of sets that links of similarity ``tau`` connect; None if there are no links.
+
+    ``sets`` has set_id, n and sigs and is materialised.
+    """
+    counts = sets.select(F.explode("sigs").alias("sig")).groupBy("sig").agg(F.count(F.lit(1)).alias("n_sets")).where(F.col("n_sets") >= HEAVY_SETS)
+    heavy = [r[0] for r in counts.orderBy(F.desc("n_sets"), "sig").limit(HEAVY).collect()]
+    ordered = F.concat(F.filter("sigs", lambda s: ~s.isin(heavy)), F.filter("sigs", lambda s: s.isin(heavy))) if heavy else F.col("sigs")
+    # Two sets with Jaccard tau share one of the first n - ceil(tau n) + 1 signatures in any common order.
+    n_first = (F.col("n") - F.ceil(F.col("n") * tau - 1e-9) + 1).cast("int")
+    first = sets.select("set_id", "n", F.explode(F.slice(ordered, F.lit(1), n_first)).alias("sig"))
+    shared = materialize(first.groupBy("sig").agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1"), "spots-shared")
+    frequent = [r[0] for r in shared.where(F.col("n_rows") > HOT_ROWS).orderBy(F.desc("n_rows"), "sig").limit(HOT_KEYS).select("sig").collect()]
+    met = spread_join(first, shared.select("sig"), ["sig"], frequent, F.col("set_id"))
+    # Sets of a size partition meet each other and, as guests, those of the next larger one.
+    size_part = F.floor(F.log(F.col("n").cast("double")) / -math.log(tau) + 1e-9)
+    roles = F.array(F.struct(size_part.alias("part"), F.lit(False).alias("guest")), F.struct((size_part - 1).alias("part"), F.lit(True).alias("guest")))
+    members = materialize(met.select("sig", "set_id", "n", F.explode(roles).alias("r")).select("sig", "r.part", "r.guest", "set_id", "n"), "spots-members", shared)
+    close = lambda a, b: (F.least(a, b) >= F.greatest(a, b) * tau - 1e-9)
+    key = ["sig", "part"]
+
+    def groups(rows: DataFrame, *more: Column) -> DataFrame:
+        own = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows"), F.min(F.struct("set_id", "n")).alias("pivot"), F.min("guest").alias("guests_only"), *more)
+        return own.where("n_rows > 1 and not guests_only")
+
+    def in_groups(rows: DataFrame, own: DataFrame) -> DataFrame:
+        hot = [r[0] for r in own.where(F.col("n_rows") > HOT_ROWS).orderBy(F.desc("n_rows"), "sig").limit(HOT_KEYS).select("sig").distinct().collect()]
+        return spread_join(rows, own, key, hot, F.col("set_id"))
+
+    own = materialize(groups(members).select(*key, "n_rows", "pivot"), "spots-groups")
+    pairs = in_groups(members, own).where((F.col("set_id") != F.col("pivot.set_id")) & close(F.col("n"), F.col("pivot.n")))
+    links = _verified(pairs.select(F.greatest("set_id", "pivot.set_id").alias("u"), F.least("set_id", "pivot.set_id").alias("v")).distinct(), sets, tau)
+    found = None if links.isEmpty() else materialize(components(links), "spots-components")
+    label = F.col("set_id") if found is None else F.coalesce("root", "set_id")
+    told = members if found is None else spread_join(members, found.withColumnRenamed("node", "set_id"), ["set_id"], hot_keys(members, "set_id"), F.col("sig"), "left")
+    told = materialize(told.withColumn("label", label).select("sig", "part", "guest", "set_id", "n", "label"), "spots-labelled", members, own)
+    # Only groups whose members are not all connected yet have pairs to compare, and only between what isn't.
+    apart = materialize(groups(told, F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select(*key, "n_rows"), "spots-apart")
+    bits = sets.select("set_id", parities(F.col("sigs")).alias("bits"))
+    rest = in_groups(told, apart)
+    rest = spread_join(rest, bits.join(materialize(rest.select("set_id").distinct(), "spots-rest"), "set_id", "left_semi"), ["set_id"], hot_keys(rest, "set_id"), F.col("sig"))
+    n_blocks = F.ceil(F.col("n_rows") / BLOCK).cast("int")
+    block = F.pmod(F.xxhash64("set_id"), n_blocks).cast("int")
+    rest = materialize(rest.withColumns({"block": block, "n_blocks": n_blocks}), "spots-blocked", told, apart)
+    fields = ("set_id", "n", "label", "guest", "bits")
+    left = rest.select(*key, F.col("block").alias("i"), F.explode(F.sequence("block", F.col("n_blocks") - 1)).alias("j"), *[F.col(c).alias(f"{c}_a") for c in fields])
+    right = rest.select(*key, F.explode(F.sequence(F.lit(0), "block")).alias("i"), F.col("block").alias("j"), *[F.col(c).alias(f"{c}_b") for c in fields])
+    differ = F.lit(0)
+    for k in range(WORDS):
+        differ = differ + F.bit_count(F.get("bits_a", F.lit(k)).bitwiseXOR(F.get("bits_b", F.lit(k))))
+    may = (F.col("label_a") != F.col("label_b")) & ~(F.col("guest_a") & F.col("guest_b")) & ((F.col("i") != F.col("j")) | (F.col("set_id_a") < F.col("set_id_b"))) & close(F.col("n_a"), F.col("n_b"))
+    may = may & (differ <= (F.col("n_a") + F.col("n_b")) * ((1 - tau) / (1 + tau)) + 1e-9)
+    pairs = left.join(right, [*key, "i", "j"]).where(may).select(F.greatest("set_id_a", "set_id_b").alias("u"), F.least("set_id_a", "set_id_b").alias("v")).distinct()
+    more = _verified(pairs, sets, tau)
+    if more.isEmpty():
+        return found
+    return components(more if found is None else links.unionByName(more))
+
+
+def near_duplicates(docs: DataFrame, tau: float = TAU) -> DataFrame:
+    """set_id, class_id (smallest doc_id) and class_size (documents) of each set whose class has more than one document."""
+    sets = materialize(distinct_sets(docs), "spots-distinct")
+    found = linked_sets(sets, tau)
+    named = sets.select("set_id", "first", "n_docs")
+    if found is None:
+        return materialize(named.where("n_docs > 1").select("set_id", F.col("first").alias("class_id"), F.col("n_docs").alias("class_size")), "spots-classes")
+    held = materialize(named.join(found, named["set_id"] == found["node"], "left").select("set_id", "first", "n_docs", F.coalesce("root", "set_id").alias("root")), "spots-roots")
+    classes = materialize(held.groupBy("root").agg(F.min("first").alias("class_id"), F.sum("n_docs").alias("class_size"), F.count(F.lit(1)).alias("n")).where("class_size > 1"), "spots-names")
+    out = spread_join(held, classes.select("root", "class_id", "class_size"), ["root"], hot_of(classes, "root"), F.col("set_id"))
+    return materialize(out.select("set_id", "class_id", "class_size"), "spots-classes", sets, held, classes)
+
+
+def fingerprints(docs: DataFrame, tau: float = TAU) -> DataFrame:
+    """Fingerprints of each text, of its edited text, their likeness, and the class of near duplicates that the document is in."""
+    classes = near_duplicates(docs, tau)
+    rows = likeness(docs)
+    if classes.count() <= BROADCAST_SETS:
+        met = rows.join(F.broadcast(classes), "set_id", "left")
+    else:
+        counted = classes.withColumnRenamed("class_size", "n")
+        met = spread_join(rows, classes, ["set_id"], hot_of(counted, "set_id"), F.col("doc_id"), "left")
+    return met.withColumns({"class_id": F.coalesce("class_id", "doc_id"), "class_size": F.coalesce("class_size", F.lit(1)).cast("long")}).drop("set_id")
+
+
 def near_classes(docs: DataFrame, tau: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """Pairs of classes whose sets have a Jaccard of ``tau`` or more, and the members of each class.
 
