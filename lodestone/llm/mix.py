@@ -12,7 +12,8 @@ Large documents come first, those of more than 1 / ``LARGE`` of their source's
 words, of which a source has fewer than ``LARGE``. Each in turn, the largest
 first, is paired with all that is still open below it, taken as one unit
 whose members share what it gains or loses; so it is settled unless too
-little is left below. Then groups of about ``GROUP`` open documents leave one
+little is left below. Where only one of its two outcomes leaves the rest
+within bounds, that one is taken; there nearness goes before expectation. Then groups of about ``GROUP`` open documents leave one
 open document each; these residuals meet in groups again, up a reduction tree.
 The last open document of a source is rounded to the nearer side. It is a
 small one, so a source's taken words differ from its target by 1 / (2
@@ -107,7 +108,8 @@ def _settle_large(items: Column, p: Column, words: Column) -> Column:
         mass, below = p * x["w"], p * rest
         gain, loss = F.least(x["w"] - mass, below), F.least(mass, rest - below)
         up = _uniform(x["h"], F.lit(SEED + 1)) * (gain + loss) < loss
-        moved = F.when(up, gain).otherwise(-loss)
+        fills, empties = x["w"] - mass <= below, mass <= rest - below  # what the others can give, and take
+        moved = F.when(fills == empties, F.when(up, gain).otherwise(-loss)).when(fills, gain).otherwise(-loss)
         done = F.struct(x["doc_id"].alias("doc_id"), x["size"].alias("size"), x["rows"].alias("rows"), ((mass + moved) * 2 >= x["w"]).alias("one"))
         left = F.when(rest > 0, F.least(F.greatest((below - moved) / rest, F.lit(0.0)), F.lit(1.0))).otherwise(0.0)
         return F.struct(left.alias("p"), rest.alias("words"), F.concat(acc["done"], F.array(done)).alias("done"))

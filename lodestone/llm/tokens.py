@@ -253,7 +253,11 @@ class PrefixCounter:
         library, parted = self.bpe.library, PreTokenizedString(word)
         parted.normalize(library.normalizer.normalize)
         library.pre_tokenizer.pre_tokenize(parted)
-        starts = sorted({0, *(a for _, (a, _), _ in parted.get_splits(offset_referential="original", offset_type="char"))})
+        starts, end = [0], 0
+        for _, (a, b), _ in parted.get_splits(offset_referential="original", offset_type="char"):
+            if a >= end and a > starts[-1]:  # else one character became parts of two pieces
+                starts.append(a)
+            end = max(end, b)
         counts = [0]
         for i, a in enumerate(starts):
             base = starts[max(0, i - 3)]
