@@ -203,6 +203,8 @@ def distinct_sets(docs: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, sets: DataFrame, tau: float) -> DataFrame:
     """Pairs (u, v) of set ids whose sets are similar, written; only sets in a pair are moved."""
     pairs = materialize(pairs, "spots-pairs")
+    if pairs.isEmpty():
+        return pairs
     ids = materialize(pairs.select(F.explode(F.array("u", "v")).alias("set_id")).distinct(), "spots-ids")
     few = ids.count() <= BROADCAST_SETS
     asked = materialize(sets.join(F.broadcast(ids) if few else ids, "set_id", "left_semi").select("set_id", "sigs"), "spots-asked")
@@ -250,6 +252,8 @@ def linked_sets(sets: DataFrame, tau: float = TAU) -> DataFrame | None:
     told = materialize(told.withColumn("label", label).select("sig", "part", "guest", "set_id", "n", "label"), "spots-labelled", members, own)
     # Only groups whose members are not all connected yet have pairs to compare, and only between what isn't.
     apart = materialize(groups(told, F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select(*key, "n_rows"), "spots-apart")
+    if apart.isEmpty():
+        return found
     bits = sets.select("set_id", parities(F.col("sigs")).alias("bits"))
     rest = in_groups(told, apart)
     rest = spread_join(rest, bits.join(materialize(rest.select("set_id").distinct(), "spots-rest"), "set_id", "left_semi"), ["set_id"], hot_keys(rest, "set_id"), F.col("sig"))
