@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import write_answers
+
 ITEM_ID = r"\A[0-9a-f]{16}\z"
 
 
@@ -39,6 +41,13 @@ def check_answers(given: DataFrame, queries: DataFrame, items: DataFrame | None
     return answer_stats(given).first().asDict()
 
 
+def publish(given: DataFrame, queries: DataFrame, items: DataFrame, path: str, most: int = 50) -> dict:
+    """Write answers that are valid; their statistics. Nothing is written of others."""
+    stats = check_answers(given, queries, items, most)
+    write_answers(given, path)
+    return stats
+
+
 def answer_stats(given: DataFrame) -> DataFrame:
     n = F.when(F.col("answer") == "", 0).otherwise(F.size(F.split("answer", " "))).cast("long")
     rows = given.select(n.alias("n"), F.explode_outer(F.when(F.col("answer") != "", F.split("answer", " "))).alias("item_id"), "query_id" if "query_id" in given.columns else F.col("qid").alias("query_id"))

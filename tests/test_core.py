@@ -441,6 +441,9 @@ def test_checked_joins(spark):
         with pytest.raises(ValueError):
             wrong()
     checks.disjoint({"a": a, "b": b.where("k = 4")}, ["k"])
+    asked = tables.with_row_index(a.withColumnRenamed("k", "query_id"), "query_id").withColumnRenamed("row_idx", "qid")
+    split_of = a.select(F.col("k").alias("query_id"), F.when(F.col("k") == 2, "dev").otherwise("fit").alias("split"))
+    assert [(r.query_id, r.qid) for r in evaluation.load_queries(asked, split_of, ["dev"]).collect()] == [(2, 1)]
     both = evaluation.merged_reports(a.select("k", F.lit(2.0).alias("value")), a.select("k", F.lit(0.5).alias("value")), ["k"])
     assert {r.difference for r in both.collect()} == {1.5}
 
@@ -499,7 +502,10 @@ def test_answers(spark, tmp_path):
     good = make(" ".join(ids[:2]))
     assert submission.check_answers(good, q, items) == {"queries": 2, "empty_answers": 1, "min_items": 0, "max_items": 2, "mean_items": 1.0, "total_items": 2}
     write = str(tmp_path / "a")
-    tables.write_answers(good, write)
+    assert submission.publish(good, q, items, write)["total_items"] == 2
+    with pytest.raises(ValueError):
+        submission.publish(make(f"{0xDEAD:016x}"), q, items, str(tmp_path / "b"))
+    assert not (tmp_path / "b").exists()
     assert rows(tables.read_answers(spark, write), "query_id") == rows(good, "query_id")
     for wrong in (f"{ids[0]} {ids[0]}", f"{0xDEAD:016x}", ids[1].upper(), f"{ids[0]} ", f"{ids[0]}\n", f"{ids[0]}  {ids[1]}", f"{ids[0]},{ids[1]}", None, " ".join(ids * 20)):
         with pytest.raises(ValueError):
