@@ -17,11 +17,12 @@ sizes are close, so near duplicates are sought within partitions of set size,
 and among those only between sets that share one of the first signatures in a
 common order, in which the most frequent come last. Of those that meet, pairs
 are dropped whose sizes, or the parities of whose signatures, allow too little
-in common; the others' sets are compared. The query gives each document the
-class that these links connect it to. Links are sought in two steps: all
-members of a group with one of them, then only members that no link connects
-yet, large groups in blocks; so a large class isn't expanded into its pairs,
-and no pair is left out that could connect two classes.
+in common; the others' sets are compared. :func:`classified` gives each
+document the class that these links connect it to. Links are sought in two steps: all
+members of a group with one of them, then only members that aren't linked to
+the same set, large groups in blocks; so no pair is left out that could
+connect two classes, but a large group whose members are similar to each other
+and not to its first one is compared in pairs.
 
 Defined results: a null text counts as empty; a text with neither chain
 nor run of words has one signature, the hash of all of it;
@@ -192,47 +193,77 @@ def parities(sigs: Column) -> Column:
     return once(bits, lambda bs: F.array(*[parity(bs, k) for k in range(WORDS)]))
 
 
-def distinct_sets(docs: DataFrame) -> DataFrame:
-    """set_id, first (smallest doc_id), n_docs, n and sigs of each distinct set; copies of a text meet before the exchange."""
+def set_rows(docs: DataFrame) -> DataFrame:
+    """doc_id, set_id, n, bits and sigs of the set of each document."""
     sets = docs.select(F.col("doc_id").cast("long").alias("doc_id"), short_set(signatures(text_or_empty())).alias("sigs"))
-    rows = sets.select("doc_id", F.xxhash64("sigs").alias("set_id"), "sigs")
-    met = rows.groupBy("set_id").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n_docs"), F.max("sigs").alias("sigs"))
-    return met.withColumn("n", F.size("sigs"))
+    return sets.select("doc_id", F.xxhash64("sigs").alias("set_id"), F.size("sigs").alias("n"), parities(F.col("sigs")).alias("bits"), "sigs")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, tau: float) -> DataFrame:
-    """Pairs (u, v) of set ids whose sets are similar, written; only sets in a pair are moved."""
-    pairs = materialize(pairs, "spots-pairs")
+def distinct_sets(rows: DataFrame) -> DataFrame:
+    """set_id, first (smallest doc_id), n_docs, n and bits of each distinct set; the sets themselves stay where they are."""
+    return rows.groupBy("set_id").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n_docs"), F.max("n").alias("n"), F.max("bits").alias("bits"))
+
+
+def _close(a: Column, b: Column, tau: float) -> Column:
+    return F.least(a, b) >= F.greatest(a, b) * tau - 1e-9
+
+
+def _may_be_similar(a: dict[str, Column], b: dict[str, Column], tau: float) -> Column:
+    """Whether sizes and parities (n, bits) allow the similarity: two sets differ in as many signatures as their parities at least."""
+    differ = F.lit(0)
+    for k in range(WORDS):
+        differ = differ + F.bit_count(F.get(a["bits"], F.lit(k)).bitwiseXOR(F.get(b["bits"], F.lit(k))))
+    return _close(a["n"], b["n"], tau) & (differ <= (a["n"] + b["n"]) * ((1 - tau) / (1 + tau)) + 1e-9)
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, sets: DataFrame, tau: float) -> DataFrame:
+    """Pairs (u, v) of set ids whose sets are similar, written; only sets in a pair that may be are moved."""
+    side = lambda df, c, *names: df.select(F.col("set_id").alias(c), *[F.col(n).alias(f"{n}_{c}") for n in names])
+    met = materialize(pairs, "spots-pairs")
+    hot = hot_keys(met.select(F.explode(F.array("u", "v")).alias("key")), "key")
+    for c, other in (("v", "u"), ("u", "v")):
+        met = spread_join(met, side(sets, c, "n", "bits"), [c], hot, F.col(other))
+    told = lambda c: {n: F.col(f"{n}_{c}") for n in ("n", "bits")}
+    pairs = materialize(met.where(_may_be_similar(told("u"), told("v"), tau)).select("u", "v"), "spots-close")
     if pairs.isEmpty():
         return pairs
     ids = materialize(pairs.select(F.explode(F.array("u", "v")).alias("set_id")).distinct(), "spots-ids")
     few = ids.count() <= BROADCAST_SETS
-    asked = materialize(sets.join(F.broadcast(ids) if few else ids, "set_id", "left_semi").select("set_id", "sigs"), "spots-asked")
-    side = lambda c: asked.select(F.col("set_id").alias(c), F.col("sigs").alias(f"sigs_{c}"))
-    met = spread_join(pairs, side("v"), ["v"], hot_keys(pairs, "v"), F.col("u"))
-    met = spread_join(met, side("u"), ["u"], hot_keys(pairs, "u"), F.col("v"))
-    return materialize(met.where(jaccard(F.col("sigs_u"), F.col("sigs_v")) >= tau).select("u", "v"), "spots-links", pairs, ids, asked)
+    asked = rows.join(F.broadcast(ids) if few else ids, "set_id", "left_semi").groupBy("set_id").agg(F.max("sigs").alias("sigs"))  # copies have one set
+    asked = materialize(asked, "spots-asked", ids)
+    met = pairs
+    for c, other in (("v", "u"), ("u", "v")):
+        met = spread_join(met, side(asked, c, "sigs"), [c], hot, F.col(other))
+    return materialize(met.where(jaccard(F.col("sigs_u"), F.col("sigs_v")) >= tau).select("u", "v"), "spots-links", pairs, asked)
+
+
+def _first_signatures(rows: DataFrame, sets: DataFrame, heavy: list[int], tau: float) -> DataFrame:
+    """(sig, set_id, n): the first n - ceil(tau n) + 1 signatures of each set, the heavy ones last; two sets with Jaccard tau share one of them."""
+    ordered = F.concat(F.filter("sigs", lambda s: ~s.isin(heavy)), F.filter("sigs", lambda s: s.isin(heavy))) if heavy else F.col("sigs")
+    n_first = (F.col("n") - F.ceil(F.col("n") * tau - 1e-9) + 1).cast("int")
+    one = spread_join(rows.select("set_id", "doc_id", "n", "sigs"), sets.select("set_id", "first"), ["set_id"], hot_of(sets.withColumnRenamed("n", "size").withColumnRenamed("n_docs", "n"), "set_id"), F.col("doc_id"))
+    one = one.where(F.col("doc_id").eqNullSafe(F.col("first")))  # of copies one
+    return one.select("set_id", "n", F.explode(F.slice(ordered, F.lit(1), n_first)).alias("sig")).select("sig", "set_id", "n")
 
 
-def linked_sets(sets: DataFrame, tau: float = TAU) -> DataFrame | None:
+def linked_sets(rows: DataFrame, sets: DataFrame, tau: float = TAU) -> DataFrame | None:
     """(node, root) of sets that links of similarity ``tau`` connect; None if there are no links.
 
-    ``sets`` has set_id, n and sigs and is materialised.
+    ``rows`` are :func:`set_rows` and ``sets`` :func:`distinct_sets`, both materialised.
     """
-    counts = sets.select(F.explode("sigs").alias("sig")).groupBy("sig").agg(F.count(F.lit(1)).alias("n_sets")).where(F.col("n_sets") >= HEAVY_SETS)
-    heavy = [r[0] for r in counts.orderBy(F.desc("n_sets"), "sig").limit(HEAVY).collect()]
-    ordered = F.concat(F.filter("sigs", lambda s: ~s.isin(heavy)), F.filter("sigs", lambda s: s.isin(heavy))) if heavy else F.col("sigs")
-    # Two sets with Jaccard tau share one of the first n - ceil(tau n) + 1 signatures in any common order.
-    n_first = (F.col("n") - F.ceil(F.col("n") * tau - 1e-9) + 1).cast("int")
-    first = sets.select("set_id", "n", F.explode(F.slice(ordered, F.lit(1), n_first)).alias("sig"))
-    shared = materialize(first.groupBy("sig").agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1"), "spots-shared")
+    counted = lambda first: first.groupBy("sig").agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
+    first = materialize(_first_signatures(rows, sets, [], tau), "spots-first")
+    shared = materialize(counted(first), "spots-shared")
+    heavy = [r[0] for r in shared.where(F.col("n_rows") >= HEAVY_SETS).orderBy(F.desc("n_rows"), "sig").limit(HEAVY).select("sig").collect()]
+    if heavy:
+        first = materialize(_first_signatures(rows, sets, heavy, tau), "spots-first", first)
+        shared = materialize(counted(first), "spots-shared", shared)
     frequent = [r[0] for r in shared.where(F.col("n_rows") > HOT_ROWS).orderBy(F.desc("n_rows"), "sig").limit(HOT_KEYS).select("sig").collect()]
     met = spread_join(first, shared.select("sig"), ["sig"], frequent, F.col("set_id"))
     # Sets of a size partition meet each other and, as guests, those of the next larger one.
     size_part = F.floor(F.log(F.col("n").cast("double")) / -math.log(tau) + 1e-9)
     roles = F.array(F.struct(size_part.alias("part"), F.lit(False).alias("guest")), F.struct((size_part - 1).alias("part"), F.lit(True).alias("guest")))
-    members = materialize(met.select("sig", "set_id", "n", F.explode(roles).alias("r")).select("sig", "r.part", "r.guest", "set_id", "n"), "spots-members", shared)
-    close = lambda a, b: (F.least(a, b) >= F.greatest(a, b) * tau - 1e-9)
+    members = materialize(met.select("sig", "set_id", "n", F.explode(roles).alias("r")).select("sig", "r.part", "r.guest", "set_id", "n"), "spots-members", first, shared)
     key = ["sig", "part"]
 
     def groups(rows: DataFrame, *more: Column) -> DataFrame:
@@ -244,52 +275,53 @@ def linked_sets(sets: DataFrame, tau: float = TAU) -> DataFrame | None:
         return spread_join(rows, own, key, hot, F.col("set_id"))
 
     own = materialize(groups(members).select(*key, "n_rows", "pivot"), "spots-groups")
-    pairs = in_groups(members, own).where((F.col("set_id") != F.col("pivot.set_id")) & close(F.col("n"), F.col("pivot.n")))
-    links = _verified(pairs.select(F.greatest("set_id", "pivot.set_id").alias("u"), F.least("set_id", "pivot.set_id").alias("v")).distinct(), sets, tau)
-    found = None if links.isEmpty() else materialize(components(links), "spots-components")
-    label = F.col("set_id") if found is None else F.coalesce("root", "set_id")
-    told = members if found is None else spread_join(members, found.withColumnRenamed("node", "set_id"), ["set_id"], hot_keys(members, "set_id"), F.col("sig"), "left")
-    told = materialize(told.withColumn("label", label).select("sig", "part", "guest", "set_id", "n", "label"), "spots-labelled", members, own)
-    # Only groups whose members are not all connected yet have pairs to compare, and only between what isn't.
+    pairs = in_groups(members, own).where((F.col("set_id") != F.col("pivot.set_id")) & _close(F.col("n"), F.col("pivot.n"), tau))
+    links = _verified(pairs.select(F.greatest("set_id", "pivot.set_id").alias("u"), F.least("set_id", "pivot.set_id").alias("v")).distinct(), rows, sets, tau)
+    # A set's label is the smallest it is linked to, or itself: sets of one label are connected.
+    both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = both.groupBy(F.col("u").alias("set_id")).agg(F.min("v").alias("low"))
+    told = spread_join(members, least, ["set_id"], hot_keys(members, "set_id"), F.col("sig"), "left").withColumn("label", F.least("set_id", F.coalesce("low", "set_id")))
+    told = materialize(told.select("sig", "part", "guest", "set_id", "n", "label"), "spots-labelled", members, own)
+    # Only groups whose members are not all of one label have pairs to compare, and only between labels.
     apart = materialize(groups(told, F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select(*key, "n_rows"), "spots-apart")
     if apart.isEmpty():
-        return found
-    bits = sets.select("set_id", parities(F.col("sigs")).alias("bits"))
+        return None if links.isEmpty() else components(links)
     rest = in_groups(told, apart)
-    rest = spread_join(rest, bits.join(materialize(rest.select("set_id").distinct(), "spots-rest"), "set_id", "left_semi"), ["set_id"], hot_keys(rest, "set_id"), F.col("sig"))
+    rest = spread_join(rest, sets.select("set_id", "bits"), ["set_id"], hot_keys(rest, "set_id"), F.col("sig"))
     n_blocks = F.ceil(F.col("n_rows") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("set_id"), n_blocks).cast("int")
     rest = materialize(rest.withColumns({"block": block, "n_blocks": n_blocks}), "spots-blocked", told, apart)
     fields = ("set_id", "n", "label", "guest", "bits")
     left = rest.select(*key, F.col("block").alias("i"), F.explode(F.sequence("block", F.col("n_blocks") - 1)).alias("j"), *[F.col(c).alias(f"{c}_a") for c in fields])
     right = rest.select(*key, F.explode(F.sequence(F.lit(0), "block")).alias("i"), F.col("block").alias("j"), *[F.col(c).alias(f"{c}_b") for c in fields])
-    differ = F.lit(0)
-    for k in range(WORDS):
-        differ = differ + F.bit_count(F.get("bits_a", F.lit(k)).bitwiseXOR(F.get("bits_b", F.lit(k))))
-    may = (F.col("label_a") != F.col("label_b")) & ~(F.col("guest_a") & F.col("guest_b")) & ((F.col("i") != F.col("j")) | (F.col("set_id_a") < F.col("set_id_b"))) & close(F.col("n_a"), F.col("n_b"))
-    may = may & (differ <= (F.col("n_a") + F.col("n_b")) * ((1 - tau) / (1 + tau)) + 1e-9)
-    pairs = left.join(right, [*key, "i", "j"]).where(may).select(F.greatest("set_id_a", "set_id_b").alias("u"), F.least("set_id_a", "set_id_b").alias("v")).distinct()
-    more = _verified(pairs, sets, tau)
-    if more.isEmpty():
-        return found
-    return components(more if found is None else links.unionByName(more))
+    sides = [{c: F.col(f"{c}_{x}") for c in ("n", "bits")} for x in "ab"]
+    may = (F.col("label_a") != F.col("label_b")) & ~(F.col("guest_a") & F.col("guest_b")) & ((F.col("i") != F.col("j")) | (F.col("set_id_a") < F.col("set_id_b")))
+    pairs = left.join(right, [*key, "i", "j"]).where(may & _may_be_similar(*sides, tau)).select(F.greatest("set_id_a", "set_id_b").alias("u"), F.least("set_id_a", "set_id_b").alias("v")).distinct()
+    every = materialize(links.unionByName(_verified(pairs, rows, sets, tau)), "spots-all-links", links, rest)
+    return None if every.isEmpty() else components(every)
 
 
 def near_duplicates(docs: DataFrame, tau: float = TAU) -> DataFrame:
     """set_id, class_id (smallest doc_id) and class_size (documents) of each set whose class has more than one document."""
-    sets = materialize(distinct_sets(docs), "spots-distinct")
-    found = linked_sets(sets, tau)
+    rows = materialize(set_rows(docs), "spots-sets")
+    sets = materialize(distinct_sets(rows), "spots-distinct")
+    found = linked_sets(rows, sets, tau)
     named = sets.select("set_id", "first", "n_docs")
     if found is None:
-        return materialize(named.where("n_docs > 1").select("set_id", F.col("first").alias("class_id"), F.col("n_docs").alias("class_size")), "spots-classes")
-    held = materialize(named.join(found, named["set_id"] == found["node"], "left").select("set_id", "first", "n_docs", F.coalesce("root", "set_id").alias("root")), "spots-roots")
+        return materialize(named.where("n_docs > 1").select("set_id", F.col("first").alias("class_id"), F.col("n_docs").alias("class_size")), "spots-classes", rows, sets)
+    held = materialize(named.join(found, named["set_id"] == found["node"], "left").select("set_id", "first", "n_docs", F.coalesce("root", "set_id").alias("root")), "spots-roots", rows, sets)
     classes = materialize(held.groupBy("root").agg(F.min("first").alias("class_id"), F.sum("n_docs").alias("class_size"), F.count(F.lit(1)).alias("n")).where("class_size > 1"), "spots-names")
     out = spread_join(held, classes.select("root", "class_id", "class_size"), ["root"], hot_of(classes, "root"), F.col("set_id"))
-    return materialize(out.select("set_id", "class_id", "class_size"), "spots-classes", sets, held, classes)
+    return materialize(out.select("set_id", "class_id", "class_size"), "spots-classes", held, classes)
+
+
+def fingerprints(docs: DataFrame) -> DataFrame:
+    """Fingerprints of each text, of its edited text, and their likeness."""
+    return likeness(docs).drop("set_id")
 
 
-def fingerprints(docs: DataFrame, tau: float = TAU) -> DataFrame:
-    """Fingerprints of each text, of its edited text, their likeness, and the class of near duplicates that the document is in."""
+def classified(docs: DataFrame, tau: float = TAU) -> DataFrame:
+    """:func:`fingerprints` with the class of near duplicates that each document is in: class_id (its smallest doc_id) and class_size."""
     classes = near_duplicates(docs, tau)
     rows = likeness(docs)
     if classes.count() <= BROADCAST_SETS:
