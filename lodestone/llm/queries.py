@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .exact import OP4_SQL, op4_exact_dedup
+from .kmeans import op13_clusters
 from .langid import op5_language
 from .mix import op1_mix_sources
 from .pack import op3_pack
 from .quality import op2_quality
+from .search import OP11_SQL, op11_search
 from .shard import op9_shard
 from .simhash import op10_simhash
 from .spots import op7_fingerprints
@@ -30,7 +32,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_substring_dedup,
         op9_shard,
         op10_simhash,
+        op11_search,
+        op13_clusters,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_exact_dedup": OP4_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_exact_dedup": OP4_SQL, "op11_search": OP11_SQL}
