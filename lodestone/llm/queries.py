@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .exact import OP4_SQL, op4_exact_dedup
+from .jaccard import op12_jaccard_join
 from .kmeans import op13_clusters
 from .langid import op5_language
 from .mix import op1_mix_sources
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_shard,
         op10_simhash,
         op11_search,
+        op12_jaccard_join,
         op13_clusters,
     )
 }
