@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import context_key, normalized, tokens
-from ..operators import behavior, candidates, dense, evaluation, geography, lexical, ranker, split, submission, topk
+from ..operators import behavior, boosting, candidates, dense, evaluation, geography, lexical, ranker, split, submission, topk
 from ..sources.tables import check_vectors, scratch, table, written
 from ..streaming import counters
 
@@ -676,6 +676,29 @@ def gbt_ranker(spark, d):
     return topk.z_score(ranker.score(model, rows), "score", "z").select("qid", "item_idx", r6("score").alias("score"), r6("z").alias("z"), "label")
 
 
+@query()
+def listwise_ranker(spark, d):
+    """A listwise ranker of an order's lines, trained on the softmax of three quarters of the orders and scored on all."""
+    rows = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("qid"), F.col("l_linenumber").cast("long").alias("item_idx"), "l_quantity", "l_extendedprice", "l_discount", "l_tax", F.datediff("l_shipdate", F.lit("1992-01-01")).alias("ship_day"), (F.col("l_returnflag") == "R").cast("double").alias("label"))
+    names = ranker.numeric_inputs(rows)
+    model = boosting.fit(rows.where(F.pmod(F.xxhash64("qid"), F.lit(4)) != 0), names, trees=6, depth=4, step=0.3)
+    return boosting.score(model, rows).select("qid", "item_idx", r6("score").alias("score"), "label")
+
+
+@query("""
+WITH rows AS (SELECT l_orderkey AS qid, CAST(l_linenumber AS BIGINT) AS item_idx, 20 * CAST(l_discount AS DOUBLE) AS margin, CAST(l_returnflag = 'R' AS INTEGER) AS label FROM lineitem),
+powers AS (SELECT *, exp(margin - max(margin) OVER q) AS power, sum(label) OVER q AS total, max(margin) OVER q AS top FROM rows WINDOW q AS (PARTITION BY qid)),
+shares AS (SELECT *, power / sum(power) OVER q AS share, ln(sum(power) OVER q) + top AS log_sum FROM powers WINDOW q AS (PARTITION BY qid))
+SELECT qid, item_idx, round(share, 6) AS share, round(label - total * share, 6) AS gradient, round(total * share * (1 - share), 6) AS curvature,
+       round(sum(label * (log_sum - margin)) OVER (PARTITION BY qid), 6) AS loss
+FROM shares
+""")
+def softmax_gradients(spark, d):
+    """What the listwise ranker learns from: gradients of the softmax of lines within their order, of a margin by discount."""
+    rows = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("qid"), F.col("l_linenumber").cast("long").alias("item_idx"), (20 * F.col("l_discount").cast("double")).alias("margin"), (F.col("l_returnflag") == "R").cast("double").alias("label"))
+    return boosting.softmax_gradients(rows).select("qid", "item_idx", *[r6(c).alias(c) for c in ("share", "gradient", "curvature", "loss")])
+
+
 @query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
 def stream_popularity(spark, d):
     """The streaming counter, run over all event files at once and read back."""

@@ -38,6 +38,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table that :func:`written` wrote; tables elsewhere stay."""
+    spark = df.sparkSession
+    base = shared_folder(spark).split(":", 1)[-1].lstrip("/")
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if path.toString().split(":", 1)[-1].lstrip("/").startswith(base):
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def store_once(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
     """The table of this name in the shared folder; made where there is none yet.
 
