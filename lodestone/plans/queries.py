@@ -22,15 +22,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
-def query(sql: str | None = None, whole: bool = False):
-    """Registers a query; ``whole``: also as whole_NAME, over whole texts and the whole vocabulary where its SQL has limits."""
-
+def query(sql: str | None = None):
     def add(f):
         QUERIES[f.__name__] = f
         if sql is not None:
             ORACLE_SQL[f.__name__] = sql
-        if whole:
-            QUERIES[f"whole_{f.__name__}"] = lambda spark, d: f(spark, d, whole=True)
         return f
 
     return add
@@ -108,7 +104,7 @@ items AS (SELECT doc_id AS item_idx, split_part(text, chr(10), 1) AS title, sour
 asked AS (SELECT item_id AS qid, text, CASE item_id % 4 WHEN 0 THEN 'en' WHEN 1 THEN 'fr' WHEN 2 THEN 'de' ELSE 'es' END AS location FROM benchmark),
 qterms AS (SELECT DISTINCT qid, unnest({TOK.format("text")}) AS term FROM asked)"""
 BM25 = f"""{ITEMS},
-docs AS (SELECT item_idx, location, {TOK.format("title || ' ' || title || ' ' || title || ' ' || params || ' ' || params || ' ' || substr(description, 1, 3000)")} AS ts FROM items),
+docs AS (SELECT item_idx, location, {TOK.format("title || ' ' || title || ' ' || title || ' ' || params || ' ' || params || ' ' || description")} AS ts FROM items),
 tf AS (SELECT item_idx, term, count(*) AS tf FROM (SELECT item_idx, unnest(ts) AS term FROM docs) GROUP BY item_idx, term),
 lens AS (SELECT item_idx, sum(tf) AS len FROM tf GROUP BY item_idx),
 stats AS (SELECT CAST((SELECT count(*) FROM items) AS DOUBLE) AS n, greatest((SELECT sum(len) FROM lens) / CAST((SELECT count(*) FROM items) AS DOUBLE), 1.0) AS avg_len),
@@ -147,35 +143,29 @@ def token_stats(spark, d):
     return table(spark, d, "documents").groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"), F.sum(n).alias("n_tokens"), F.max(n).alias("longest"), r6(F.avg(n)).alias("mean_tokens"))
 
 
-def _index(spark, d, whole):
-    """The index within the limits that the SQL states, or ``whole``."""
-    limits = {} if whole else {"description_chars": lexical.DESCRIPTION_CHARS, "most_char_grams": lexical.MOST_CHAR_GRAMS}
-    return lexical.LexicalIndex(items(spark, d), **limits)
+def _index(spark, d):
+    return lexical.LexicalIndex(items(spark, d))
 
 
-@query(f"WITH {RANKED} SELECT qid, item_idx, score, rank FROM ranked WHERE rank <= 10", whole=True)
-def bm25_topk(spark, d, whole=False):
-    return _index(spark, d, whole).search(asked(spark, d), "bm25", 10)
+@query(f"WITH {RANKED} SELECT qid, item_idx, score, rank FROM ranked WHERE rank <= 10")
+def bm25_topk(spark, d):
+    return _index(spark, d).search(asked(spark, d), "bm25", 10)
 
 
 @query(f"""
 WITH {BM25}, near AS (SELECT s.qid AS qid, s.item_idx AS item_idx, score FROM scores s JOIN items i ON s.item_idx = i.item_idx JOIN asked a ON s.qid = a.qid WHERE i.location = a.location AND score > 0)
-SELECT * FROM (SELECT qid, item_idx, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, item_idx) AS rank FROM near) WHERE rank <= 10""", whole=True)
-def local_bm25_topk(spark, d, whole=False):
-    return _index(spark, d, whole).search(asked(spark, d), "bm25", 10, local=True)
-
-
-@query(f"WITH {BM25} SELECT * FROM (SELECT qid, item_idx, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, item_idx) AS rank FROM scores WHERE score > 0 AND item_idx < 500) WHERE rank <= 10", whole=True)
-def allowed_prefix_topk(spark, d, whole=False):
-    """The corpus restricted to its first 500 positions, a feature of the search."""
-    return _index(spark, d, whole).search(asked(spark, d), "bm25", 10, allowed=500)
+SELECT * FROM (SELECT qid, item_idx, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, item_idx) AS rank FROM near) WHERE rank <= 10""")
+def local_bm25_topk(spark, d):
+    return _index(spark, d).search(asked(spark, d), "bm25", 10, local=True)
 
 
-@query()
+@query(f"""
+WITH {BM25} SELECT * FROM (SELECT qid, item_idx, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, item_idx) AS rank
+  FROM scores WHERE score > 0 AND item_idx < ((SELECT max(doc_id) FROM documents) + 2) // 2) WHERE rank <= 10""")
 def allowed_share_topk(spark, d):
     """The corpus restricted to the first half of its positions, however many there are."""
     last = table(spark, d, "documents").agg(F.max("doc_id")).first()[0]
-    return _index(spark, d, True).search(asked(spark, d), "bm25", 10, allowed=((last if last is not None else -1) + 2) // 2)
+    return _index(spark, d).search(asked(spark, d), "bm25", 10, allowed=((last if last is not None else -1) + 2) // 2)
 
 
 def _tfidf_sql(grams: str, min_df: int, most: str, k: int = 10) -> str:
@@ -204,12 +194,12 @@ CHAR_GRAMS = """
 
 @query(_tfidf_sql(WORD_PAIRS, 1, ""))
 def tfidf_word_topk(spark, d):
-    return _index(spark, d, True).search(asked(spark, d), "word", 10)
+    return _index(spark, d).search(asked(spark, d), "word", 10)
 
 
-@query(_tfidf_sql(CHAR_GRAMS, 2, "ORDER BY total DESC, term LIMIT 250000"), whole=True)
-def char_ngram_topk(spark, d, whole=False):
-    return _index(spark, d, whole).search(asked(spark, d), "char", 10)
+@query(_tfidf_sql(CHAR_GRAMS, 2, ""))
+def char_ngram_topk(spark, d):
+    return _index(spark, d).search(asked(spark, d), "char", 10)
 
 
 @query(f"""
@@ -229,34 +219,34 @@ def truth_pairs(spark, d):
     return truth(spark, d)
 
 
-def _per_query(spark, d, whole):
+def _per_query(spark, d):
     queries = asked(spark, d).withColumn("flag", F.col("qid") % 3 == 0).drop("text")
-    found = _index(spark, d, whole).scores(asked(spark, d), "bm25").withColumn("score", r6("score")).where("score > 0")
+    found = _index(spark, d).scores(asked(spark, d), "bm25").withColumn("score", r6("score")).where("score > 0")
     return evaluation.per_query_recall(queries, found, truth(spark, d), [10])
 
 
-@query(f"WITH {PER_QUERY} SELECT qid, n_relevant, round(recall_10, 6) AS recall_10 FROM per_query", whole=True)
-def recall_at_k(spark, d, whole=False):
-    return _per_query(spark, d, whole).select("qid", F.coalesce("n_relevant", F.lit(0)).cast("long").alias("n_relevant"), r6("recall_10").alias("recall_10"))
+@query(f"WITH {PER_QUERY} SELECT qid, n_relevant, round(recall_10, 6) AS recall_10 FROM per_query")
+def recall_at_k(spark, d):
+    return _per_query(spark, d).select("qid", F.coalesce("n_relevant", F.lit(0)).cast("long").alias("n_relevant"), r6("recall_10").alias("recall_10"))
 
 
 @query(f"""
 WITH {PER_QUERY}, known AS (SELECT * FROM per_query WHERE recall_10 IS NOT NULL)
 SELECT 'all' AS group_name, 'all' AS group_value, round(avg(recall_10), 6) AS recall, count(*) AS n FROM known
 UNION ALL SELECT 'location', location, round(avg(recall_10), 6), count(*) FROM known GROUP BY location
-UNION ALL SELECT 'flag', CASE WHEN flag THEN 'true' ELSE 'false' END, round(avg(recall_10), 6), count(*) FROM known GROUP BY flag""", whole=True)
-def recall_by_group(spark, d, whole=False):
-    return evaluation.recall_by_group(_per_query(spark, d, whole), ["location", "flag"], "recall_10").withColumn("recall", r6("recall"))
+UNION ALL SELECT 'flag', CASE WHEN flag THEN 'true' ELSE 'false' END, round(avg(recall_10), 6), count(*) FROM known GROUP BY flag""")
+def recall_by_group(spark, d):
+    return evaluation.recall_by_group(_per_query(spark, d), ["location", "flag"], "recall_10").withColumn("recall", r6("recall"))
 
 
-@query(f"WITH {PER_QUERY} SELECT round(0.63 * avg(CASE WHEN flag THEN recall_10 END) + 0.37 * avg(CASE WHEN NOT flag THEN recall_10 END), 6) AS recall FROM per_query", whole=True)
-def poststratified_recall(spark, d, whole=False):
-    return evaluation.post_stratified(_per_query(spark, d, whole), "flag", "recall_10", 0.63).withColumn("recall", r6("recall"))
+@query(f"WITH {PER_QUERY} SELECT round(0.63 * avg(CASE WHEN flag THEN recall_10 END) + 0.37 * avg(CASE WHEN NOT flag THEN recall_10 END), 6) AS recall FROM per_query")
+def poststratified_recall(spark, d):
+    return evaluation.post_stratified(_per_query(spark, d), "flag", "recall_10", 0.63).withColumn("recall", r6("recall"))
 
 
-@query(f"WITH {RANKED}, {TRUTH} SELECT CASE WHEN rank <= 5 THEN 'hit' WHEN rank IS NOT NULL THEN 'below' ELSE 'missing' END AS outcome, count(*) AS n FROM truth t LEFT JOIN ranked r ON t.qid = r.qid AND t.item_idx = r.item_idx GROUP BY 1", whole=True)
-def loss_decomposition(spark, d, whole=False):
-    found = _index(spark, d, whole).scores(asked(spark, d), "bm25").withColumn("score", r6("score")).where("score > 0")
+@query(f"WITH {RANKED}, {TRUTH} SELECT CASE WHEN rank <= 5 THEN 'hit' WHEN rank IS NOT NULL THEN 'below' ELSE 'missing' END AS outcome, count(*) AS n FROM truth t LEFT JOIN ranked r ON t.qid = r.qid AND t.item_idx = r.item_idx GROUP BY 1")
+def loss_decomposition(spark, d):
+    found = _index(spark, d).scores(asked(spark, d), "bm25").withColumn("score", r6("score")).where("score > 0")
     return evaluation.loss(truth(spark, d), found, 5)
 
 
@@ -468,13 +458,7 @@ def nation_distances(spark, d):
 @query("""
 WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
 SELECT * FROM (SELECT qid, item_idx, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, item_idx) AS rank
-  FROM (SELECT q.vec_id AS qid, i.vec_id AS item_idx, round(list_inner_product(q.v, i.v), 6) AS score FROM e q JOIN e i ON q.vec_id < 20 AND i.vec_id >= 20)) WHERE rank <= 10""")
-def dense_topk(spark, d):
-    e = table(spark, d, "embeddings").select("vec_id", "embedding")
-    return dense.dense_top_k(e.where("vec_id < 20").withColumnRenamed("vec_id", "qid"), e.where("vec_id >= 20").withColumnRenamed("vec_id", "item_idx"), 10)
-
-
-@query()
+  FROM (SELECT q.vec_id AS qid, i.vec_id AS item_idx, round(list_inner_product(q.v, i.v), 6) AS score FROM e q JOIN e i ON q.vec_id % 20 = 0)) WHERE rank <= 10""")
 def dense_topk_all(spark, d):
     """Every vector whose id is divisible by 20, against all vectors."""
     e = table(spark, d, "embeddings").select("vec_id", "embedding")
@@ -491,15 +475,14 @@ def vector_checks(spark, d):
 # --- candidates, scoring, answers --------------------------------------------
 
 
-def _channels(spark, d, whole):
-    index, q = _index(spark, d, whole), asked(spark, d)
+def _channels(spark, d):
+    index, q = _index(spark, d), asked(spark, d)
     return [candidates.channel(index.scores(q, c).withColumn("score", r6("score")), c) for c in ("bm25", "word")]
 
 
-WHOLE_BM25 = BM25.replace("substr(description, 1, 3000)", "description")
 UNION = f"""
 found AS (
-  SELECT * FROM (SELECT 'bm25' AS channel, qid, item_idx, row_number() OVER (PARTITION BY qid ORDER BY score DESC, item_idx) AS rank FROM (WITH {WHOLE_BM25} SELECT qid, item_idx, score FROM scores WHERE score > 0)) WHERE rank <= 100
+  SELECT * FROM (SELECT 'bm25' AS channel, qid, item_idx, row_number() OVER (PARTITION BY qid ORDER BY score DESC, item_idx) AS rank FROM (WITH {BM25} SELECT qid, item_idx, score FROM scores WHERE score > 0)) WHERE rank <= 100
   UNION ALL SELECT 'word', qid, item_idx, rank FROM ({_tfidf_sql(WORD_PAIRS, 1, "", 100)})),
 pool AS (
   SELECT qid, item_idx, round(coalesce(1 / sqrt(min(CASE WHEN channel = 'bm25' THEN rank END)), 0.0), 6) AS rank_bm25, round(coalesce(1 / sqrt(min(CASE WHEN channel = 'word' THEN rank END)), 0.0), 6) AS rank_word
@@ -508,7 +491,7 @@ pool AS (
 
 @query(f"WITH {UNION} SELECT qid, item_idx, rank_bm25, rank_word FROM pool")
 def channel_union(spark, d):
-    a, b = _channels(spark, d, True)
+    a, b = _channels(spark, d)
     found = candidates.rank_columns(a.unionByName(b), ["bm25", "word"])
     return found.withColumns({c: r6(c) for c in ("rank_bm25", "rank_word")})
 
@@ -537,10 +520,10 @@ def candidate_features(spark, d):
 WITH {RANKED}, c AS (SELECT qid, count(*) AS n FROM ranked WHERE rank <= 100 GROUP BY qid),
 few AS (SELECT asked.qid AS qid FROM asked LEFT JOIN c ON asked.qid = c.qid WHERE coalesce(n, 0) < 100),
 best AS (SELECT doc_id AS item_idx FROM documents ORDER BY n_chars DESC, doc_id LIMIT 50)
-SELECT qid, item_idx FROM ranked WHERE rank <= 100 UNION SELECT qid, item_idx FROM few CROSS JOIN best""", whole=True)
-def candidate_fallback(spark, d, whole=False):
+SELECT qid, item_idx FROM ranked WHERE rank <= 100 UNION SELECT qid, item_idx FROM few CROSS JOIN best""")
+def candidate_fallback(spark, d):
     popular = table(spark, d, "documents").select(F.col("doc_id").alias("item_idx"), F.col("n_chars").alias("score"))
-    return candidates.with_fallback(_channels(spark, d, whole)[0], asked(spark, d), popular, below=100)
+    return candidates.with_fallback(_channels(spark, d)[0], asked(spark, d), popular, below=100)
 
 
 MODELS = "pairs AS (SELECT l_orderkey AS qid, l_linenumber AS line, l_partkey AS item_idx, l_extendedprice AS s1, l_quantity AS s2 FROM lineitem)"
@@ -565,25 +548,25 @@ def _answer_sql(k: int) -> str:
     return f"a AS (SELECT asked.qid AS qid, coalesce(string_agg(CAST(item_idx AS VARCHAR), ' ' ORDER BY rank), '') AS answer FROM asked LEFT JOIN ranked ON asked.qid = ranked.qid AND rank <= {k} GROUP BY asked.qid)"
 
 
-def _answers(spark, d, whole):
-    ranked = _index(spark, d, whole).search(asked(spark, d), "bm25", 20).withColumnRenamed("item_idx", "item_id")
+def _answers(spark, d):
+    ranked = _index(spark, d).search(asked(spark, d), "bm25", 20).withColumnRenamed("item_idx", "item_id")
     return submission.answers(ranked, asked(spark, d), 20)
 
 
-@query(f"WITH {RANKED}, {_answer_sql(20)} SELECT qid, answer FROM a", whole=True)
-def answer_rows(spark, d, whole=False):
-    return _answers(spark, d, whole)
+@query(f"WITH {RANKED}, {_answer_sql(20)} SELECT qid, answer FROM a")
+def answer_rows(spark, d):
+    return _answers(spark, d)
 
 
-@query(f"WITH {RANKED}, {_answer_sql(20)}, n AS (SELECT CASE WHEN answer = '' THEN 0 ELSE len(string_split(answer, ' ')) END AS n FROM a) SELECT count(*) AS queries, CAST(sum(CASE WHEN n = 0 THEN 1 ELSE 0 END) AS BIGINT) AS empty_answers, CAST(min(n) AS BIGINT) AS min_items, CAST(max(n) AS BIGINT) AS max_items, round(avg(n), 6) AS mean_items, CAST(sum(n) AS BIGINT) AS total_items FROM n", whole=True)
-def answer_stats(spark, d, whole=False):
-    return submission.answer_stats(_answers(spark, d, whole)).withColumn("mean_items", r6("mean_items"))
+@query(f"WITH {RANKED}, {_answer_sql(20)}, n AS (SELECT CASE WHEN answer = '' THEN 0 ELSE len(string_split(answer, ' ')) END AS n FROM a) SELECT count(*) AS queries, CAST(sum(CASE WHEN n = 0 THEN 1 ELSE 0 END) AS BIGINT) AS empty_answers, CAST(min(n) AS BIGINT) AS min_items, CAST(max(n) AS BIGINT) AS max_items, round(avg(n), 6) AS mean_items, CAST(sum(n) AS BIGINT) AS total_items FROM n")
+def answer_stats(spark, d):
+    return submission.answer_stats(_answers(spark, d)).withColumn("mean_items", r6("mean_items"))
 
 
-@query(f"WITH {RANKED} SELECT CAST(0 AS BIGINT) AS repeated, CAST(0 AS BIGINT) AS bad_qid, CAST(0 AS BIGINT) AS bad_item, (SELECT count(*) FROM benchmark) - count(DISTINCT qid) AS uncovered FROM ranked WHERE rank <= 100", whole=True)
-def candidate_contract(spark, d, whole=False):
+@query(f"WITH {RANKED} SELECT CAST(0 AS BIGINT) AS repeated, CAST(0 AS BIGINT) AS bad_qid, CAST(0 AS BIGINT) AS bad_item, (SELECT count(*) FROM benchmark) - count(DISTINCT qid) AS uncovered FROM ranked WHERE rank <= 100")
+def candidate_contract(spark, d):
     n_queries, n_items = (table(spark, d, t).count() for t in ("benchmark", "documents"))
-    out = submission.check_candidates(_channels(spark, d, whole)[0], n_queries, n_items)
+    out = submission.check_candidates(_channels(spark, d)[0], n_queries, n_items)
     return out.select("repeated", "bad_qid", "bad_item", F.col("uncovered").cast("long").alias("uncovered"))
 
 

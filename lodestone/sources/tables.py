@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -48,8 +49,8 @@ def discard(df: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def store_once(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-    """The table of this name in the shared folder; made where there is none yet.
+def store_once(spark: SparkSession, name: str, make: Callable[[], DataFrame], by: str | None = None) -> DataFrame:
+    """The table of this name in the shared folder; made where there is none yet, with a folder for each value of ``by``.
 
     It is written beside and moved in whole, so no reader finds a part of it;
     of two writers at once the first wins.
@@ -59,12 +60,35 @@ def store_once(spark: SparkSession, name: str, make: Callable[[], DataFrame]) ->
     files = jvm_path(final).getFileSystem(spark._jsc.hadoopConfiguration())
     if not files.exists(jvm_path(f"{final}/_SUCCESS")):
         path = scratch(spark, name)
-        make().write.parquet(path)
+        made = make()
+        (made.write.partitionBy(by) if by else made.write).parquet(path)
         if not files.rename(jvm_path(path), jvm_path(final)) or not files.exists(jvm_path(f"{final}/_SUCCESS")):
             final = path
     return spark.read.parquet(final)
 
 
+def source_key(df: DataFrame) -> str:
+    """What a table is made of: the files it reads, with their sizes and times, and its plan; where anything else goes into it, its :func:`fingerprint`.
+
+    No row is read for it. Files that change, or another plan over them, give
+    another key.
+    """
+    spark = df.sparkSession
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    names = [leaves.apply(i).nodeName() for i in range(leaves.size())]
+    text = plan.canonicalized().toString()
+    folders = sorted({f.rsplit("/", 1)[0] for f in df.inputFiles()})
+    if not folders or not all("Relation" in n and "Local" not in n for n in names) or any(word in text for word in ("Python", "InArrow", "InPandas", "ScalaUDF", "rand(", "uuid(")):
+        return fingerprint(df)
+    jvm_path, told = spark._jvm.org.apache.hadoop.fs.Path, []
+    for folder in folders:
+        path = jvm_path(folder)
+        for status in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path):
+            told.append(f"{status.getPath()}|{status.getLen()}|{status.getModificationTime()}")
+    return "|".join([*sorted(told), re.sub(r"#\d+L?", "", text), str(df.semanticHash()), df.schema.simpleString()])
+
+
 def fingerprint(df: DataFrame) -> str:
     """A digest of a table's rows in any order, repeats counted: number of rows, sum and exclusive or of two 64-bit hashes."""
     row = F.struct(*[F.col(c) for c in sorted(df.columns)])
