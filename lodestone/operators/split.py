@@ -58,36 +58,54 @@ def first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.groupBy(key).agg(F.min_by(F.struct(*rest), F.col(order)).alias("__s")).select(*[key if c == key else F.col(f"__s.{c}").alias(c) for c in df.columns])
 
 
+def quota(rows: DataFrame, n: int, key: str, seed: int) -> DataFrame:
+    """Exactly ``n`` rows, those of the smallest draws of their key, by places in range partitions; ValueError if there are fewer."""
+    placed = with_row_index(rows.withColumn("__draw", draw(F.col(key), seed=seed)), "__draw", key)
+    taken = written(placed.where(F.col("row_idx") < n).drop("row_idx", "__draw"), "split-quota")
+    found = taken.count()
+    if found < n:
+        raise ValueError(f"{n} of {key} are wanted, and there are {found}")
+    return taken
+
+
 def make_validation(log: DataFrame, corpus: DataFrame, items: DataFrame, count: int, seed: int = 42) -> dict[str, DataFrame]:
     """Queries, truth, training log and corpus of a validation split of a log (text, context, item_id, ...).
 
-    ``count`` contexts become queries, each text once: warm contexts (two
-    items or more, of which half is hidden), warm texts (in two contexts or
-    more) and cold texts, whose every row leaves the log. Of the target items
-    ``COLD_ITEMS`` leave the log altogether, and all hidden pairs do. Queries
-    are split into fit, dev and audit; the corpus gets the targets it lacks
-    behind its own items.
+    Exactly ``count`` contexts become queries, each text once, in the shares of
+    the regimes: first warm contexts (two items or more, of which half is
+    hidden), then of the texts left warm texts (in two contexts or more), then
+    of those left cold texts, whose every row leaves the log. A regime takes the
+    texts of the smallest draws, and of a text's contexts that serve it the one
+    with the smallest draw; ValueError where they don't suffice. Exactly the
+    share ``COLD_ITEMS`` of the target items leaves the log altogether, and all
+    hidden pairs do. Half of the queries are fit, a quarter dev, the rest
+    audit; the corpus gets the targets it lacks behind its own items. Rows
+    without text, context or item take no part in the choice.
     """
-    pairs = written(log.select("context", "text", "item_id").distinct(), "split-pairs")
+    pairs = written(log.select("context", "text", "item_id").dropna().distinct(), "split-pairs")
     contexts = pairs.groupBy("context", "text").agg(F.count(F.lit(1)).alias("n_items"))
     spread = contexts.groupBy("text").agg(F.count(F.lit(1)).alias("n_contexts"))
-    told = contexts.join(spread, "text")
-    can_context, can_text = F.col("n_items") >= 2, F.col("n_contexts") >= 2
-    # A hashed draw a text says which regime it may serve; of its contexts the one with the smallest draw is taken.
-    share = draw(F.col("text"), seed=seed + 1) / float(1 << 32)
-    regime = F.when(can_context & (share < 2 * WARM_CONTEXT), "warm_context").when(can_text & (share < WARM_TEXT + 2 * WARM_CONTEXT), "warm_text").otherwise("cold_text")
-    one = told.withColumns({"regime": regime, "__draw": draw(F.col("context"), seed=seed)})
-    chosen = one.groupBy("text").agg(F.min_by(F.struct("context", "regime", "n_items"), F.struct("__draw", "context")).alias("s")).select("text", "s.*")
-    wanted = {"warm_context": round(count * WARM_CONTEXT), "warm_text": round(count * WARM_TEXT)}
-    wanted["cold_text"] = count - sum(wanted.values())
-    limit = F.create_map(*[F.lit(x) for kv in wanted.items() for x in kv])
-    queries = place_in(chosen, "regime", "context", seed).where(F.col("place") < limit[F.col("regime")]).drop("place", "of")
-    queries = written(assign(queries.withColumn("query_id", query_id(F.col("context"))), "context", seed), "split-queries")
+    told = written(contexts.join(spread, "text"), "split-contexts")
+    warm = round(count * WARM_CONTEXT), round(count * WARM_TEXT)
+    regimes = [("warm_context", warm[0], F.col("n_items") >= 2), ("warm_text", warm[1], F.col("n_contexts") >= 2), ("cold_text", count - sum(warm), F.lit(True))]
+    chosen = None
+    for i, (regime, n, serves) in enumerate(regimes):
+        pool = told.where(serves)
+        if chosen is not None:
+            pool = pool.join(chosen.select("text"), "text", "left_anti")
+        texts = quota(pool.select("text").distinct(), n, "text", seed + 1 + i)
+        first = F.min_by(F.struct("context", "n_items"), F.struct(draw(F.col("context"), seed=seed), "context"))
+        own = pool.join(texts, "text", "left_semi").groupBy("text").agg(first.alias("s")).select("text", F.lit(regime).alias("regime"), "s.*")
+        chosen = written(own if chosen is None else chosen.unionByName(own), "split-chosen")
+    placed = with_row_index(chosen.withColumn("__draw", draw(F.col("context"), seed=seed + 9)), "__draw", "context")
+    part = F.when(F.col("row_idx") < count // 2, "fit").when(F.col("row_idx") < count // 2 + count // 4, "dev").otherwise("audit")
+    queries = written(placed.withColumns({"split": part, "query_id": query_id(F.col("context"))}).drop("row_idx", "__draw"), "split-queries")
     targets = pairs.join(queries.select("context", "regime", "query_id", "n_items"), "context")
     order = Window.partitionBy("context").orderBy(draw(F.col("context"), F.col("item_id"), seed=seed), "item_id")  # one query's items
     keep = (F.col("regime") != "warm_context") | (F.row_number().over(order) <= F.greatest(F.floor(F.col("n_items") / 2), F.lit(1)))
     truth = written(targets.withColumn("keep", keep).where("keep").select("query_id", "context", "item_id"), "split-truth")
-    goal = truth.select("item_id").distinct().where(draw(F.col("item_id"), seed=seed + 2) < int(COLD_ITEMS * (1 << 32)))
+    goals = truth.select("item_id").distinct()
+    goal = quota(goals, round(goals.count() * COLD_ITEMS), "item_id", seed + 5)
     train = hide(log, queries.where("regime = 'cold_text'"), ["text"])
     train = hide(hide(train, goal, ["item_id"]), truth, ["context", "item_id"])
     return {"queries": queries, "truth": truth, "train": train, "corpus": appended(corpus, items.join(truth.select("item_id").distinct(), "item_id", "left_semi"), "item_id")}

@@ -540,7 +540,12 @@ def test_validation_split_leaks_nothing(spark):
     parts = split.make_validation(train, own, train.select("item_id").distinct(), 120)
     checks.assert_split(checks.split_facts(parts["queries"], parts["truth"], parts["corpus"], parts["train"]))
     queries = parts["queries"].collect()
-    assert {r.regime for r in queries} == {"warm_context", "warm_text", "cold_text"} and 100 <= len(queries) <= 120
+    assert {r.regime for r in queries} == {"warm_context", "warm_text", "cold_text"} and len({r.text for r in queries}) == len(queries) == 120
+    assert Counter(r.regime for r in queries) == {"warm_context": 5, "warm_text": 40, "cold_text": 75} and Counter(r.split for r in queries) == {"fit": 60, "dev": 30, "audit": 30}
+    targets = {r.item_id for r in parts["truth"].collect()}
+    assert len(targets - {r.item_id for r in parts["train"].collect()}) >= round(len(targets) * split.COLD_ITEMS)
+    with pytest.raises(ValueError):
+        split.make_validation(train, own, train.select("item_id").distinct(), 100_000)
     corpus = rows(parts["corpus"], "row_idx")
     assert [i for i, _ in corpus[:60]] == list(range(60)) and [r for _, r in corpus] == list(range(len(corpus)))
     by_context = defaultdict(set)
