@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import blank
+from ..sources.tables import written
 from .checks import one_to_one
 from .topk import top_k
 
+#: Pairs of a part of a bootstrap.
+BOOTSTRAP_ROWS = 50_000
 #: Breakdowns of a report, of the columns that the queries have.
 BREAKDOWNS = ("regime", "seen_text", "seen_context", "filter_empty", "seen_item_group")
 
@@ -133,36 +140,80 @@ def loss(truth: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
     return scored.join(ahead, ["qid", "item_idx"], "left").groupBy(kind.alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def paired_bootstrap(current: DataFrame, baseline: DataFrame, key: str, metric: str, flag: str | None = None, weight: float | None = None, iterations: int = 2000, seed: int = 42) -> DataFrame:
+def _drawn(seed: int, resample: int, n: int, counts: list[int], part: int) -> int:
+    """How many of ``n`` draws with replacement fall to rows of ``part``: binomial draws down a tree over the parts, the same in every task."""
+    low, high = 0, len(counts)
+    while high - low > 1:
+        mid = (low + high) // 2
+        left, whole = sum(counts[low:mid]), sum(counts[low:high])
+        rng = np.random.default_rng([seed, resample, low, high])
+        own = int(rng.binomial(n, left / whole)) if whole else 0
+        low, high, n = (low, mid, own) if part < mid else (mid, high, n - own)
+    return n
+
+
+def resample_weights(seed: int, resample: int, counts: list[int], part: int) -> np.ndarray:
+    """How often each row of a part is drawn in a resample of as many draws as there are rows; resample 0 has each row once."""
+    if not resample or not counts[part]:
+        return np.ones(counts[part], np.int64)
+    rng = np.random.default_rng([seed, resample, part, len(counts), 1])
+    return rng.multinomial(_drawn(seed, resample, sum(counts), counts, part), np.full(counts[part], 1 / counts[part]))
+
+
+def paired_bootstrap(
+    current: DataFrame, baseline: DataFrame, key: str, metric: str, flag: str | None = None, weight: float | None = None, iterations: int = 2000, seed: int = 42, part_rows: int = BOOTSTRAP_ROWS
+) -> DataFrame:
     """One row: mean difference, its 95 % interval, the share of positive resamples, and the number of pairs.
 
-    Each resample weighs a pair by a Poisson draw with mean 1, made from a hash
-    of key, resample and ``seed``, so no row leaves its executor: ``iterations``
-    sums are all that is gathered. With ``flag`` and ``weight`` the means are
-    post-stratified in every resample.
+    A resample is exactly as many draws with replacement as there are pairs.
+    Pairs lie in parts by a hash of their key; a tree of binomial draws over the
+    parts, seeded by its nodes, tells each task how many draws are its own, and
+    a multinomial draw which, so no row leaves its task and a rerun draws the
+    same: a row a part and resample is all that is gathered. With ``flag`` and
+    ``weight`` the means are post-stratified in every resample.
     """
     side = baseline.select(F.col(key).alias("__key"), F.col(metric).alias("__base"))
-    joined = current.join(side, current[key] == side["__key"], "full_outer").select(key, "__key", (F.col(metric) - F.col("__base")).alias("d"), (F.col(flag) if flag else F.lit(True)).alias("flag"))
+    joined = current.join(side, current[key] == side["__key"], "full_outer").select(key, "__key", (F.col(metric) - F.col("__base")).cast("double").alias("d"), (F.col(flag) if flag else F.lit(True)).alias("flag"))
     if joined.where(F.col("__key").isNull() | F.col(key).isNull()).head(1):
         raise ValueError("both sides need the same queries")
-    u = F.pmod(F.xxhash64(F.col(key), "resample", F.lit(seed)), F.lit(1 << 52)) / float(1 << 52)
-    steps, below, p = F.lit(0), 0.0, 0.36787944117144233  # of a Poisson draw with mean 1
-    for n in range(1, 16):
-        below += p
-        steps, p = steps + (u >= below).cast("int"), p / n
-    drawn = joined.select(key, "d", "flag", F.explode(F.sequence(F.lit(0), F.lit(iterations))).alias("resample"))
-    w = F.when(F.col("resample") == 0, 1).otherwise(steps)  # resample 0 is the data as it is
-    drawn = drawn.withColumn("w", w)
-
-    def mean(of):
-        return F.sum(F.when(of, F.col("d") * F.col("w"))) / F.nullif(F.sum(F.when(of, F.col("w"))), F.lit(0))
-
-    yes, no = F.col("flag"), ~F.col("flag")
-    value = mean(F.lit(True)) if weight is None else weight * mean(yes) + (1 - weight) * mean(no)
-    means = drawn.groupBy("resample").agg(value.alias("m"), F.count(F.lit(1)).alias("n"))
+    known = written(joined.where("d is not null and flag is not null").select(key, "d", "flag"), "bootstrap-pairs")
+    n_parts = max(1, -(-known.count() // part_rows))
+    parted = known.withColumn("part", F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(n_parts)).cast("int"))
+    sizes = dict(parted.groupBy("part").agg(F.count(F.lit(1))).collect())  # a row a part
+    counts = [sizes.get(i, 0) for i in range(n_parts)]
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, d, flags = None, [], []
+
+        def told() -> pa.RecordBatch:
+            values, yes = np.array(d), np.array(flags, bool)
+            out = np.zeros((iterations + 1, 4))
+            for r in range(iterations + 1):
+                w = resample_weights(seed, r, counts, now)
+                out[r] = (w[yes] @ values[yes], w[yes].sum(), w[~yes] @ values[~yes], w[~yes].sum())
+            return pa.RecordBatch.from_arrays([pa.array(np.arange(iterations + 1)), *[pa.array(c) for c in out.T]], ["resample", "yes", "n_yes", "no", "n_no"])
+
+        for batch in batches:
+            for part, x, f in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if part != now:
+                    if d:
+                        yield told()
+                    now, d, flags = part, [], []
+                d.append(x)
+                flags.append(f)
+        if d:
+            yield told()
+
+    dealt = parted.repartition("part").sortWithinPartitions("part", key).select("part", "d", "flag")
+    each = dealt.mapInArrow(sums, "resample long, yes double, n_yes double, no double, n_no double").groupBy("resample").agg(*[F.sum(c).alias(c) for c in ("yes", "n_yes", "no", "n_no")])
+    share = lambda total, n: F.col(total) / F.nullif(F.col(n), F.lit(0))
+    every = (F.col("yes") + F.col("no")) / F.nullif(F.col("n_yes") + F.col("n_no"), F.lit(0))
+    value = every if weight is None else weight * share("yes", "n_yes") + (1 - weight) * share("no", "n_no")
+    means = each.select("resample", value.alias("m"), (F.col("n_yes") + F.col("n_no")).cast("long").alias("n"))
     resampled = F.when(F.col("resample") > 0, F.col("m"))
     ends = F.percentile(resampled, [0.025, 0.975])
-    return means.agg(F.max(F.when(F.col("resample") == 0, F.col("m"))).alias("delta"), ends.alias("ends"), F.avg((resampled > 0).cast("double")).alias("positive"), F.max("n").alias("n")).select("delta", F.col("ends")[0].alias("low"), F.col("ends")[1].alias("high"), "positive", "n")
+    out = means.agg(F.max(F.when(F.col("resample") == 0, F.col("m"))).alias("delta"), ends.alias("ends"), F.avg((resampled > 0).cast("double")).alias("positive"), F.max("n").alias("n"))
+    return out.select("delta", F.col("ends")[0].alias("low"), F.col("ends")[1].alias("high"), "positive", "n")
 
 
 def merged_reports(current: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import write_answers
+from ..sources.tables import require_prefix, write_answers
 
 ITEM_ID = r"\A[0-9a-f]{16}\z"
 
@@ -64,3 +64,21 @@ def check_candidates(candidates: DataFrame, n_queries: int, n_items: int) -> Dat
         (F.lit(n_queries) - F.count_distinct("qid")).alias("uncovered"),
     )
     return repeated.crossJoin(rest)  # one row each
+
+
+def require_candidates(candidates: DataFrame, queries: DataFrame, corpus: DataFrame, items: DataFrame, order: str = "row_idx") -> int:
+    """The number of candidates (qid, item_idx) of exactly the queries asked (qid), of positions in the corpus, each once; else ValueError.
+
+    ``corpus`` must be the first rows of ``items``, in order, so that positions
+    mean the same in both.
+    """
+    n = require_prefix(corpus, items, order)
+    found = candidates.select("qid", "item_idx")
+    ids = queries.select("qid").distinct()
+    if not found.join(ids, "qid", "left_anti").isEmpty() or not ids.join(found, "qid", "left_anti").isEmpty():
+        raise ValueError("the candidates are not those of the queries")
+    if not found.where(F.col("item_idx").isNull() | (F.col("item_idx") < 0) | (F.col("item_idx") >= n)).isEmpty():
+        raise ValueError("a candidate is not in the corpus")
+    if not found.groupBy("qid", "item_idx").count().where("count > 1").isEmpty():
+        raise ValueError("a candidate is there twice")
+    return found.count()

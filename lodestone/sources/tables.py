@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import os
 import re
 import tempfile
@@ -96,6 +98,44 @@ def fingerprint(df: DataFrame) -> str:
     return "|".join(map(str, df.agg(F.count(F.lit(1)), total, F.bit_xor(F.xxhash64(row, F.lit(7)))).first()))
 
 
+#: Rows of a leaf of an ordered digest.
+LEAF = 4096
+
+
+def ordered_digest(df: DataFrame, order: str = "row_idx", n: int | None = None, leaf: int = LEAF) -> str:
+    """A digest of a table's rows in the order of their positions (0, 1, ...), or of the first ``n`` of them.
+
+    Rows lie in leaves by position; a leaf's digest is that of its rows'
+    digests in order, and the digests of up to ``leaf`` leaves make one of the
+    next level, until one is left. Every level is a grouping, so no task holds
+    more than a leaf. Two tables whose first n rows are the same, in the same
+    order, have the same digest of n, whatever their partitions. ValueError
+    where positions repeat, are missing or don't start at 0.
+    """
+    rows = df if n is None else df.where(F.col(order) < n)
+    row = F.to_json(F.struct(*[F.col(c) for c in sorted(rows.columns)]), {"ignoreNullFields": "false"})
+    level = rows.select(F.col(order).cast("long").alias("at"), F.sha2(row, 256).alias("digest"))
+    found = level.agg(F.count(F.lit(1)).alias("n"), F.min("at"), F.max("at")).first()
+    if found[0] and (found[1] != 0 or found[2] != found[0] - 1 or not level.groupBy("at").count().where("count > 1").isEmpty()) or n is not None and found[0] != n:
+        raise ValueError("positions must be 0, 1, ... and as many as are asked for")
+    size = found[0]
+    while size > 1:
+        inner = F.array_sort(F.collect_list(F.struct(F.col("at"), F.col("digest"))))
+        level = level.groupBy(F.floor(F.col("at") / leaf).cast("long").alias("up")).agg(inner.alias("own")).select(F.col("up").alias("at"), F.sha2(F.array_join("own.digest", ""), 256).alias("digest"))
+        size = -(-size // leaf)
+    last = level.first()
+    return hashlib.sha256(f"{found[0]}|{','.join(sorted(rows.columns))}|{last['digest'] if last else ''}".encode()).hexdigest()
+
+
+def require_prefix(corpus: DataFrame, items: DataFrame, order: str = "row_idx", leaf: int = LEAF) -> int:
+    """The corpus's number of rows, if its rows are the first of ``items``, in order; else ValueError. Columns are those of the corpus."""
+    n = corpus.count()
+    first = items.select(*corpus.columns)
+    if first.where(F.col(order) < n).count() != n or ordered_digest(corpus, order, n, leaf) != ordered_digest(first, order, n, leaf):
+        raise ValueError("the corpus is not a prefix of the items")
+    return n
+
+
 def row_counts(spark: SparkSession, sf_dir: str, names: list[str]) -> DataFrame:
     """(name, n_rows, n_columns) of tables. The scans read no column: Spark takes the counts from the files' footers."""
     out = None
@@ -162,6 +202,55 @@ def write_features(features: DataFrame, path: str) -> None:
     features.select(*small).repartition("qid").sortWithinPartitions("qid", "item_idx").write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
+def write_feature_batches(queries: DataFrame, build: Callable[[DataFrame], DataFrame], path: str, size: int = 200, by: str = "qid") -> DataFrame:
+    """Features of all queries, built and written batch by batch, so that a run that ended early goes on.
+
+    A batch is ``size`` queries in the order of ``by``, one Parquet folder that
+    is whole or absent: it is written beside and moved in. The first batch fixes
+    the schema, which a manifest keeps with the batches' bounds; a batch of
+    another schema, a missing query's rows aside, is refused, and so is a folder
+    whose manifest has other queries or another size. Batches that are there
+    are not built again.
+    """
+    spark = queries.sparkSession
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    files = jvm_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    placed = with_row_index(queries.select(by).distinct(), by).withColumn("batch", F.floor(F.col("row_idx") / size).cast("long"))
+    placed = written(placed.select(by, "batch"), "feature-queries")
+    n = placed.agg(F.count(F.lit(1)), F.coalesce(F.max("batch"), F.lit(-1))).first()
+    said = {"queries": fingerprint(placed), "size": size, "batches": n[1] + 1}
+    manifest = f"{path}/manifest"
+
+    def keep(told: dict) -> None:
+        beside = f"{path}/_manifest-{uuid.uuid4().hex}"
+        spark.createDataFrame([(json.dumps(told, sort_keys=True),)], "told string").coalesce(1).write.parquet(beside)
+        files.delete(jvm_path(manifest), True)
+        files.rename(jvm_path(beside), jvm_path(manifest))
+
+    told = json.loads(spark.read.parquet(manifest).first()[0]) if files.exists(jvm_path(f"{manifest}/_SUCCESS")) else {**said, "schema": None}
+    if {k: told[k] for k in said} != said:
+        raise ValueError("the folder holds features of other queries or of another batch size")
+    if told["schema"] is None:
+        keep(told)
+    for batch in range(n[1] + 1):
+        final = f"{path}/features/batch={batch}"
+        if files.exists(jvm_path(f"{final}/_SUCCESS")):
+            continue
+        own = build(queries.join(placed.where(F.col("batch") == batch).select(by), by, "left_semi"))
+        schema = own.schema.simpleString()
+        if told["schema"] is None:
+            told["schema"] = schema
+            keep(told)
+        elif told["schema"] != schema:
+            raise ValueError(f"batch {batch} has another schema than the first")
+        beside = f"{path}/_batch-{uuid.uuid4().hex}"
+        write_features(own, beside)
+        files.mkdirs(jvm_path(f"{path}/features"))
+        files.rename(jvm_path(beside), jvm_path(final))
+    discard(placed)
+    return spark.read.parquet(f"{path}/features").drop("batch")
+
+
 def check_vectors(vectors: DataFrame, dims: int, tolerance: float = 1e-4) -> DataFrame:
     """Counts of vectors that are not finite, not of ``dims`` numbers, or not of unit length."""
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
