@@ -3,26 +3,26 @@
 A document's set has the 64-bit hashes of its five-word shingles. Two sets
 link if 100 times their intersection is at least 80 times their union.
 
-1. Each text is read once. Shingles that a task meets in two different sets
-   are settled there; all others, and each settled one once, go to buckets by
-   hash, packed, and the bucket's task says which occur in two different sets.
-   Only sets that share enough shingles with others at all, one document for
-   all with equal sets, go on: their texts are read again.
-2. Of those, shingles are counted, and each set's inverted lists are put in
-   order of length. Two similar sets share at least a number of lists among
-   the short ones of each (those of its shingles that are left when one more
-   long list would be enough to miss the required overlap).
-3. Sets are asked in rounds. A task merges the short lists of an asked set by
-   a heap and keeps the sets that occur often enough; whether one is on a long
-   list is then found by binary search, in that set's own sorted shingles,
-   which is the same question and moves no long list. What reaches the
-   required overlap of the two sizes is a link.
-4. In the first round each group (sets with a short list in common, of near
-   sizes) asks the set that shares most of its shingles. A set that links to
-   an asked one takes its label. Only a group with sets of two labels that
-   were not asked asks on: more of them each round, until none is left. So
-   every pair that could connect two components is compared, and a large group
-   of near copies of one text isn't compared in pairs.
+1. Each text is read once. Shingles that a chunk of texts has in two different
+   sets are settled there; all others, and each settled one once, go to
+   buckets by hash, packed, and the bucket's task says which occur in two
+   different sets. The chunk adds up the answers. Only sets that share enough
+   shingles with others at all, one document for all with equal sets, go on:
+   their texts are read again.
+2. Of those, shingles are counted, and each set's are put in order of the
+   length of their inverted lists. Two similar sets share one of the first few
+   of each; sets that do, of near sizes, are a group.
+3. Sets lie in parts, each with inverted lists of its own. A set is asked in
+   the parts that its groups reach: its short lists are merged by a heap, and
+   sets that occur often enough there are looked for by binary search in the
+   long ones (all but those without which the required overlap could be
+   missed). What reaches the overlap that both sizes require is a link.
+4. In the first round each group asks the set that shares most of its
+   shingles. A set that links to an asked one takes its label. Only a group
+   with sets of two labels that were not asked asks on: more of them each
+   round, until none is left. So every pair that could connect two components
+   is compared; of an asked set's links to one label one is kept, so a large
+   group of near copies makes no table of its pairs.
 
 Components of the links come from large-star and small-star rounds.
 
@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import discard, documents, hot_keys, materialize, spread_join, text_blocks, text_or_empty
+from ._common import discard, documents, materialize, number_rows, spread_join, text_blocks, text_or_empty
 from .graph import components, hot_of
 from .substrings import _WORD_BASE, _spans, mix, text_buffers, word_hashes
 
@@ -57,10 +57,10 @@ CHUNK = 1_000_000
 #: Bytes of text a bucket, about a sixth as many shingles.
 BYTES_PER_BUCKET = 16_000_000
 MOST_BUCKETS = 2_000_000
-#: Sets of a segment of a list.
-SEGMENT = 4096
-#: Of the required overlap, one part in so many must be found on short lists.
-PARTS = 8
+#: Sets of a part, and shingles of a part on average.
+PART_SETS, PART_SHINGLES = 256, 500_000
+#: Of the required overlap, one in so many must be found on short lists.
+SHARE = 16
 #: Sets that a group asks in a round: one, then these times as many.
 GROWTH = 8
 #: Rows of ids up to which a table is broadcast; larger ones are joined by shuffle.
@@ -104,53 +104,61 @@ def required(a: np.ndarray | int, b: np.ndarray | int):
     return -(-PERCENT * (a + b) // (100 + PERCENT))
 
 
-SENT = "bucket int, kind int, keys binary, numbers binary, hashes binary"
+SENT = "bucket int, chunk long, kind int, keys binary, numbers binary, hashes binary"
+_SENT = [c.split()[0] for c in SENT.split(", ")]
 _DOCS, _COUNTS, _HASHES = 0, 1, 2
+#: Stands for sets whose counts are settled.
+_NO_KEY = np.iinfo(np.int64).min
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], _SENT)
+
+
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of the runs of equal values of a sorted array."""
+    first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
+    return first, np.diff(np.append(first, len(values)))
 
 
 def _send(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        turn = TaskContext.get().partitionId()
-        held: list[tuple[np.ndarray, ...]] = []
+        chunk = TaskContext.get().partitionId() << 32
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         seen: set[int] = set()
 
         def flush() -> pa.RecordBatch:
-            nonlocal turn
+            nonlocal chunk
             keys, hashes = (np.concatenate([h[i] for h in held]) for i in range(2))
-            order = np.argsort(hashes, kind="stable")
+            order = np.argsort(hashes)
             keys, hashes = keys[order], hashes[order]
-            first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.zeros(0, np.int64)
-            many = np.diff(np.append(first, len(hashes))) > 1
-            settled, times = np.unique(keys[np.repeat(many, np.diff(np.append(first, len(hashes))))], return_counts=True)
-            rows = [(turn % buckets, _COUNTS, settled.tobytes(), times.astype("<i8").tobytes(), b"")]
+            first, n = _runs(hashes)
+            many = n > 1
+            settled, times = np.unique(keys[np.repeat(many, n)], return_counts=True)
+            rows = [(chunk % buckets, chunk, _COUNTS, settled.tobytes(), times.astype("<i8").tobytes(), b"")]
             to = ((hashes[first] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
-            # A settled hash goes on with no key: nobody waits for an answer.
             by = np.lexsort((keys[first], many, to))
-            to, at, many = to[by], first[by], many[by]
-            cuts = np.searchsorted(to, np.arange(buckets + 1)) if buckets < len(to) else None
-            for b in np.unique(to).tolist():
-                own = slice(cuts[b], cuts[b + 1]) if cuts is not None else slice(*np.searchsorted(to, (b, b + 1)))
-                alone = at[own][~many[own]]
-                who, n = np.unique(keys[alone], return_counts=True)
-                rows.append((b, _HASHES, who.tobytes(), n.astype("<u4").tobytes(), hashes[at[own]].astype("<u4").tobytes()))
-            turn += 1
+            at, many = first[by], many[by]
+            starts, lengths = _runs(to[by])
+            for a, length in zip(starts.tolist(), lengths.tolist(), strict=True):
+                own = at[a : a + length]
+                who, n = np.unique(keys[own[~many[a : a + length]]], return_counts=True)  # a settled hash goes on with no key: nobody waits for an answer
+                rows.append((int(to[by[a]]), chunk, _HASHES, who.tobytes(), n.astype("<u4").tobytes(), hashes[own].astype("<u4").tobytes()))
+            chunk += 1
             held.clear()
             seen.clear()
-            kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["bucket", "kind", "keys", "numbers", "hashes"])
+            return _rows(rows)
 
         for batch in batches:
             for start, stop in text_blocks(batch, "text"):
                 part = batch.slice(start, stop - start)
                 hashes, text, sizes, keys = shingle_sets(part)
                 ids = part.column("doc_id")
-                known = np.asarray(ids.is_valid())
-                told = np.stack([np.asarray(ids.fill_null(0), np.int64), known.astype(np.int64), sizes], axis=1)
-                columns = [pa.array([turn % buckets], pa.int32()), pa.array([_DOCS], pa.int32()), *[pa.array([x.tobytes()], pa.binary()) for x in (keys, told)], pa.array([b""], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["bucket", "kind", "keys", "numbers", "hashes"])
-                turn += 1
+                told = np.stack([np.asarray(ids.fill_null(0), np.int64), np.asarray(ids.is_valid()).astype(np.int64), sizes], axis=1)
+                yield _rows([(chunk % buckets, chunk, _DOCS, keys.tobytes(), told.tobytes(), b"")])
                 fresh = np.array([k not in seen and not seen.add(k) for k in keys.tolist()], bool) & (sizes > 0)  # of equal sets one
                 mine = fresh[text]
                 held.append((keys[text[mine]], hashes[mine]))
@@ -163,59 +171,81 @@ def _send(buckets: int):
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come by bucket. Documents and settled counts pass; of a bucket's hashes, those of two sets are counted for their sets."""
-
-    def out(keys: np.ndarray, n: np.ndarray, doc: np.ndarray | None = None, known: np.ndarray | None = None) -> pa.RecordBatch:
-        none = pa.nulls(len(keys), pa.int64())
-        ids = none if doc is None else pa.array(doc, pa.int64(), mask=~known)
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), doc is not None)), ids, pa.array(keys, pa.int64()), pa.array(n, pa.int64())], ["is_doc", "doc_id", "key", "n"])
-
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    """Rows come by bucket. Those of documents and settled counts pass; of a bucket's hashes, those of two sets are counted for their sets, chunk by chunk."""
+    held: list[tuple[int, np.ndarray, np.ndarray]] = []
     now = None
 
     def counted() -> pa.RecordBatch:
-        keys, hashes = (np.concatenate([h[i] for h in held]) for i in range(2))
-        order = np.argsort(hashes, kind="stable")
-        keys, hashes = keys[order], hashes[order]
-        first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
-        low, high = np.minimum.reduceat(keys, first), np.maximum.reduceat(keys, first)
-        shared = np.repeat(low != high, np.diff(np.append(first, len(hashes)))) & (keys > _NO_KEY + 1)
+        keys, hashes = (np.concatenate([h[i] for h in held]) for i in (1, 2))
+        order = np.argsort(hashes)
+        first, n = _runs(hashes[order])
+        by_hash = keys[order]
+        low, high = np.minimum.reduceat(by_hash, first), np.maximum.reduceat(by_hash, first)
+        shared = np.zeros(len(keys), bool)
+        shared[order] = np.repeat(low != high, n)
+        rows, at = [], 0
+        for chunk, own, _ in held:
+            hit = own[shared[at : at + len(own)] & (own > _NO_KEY + 1)]
+            at += len(own)
+            if len(hit):
+                first, n = _runs(hit)  # keys come sorted
+                rows.append((0, chunk, _COUNTS, hit[first].tobytes(), n.astype("<i8").tobytes(), b""))
         held.clear()
-        return out(*np.unique(keys[shared], return_counts=True))
+        return _rows(rows) if rows else pa.RecordBatch.from_arrays([pa.array([], k) for k in (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())], _SENT)
 
     for batch in batches:
-        for bucket, kind, keys, numbers, hashes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            keys = np.frombuffer(keys, "<i8")
-            if kind == _DOCS:
-                told = np.frombuffer(numbers, "<i8").reshape(-1, 3)
-                yield out(keys, told[:, 2], told[:, 0], told[:, 1] > 0)
-            elif kind == _COUNTS:
-                yield out(keys, np.frombuffer(numbers, "<i8"))
-            else:
-                if bucket != now and held:
-                    yield counted()
-                now = bucket
-                hashes = np.frombuffer(hashes, "<u4")
-                own = np.repeat(keys, np.frombuffer(numbers, "<u4"))
-                # Settled hashes stand for two sets.
-                rest = np.repeat(hashes[len(own) :], 2)
-                ends = np.tile(np.array([_NO_KEY, _NO_KEY + 1]), len(rest) // 2)
-                held.append((np.concatenate([own, ends]), np.concatenate([hashes[: len(own)], rest])))
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            bucket, chunk, kind, keys, numbers, hashes = row
+            if kind != _HASHES:
+                yield _rows([row])
+                continue
+            if bucket != now and held:
+                yield counted()
+            now = bucket
+            keys, hashes = np.repeat(np.frombuffer(keys, "<i8"), np.frombuffer(numbers, "<u4")), np.frombuffer(hashes, "<u4")
+            rest = np.repeat(hashes[len(keys) :], 2)  # settled hashes stand for two sets
+            ends = np.tile(np.array([_NO_KEY, _NO_KEY + 1]), len(rest) // 2)
+            held.append((chunk, np.concatenate([keys, ends]), np.concatenate([hashes[: len(keys)], rest])))
     if held:
         yield counted()
 
 
-#: Stands for sets whose counts are settled.
-_NO_KEY = np.iinfo(np.int64).min
+def _told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come by chunk: a row a document, with whether its set shares enough shingles with others."""
+    now, docs, counts = None, [], []
+
+    def told() -> pa.RecordBatch:
+        keys, rows = np.concatenate([d[0] for d in docs]), np.concatenate([d[1] for d in docs])
+        known, at = np.unique(keys, return_inverse=True)
+        shared = np.zeros(len(known), np.int64)
+        for own, n in counts:
+            shared[np.searchsorted(known, own)] += n  # own has each key once
+        enough = (rows[:, 2] > 0) & (100 * shared[at] >= PERCENT * rows[:, 2])
+        return pa.RecordBatch.from_arrays([pa.array(rows[:, 0], mask=rows[:, 1] == 0), pa.array(keys), pa.array(rows[:, 2]), pa.array(enough)], ["doc_id", "key", "n", "enough"])
+
+    for batch in batches:
+        for _, chunk, kind, keys, numbers, _ in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if chunk != now:
+                if docs:
+                    yield told()
+                now, docs, counts = chunk, [], []
+            keys = np.frombuffer(keys, "<i8")
+            if kind == _DOCS:
+                docs.append((keys, np.frombuffer(numbers, "<i8").reshape(-1, 3)))
+            else:
+                counts.append((keys, np.frombuffer(numbers, "<i8")))
+    if docs:
+        yield told()
 
 
 def set_rows(docs: DataFrame) -> DataFrame:
-    """is_doc, doc_id, key, n: a row a document with the key and size of its set, and rows with the number of shingles that a set shares with others, in parts."""
+    """doc_id, key, n, enough: a row a document with the key and size of its set, and whether it may have a partner."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("string").alias("text"))
     n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = min(max(1, -(-n_bytes // BYTES_PER_BUCKET)), MOST_BUCKETS)
     sent = rows.mapInArrow(_send(buckets), SENT).repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return sent.mapInArrow(_met, "is_doc boolean, doc_id long, key long, n long")
+    met = sent.mapInArrow(_met, SENT).repartition("chunk").sortWithinPartitions("chunk")
+    return met.mapInArrow(_told, "doc_id long, key long, n long, enough boolean")
 
 
 def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,137 +269,153 @@ def sets_of(docs: DataFrame, asked: DataFrame) -> DataFrame:
 
 
 def ordered_sets(sets: DataFrame) -> DataFrame:
-    """key, n, least (overlap), lists: the shingles that other sets have too, those on short lists first; only sets with enough of them."""
+    """id, key, n, least (overlap), lists: the shingles that other sets have too, those on short lists first; only sets with enough of them.
+
+    Sets with the largest share of such shingles have the smallest ids.
+    """
     each = sets.select("key", "n", F.explode("shingles").alias("t"))
     lengths = materialize(each.groupBy("t").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "jaccard-lengths")
     met = spread_join(each, lengths.select("t", F.col("n").cast("int").alias("length")), ["t"], hot_of(lengths, "t"), F.col("key"))
     held = met.groupBy("key", "n").agg(F.array_sort(F.collect_list(F.struct("length", "t"))).alias("lists"))
-    least = least_overlap(F.col("n"))
-    return materialize(held.select("key", "n", least.alias("least"), F.col("lists.t").alias("lists")).where(F.size("lists") >= F.col("least")), "jaccard-ordered", lengths)
-
-
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (asked, part, n, enough, ids, sizes) come by (asked, part): the lists of one asked set, merged by a heap."""
-    now, lists = None, []
-
-    def stream(ids: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[int, int]]:
-        for a in range(0, len(ids), 256):
-            yield from zip(ids[a : a + 256].tolist(), sizes[a : a + 256].tolist(), strict=True)
-
-    def found() -> pa.RecordBatch:
-        (asked, _, n, enough), hits = now, []
-        for (key, size), run in groupby(heapq.merge(*lists)):
-            if 100 * min(n, size) >= PERCENT * max(n, size) and key != asked:
-                need = -(-(-(-PERCENT * size // 100)) // PARTS)
-                if sum(1 for _ in run) >= min(enough, need):
-                    hits.append(key)
-        return pa.RecordBatch.from_arrays([pa.array([asked] * len(hits), pa.int64()), pa.array(hits, pa.int64())], ["asked", "key"])
-
-    for batch in batches:
-        told = list(zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True))
-        for i, own in enumerate(told):
-            if own != now:
-                if lists:
-                    yield found()
-                now, lists = own, []
-            lists.append(stream(*(np.asarray(batch.column(c)[i].values) for c in (4, 5))))
-    if lists:
-        yield found()
-
-
-def _probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (asked, key, n_a, n_k, lists_a, set_k): those whose overlap, found by binary search, is what their sizes require."""
+    rows = held.select("key", "n", least_overlap(F.col("n")).alias("least"), F.col("lists.t").alias("lists")).where(F.size("lists") >= F.col("least"))
+    rows = materialize(rows, "jaccard-ordered", lengths)
+    named = number_rows(rows.select("key", (F.size("lists") / F.col("n")).alias("share")), [F.desc("share"), F.col("key")], "id", "jaccard-ids")
+    return materialize(rows.join(named.select("key", "id"), "key"), "jaccard-ordered", rows)
+
+
+class Part:
+    """Sets (ids, sizes, labels, shingles) and their inverted lists."""
+
+    def __init__(self, ids: list[int], sizes: list[int], labels: list[int], sets: list[np.ndarray]):
+        self.ids, self.sizes, self.labels = (np.array(x, np.int64) for x in (ids, sizes, labels))
+        shingles, who = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        order = np.lexsort((who, shingles))
+        self.who = who[order]
+        self.starts, self.lengths = _runs(shingles[order])
+        self.shingles = shingles[order][self.starts]
+        self.codes = np.repeat(np.arange(len(self.starts)), self.lengths) * len(sets) + self.who  # ascending: (list, set)
+
+    def links(self, asked: int, n: int, least: int, label: int, lists: np.ndarray) -> list[tuple[int, int]]:
+        """(id, overlap) of sets similar to the asked one, of each label but its own one."""
+        at = np.searchsorted(self.shingles, lists)
+        at = at[self.shingles[np.minimum(at, len(self.shingles) - 1)] == lists]
+        enough = max(1, least // SHARE)
+        n_short = len(at) - (least - enough)
+        if n_short < enough:
+            return []
+        at = at[np.argsort(self.lengths[at], kind="stable")]
+        short, long = at[:n_short], at[n_short:]
+        runs = [self.who[a : a + k].tolist() for a, k in zip(self.starts[short].tolist(), self.lengths[short].tolist(), strict=True)]
+        found = [(x, c) for x, own in groupby(heapq.merge(*runs)) if (c := sum(1 for _ in own)) >= enough]
+        if not found:
+            return []
+        who, counts = np.array(found, np.int64).T
+        fits = (100 * np.minimum(self.sizes[who], n) >= PERCENT * np.maximum(self.sizes[who], n)) & (self.ids[who] != asked) & (self.labels[who] != label)
+        who, counts = who[fits], counts[fits]
+        wanted = (long[None, :] * len(self.ids) + who[:, None]).ravel()
+        place = np.minimum(np.searchsorted(self.codes, wanted), len(self.codes) - 1)
+        overlap = counts + (self.codes[place] == wanted).reshape(len(who), len(long)).sum(axis=1)
+        good = overlap >= required(n, self.sizes[who])
+        who, overlap = who[good], overlap[good]
+        _, one = np.unique(self.labels[who], return_index=True)
+        return list(zip(self.ids[who[one]].tolist(), overlap[one].tolist(), strict=True))
+
+
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (part, asks, id, n, least, label, lists) come by part, sets before those that ask."""
+    now, held, part = None, [], None
     for batch in batches:
-        n_a, n_k = (np.asarray(batch.column(i), np.int64) for i in (2, 3))
-        keep, overlap = np.zeros(batch.num_rows, bool), np.zeros(batch.num_rows, np.int64)
-        for i in range(batch.num_rows):
-            a, k = (np.asarray(batch.column(c)[i].values) for c in (4, 5))
-            at = np.searchsorted(k, a)
-            overlap[i] = np.count_nonzero(k[np.minimum(at, len(k) - 1)] == a)
-            keep[i] = overlap[i] >= required(int(n_a[i]), int(n_k[i]))
-        kept = pa.array(keep)
-        yield pa.RecordBatch.from_arrays([batch.column(0).filter(kept), batch.column(1).filter(kept), pa.array(overlap[keep])], ["asked", "key", "overlap"])
-
-
-def occurrences(asked: DataFrame, lists: DataFrame, ordered: DataFrame, labels: DataFrame) -> DataFrame:
-    """Links (asked, key, overlap) of the asked sets (key) to sets of other labels, by T-occurrence search."""
-    enough = F.ceil(F.col("least") / PARTS).cast("int")
-    asks = ordered.join(asked, "key", "left_semi")
-    terms = asks.select(F.col("key").alias("asked"), "n", enough.alias("enough"), F.explode(F.slice("lists", F.lit(1), F.size("lists") - F.col("least") + enough)).alias("t"))
-    met = terms.join(lists, "t").select("asked", "part", "n", "enough", "ids", "sizes")
-    merged = met.repartition("asked", "part").sortWithinPartitions("asked", "part").mapInArrow(_merged, "asked long, key long")
-    told = lambda c: labels.select(F.col("key").alias(c), F.col("label").alias(f"label_{c}"))
-    pairs = materialize(merged, "jaccard-candidates")
-    hot = hot_keys(pairs.select(F.explode(F.array("asked", "key")).alias("k")), "k")
-    apart = spread_join(pairs, told("asked"), ["asked"], hot, F.col("key"))
-    apart = spread_join(apart, told("key"), ["key"], hot, F.col("asked")).where("label_asked <> label_key").select("asked", "key")
-    whole = spread_join(apart, ordered.select("key", F.col("n").alias("n_k"), F.array_sort("lists").alias("set_k")), ["key"], hot, F.col("asked"))
-    whole = spread_join(whole, ordered.select(F.col("key").alias("asked"), F.col("n").alias("n_a"), F.col("lists").alias("lists_a")), ["asked"], hot, F.col("key"))
-    out = whole.select("asked", "key", "n_a", "n_k", "lists_a", "set_k").mapInArrow(_probed, "asked long, key long, overlap long")
-    return materialize(out, "jaccard-links", pairs)
+        told = list(zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True))
+        out = []
+        for i, (number, asks, own, n, least, label) in enumerate(told):
+            if number != now:
+                now, held, part = number, [], None
+            lists = np.asarray(batch.column(6)[i].values)
+            if not asks:
+                held.append((own, n, label, lists))
+                continue
+            if part is None:
+                part = Part(*(list(x) for x in zip(*held, strict=True)))
+            out += [(own, *link) for link in part.links(own, n, least, label, lists)]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["asked", "id", "overlap"])
+
+
+def occurrences(asked: DataFrame, members: DataFrame, ordered: DataFrame, labels: DataFrame, parts: int) -> DataFrame:
+    """Links (asked, id, overlap) of the asked sets (id) to sets of other labels in their groups (members: t, class, id), by T-occurrence search."""
+    group = ["t", "class"]
+    part = F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")
+    reach = members.groupBy(*group).agg(F.collect_set(part).alias("parts"))  # numbers of parts: no more than there are
+    way = members.join(asked, "id", "left_semi").join(reach, group).groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("parts"))).alias("parts"))
+    way = materialize(way.select("id", F.explode("parts").alias("part")), "jaccard-ways")
+    told = ordered.join(labels.select("id", "label"), "id").select("id", "n", "least", "label", "lists")
+    names = ["part", "asks", "id", "n", "least", "label", "lists"]
+    said = told.withColumns({"part": part, "asks": F.lit(False)}).join(way.select("part").distinct(), "part", "left_semi").select(*names)
+    asks = way.join(told, "id").withColumn("asks", F.lit(True)).select(*names)
+    rows = said.unionByName(asks).repartition("part").sortWithinPartitions("part", "asks")
+    return materialize(rows.mapInArrow(_asked, "asked long, id long, overlap long"), "jaccard-links", way)
 
 
 def linked(ordered: DataFrame) -> DataFrame | None:
-    """(node, root) of the sets that links connect; None if there are no links."""
-    enough = F.ceil(F.col("least") / PARTS).cast("int")
-    parts = max(1, -(-ordered.count() // SEGMENT))
-    short = ordered.select("key", "n", F.explode(F.slice("lists", F.lit(1), F.size("lists") - F.col("least") + enough)).alias("t"))
-    held = short.groupBy("t", F.pmod(F.xxhash64("key"), F.lit(parts)).alias("part")).agg(F.array_sort(F.collect_list(F.struct("key", "n"))).alias("rows"))
-    lists = materialize(held.select("t", "part", F.col("rows.key").alias("ids"), F.col("rows.n").alias("sizes")), "jaccard-lists")
+    """(node, root) of the sets (id) that links connect; None if there are no links."""
+    n_sets, n_shingles = ordered.agg(F.count(F.lit(1)), F.sum(F.size("lists"))).first()
+    parts = max(1, -(-n_sets // PART_SETS), -(-(n_shingles or 0) // PART_SHINGLES))
     # Sets of a class of sizes are at home in its groups, and guests in those of the class below.
     size = F.floor(F.log(F.col("n").cast("double")) / -np.log(PERCENT / 100) + 1e-9).cast("int")
     roles = F.array(F.struct(size.alias("class"), F.lit(True).alias("home")), F.struct((size - 1).alias("class"), F.lit(False).alias("home")))
-    share = F.struct((F.size("lists") / F.col("n")).alias("share"), F.col("key").alias("key"))
-    first = ordered.select("key", share.alias("share"), F.explode(roles).alias("r"), F.slice("lists", F.lit(1), F.size("lists") - F.col("least") + 1).alias("ts"))
-    members = materialize(first.select("key", "share", "r.class", "r.home", F.explode("ts").alias("t")), "jaccard-members")
+    first = ordered.select("id", F.explode(roles).alias("r"), F.slice("lists", F.lit(1), F.size("lists") - F.col("least") + 1).alias("ts"))
+    members = materialize(first.select("id", "r.class", "r.home", F.explode("ts").alias("t")), "jaccard-members")
     group = ["t", "class"]
-    labels = materialize(ordered.select("key", F.col("key").alias("label"), F.lit(False).alias("done")), "jaccard-labels")
+    labels = materialize(ordered.select("id", F.col("id").alias("label"), F.lit(False).alias("done")), "jaccard-labels")
     links, width = None, 1
     while True:
-        told = members.join(labels, "key").where("not done")
-        own = told.groupBy(*group).agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("home").alias("lived"), F.max("share").alias("best"))
-        open_groups = materialize(own.where("low <> high and lived").select(*group, "best"), "jaccard-open")
-        if open_groups.isEmpty():
-            discard(open_groups)
+        undone = members.join(labels, "id").where("not done")
+        own = undone.groupBy(*group).agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("home").alias("lived"), F.min("id").alias("best"), F.count(F.lit(1)).alias("n"))
+        still = materialize(own.where("low <> high and lived").select(*group, "best", "n"), "jaccard-open")
+        if still.isEmpty():
             break
+        # A group without two labels among those not asked has nothing more to say.
+        hot = hot_of(still, "t")
+        members = materialize(spread_join(members, still.select(*group), group, hot, F.col("id"), "left_semi"), "jaccard-members", members)
         if width == 1:
-            asked = open_groups.select("best.key").distinct()
+            asked = still.select(F.col("best").alias("id")).distinct()
         else:
-            frequent = hot_keys(told.select("t"), "t")
-            place = F.row_number().over(Window.partitionBy(*group).orderBy(F.desc("share")))
-            ranked = spread_join(told, open_groups.select(*group), group, frequent, F.col("key")).withColumn("place", place)
-            asked = ranked.where(F.col("place") <= width).select("key").distinct()
-        asked = materialize(asked, "jaccard-asked", open_groups)
-        found = occurrences(asked, lists, ordered, labels)
-        links = found if links is None else materialize(links.unionByName(found), "jaccard-all-links")
-        # A set that was alone takes the label of an asked one it links to; an asked one that was alone, that of a set with a label.
-        with_label = found.join(labels.select(F.col("key").alias("asked"), F.col("label").alias("given")), "asked").groupBy("key").agg(F.min("given").alias("given"))
-        now = labels.join(with_label, "key", "left").join(asked.withColumn("was_asked", F.lit(True)), "key", "left")
-        label = F.when((F.col("label") == F.col("key")) & F.col("given").isNotNull(), F.col("given")).otherwise(F.col("label"))
-        labels = materialize(now.select("key", label.alias("label"), (F.col("done") | F.coalesce("was_asked", F.lit(False))).alias("done")), "jaccard-labels", labels, asked)
+            place = F.row_number().over(Window.partitionBy(*group).orderBy(F.col("label") != F.col("id"), "id"))  # those without a label first
+            asked = members.join(labels, "id").where("not done").withColumn("place", place).where(F.col("place") <= width).select("id").distinct()
+        asked = materialize(asked, "jaccard-asked", still)
+        found = occurrences(asked, members, ordered, labels, parts)
+        links = found if links is None else materialize(links.unionByName(found), "jaccard-all-links", links, found)
+        # A set that was alone takes the label of an asked one it links to.
+        given = links.join(labels.select(F.col("id").alias("asked"), F.col("label").alias("given")), "asked").groupBy("id").agg(F.min("given").alias("given"))
+        now = labels.join(given, "id", "left").join(asked.withColumn("was_asked", F.lit(True)), "id", "left")
+        label = F.when((F.col("label") == F.col("id")) & F.col("given").isNotNull(), F.col("given")).otherwise(F.col("label"))
+        labels = materialize(now.select("id", label.alias("label"), (F.col("done") | F.coalesce("was_asked", F.lit(False))).alias("done")), "jaccard-labels", labels, asked)
         width *= GROWTH
-    return None if links is None or links.isEmpty() else components(links.select(F.col("asked").alias("u"), F.col("key").alias("v")))
+    for done in (still, members, labels):
+        discard(done)
+    return None if links is None or links.isEmpty() else components(links.select(F.col("asked").alias("u"), F.col("id").alias("v")))
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     rows = materialize(set_rows(docs), "jaccard-sets")
-    each = rows.where("is_doc")
-    own = materialize(each.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"), F.count(F.lit(1)).alias("n_docs")), "jaccard-distinct")
-    shared = rows.where("not is_doc").groupBy("key").agg(F.sum("n").alias("shared"))
-    asked = materialize(own.join(shared, "key").where(F.col("shared") >= least_overlap(F.col("n"))).select("key", "n", "first"), "jaccard-asked-sets")
-    ordered = ordered_sets(materialize(sets_of(docs, asked), "jaccard-whole"))
+    own = materialize(rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"), F.count(F.lit(1)).alias("n_docs"), F.max("enough").alias("enough")), "jaccard-distinct")
+    asked = materialize(own.where("enough").select("key", "n", "first"), "jaccard-asked-sets")
+    whole = materialize(sets_of(docs, asked), "jaccard-whole", asked)
+    ordered = ordered_sets(whole)
+    discard(whole)
     found = linked(ordered)
     name = own.select("key", "first", "n_docs")
     if found is not None:
-        held = name.join(found.withColumnRenamed("node", "key"), "key", "left").select("key", "first", "n_docs", F.coalesce("root", "key").alias("root"))
-        held = materialize(held, "jaccard-roots")
-        roots = held.groupBy("root").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("n"))
-        roots = materialize(roots, "jaccard-components")
-        name = spread_join(held, roots.select("root", "component_id"), ["root"], hot_of(roots, "root"), F.col("key")).select("key", F.col("component_id").alias("first"), "n_docs")
-    many = materialize(name.withColumnRenamed("n_docs", "n"), "jaccard-names")
-    out = spread_join(each, many.select("key", F.col("first").alias("found")), ["key"], hot_of(many, "key"), F.coalesce("doc_id", F.lit(0)), "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("found")).otherwise(F.col("doc_id")).alias("component_id"))
+        members = ordered.select("key", F.col("id").alias("node")).join(found, "node").select("key", "root")
+        held = materialize(name.join(members, "key"), "jaccard-roots", ordered)
+        roots = materialize(held.groupBy("root").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("n")), "jaccard-components")
+        named = spread_join(held, roots.select("root", "component_id"), ["root"], hot_of(roots, "root"), F.col("key")).select("key", "component_id")
+        name = name.join(named, "key", "left").select("key", F.coalesce("component_id", "first").alias("first"), "n_docs")
+    # Only sets of several documents, or in a component of several, tell a document a name it doesn't know.
+    many = materialize(name.join(own.select("key", F.col("first").alias("alone")), "key").where((F.col("n_docs") > 1) | ~F.col("first").eqNullSafe(F.col("alone"))).select("key", "first", F.col("n_docs").alias("n")), "jaccard-names")
+    out = spread_join(rows, many.select("key", "first", F.lit(True).alias("met")), ["key"], hot_of(many, "key"), F.coalesce("doc_id", F.lit(0)), "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("met"), F.col("first")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
