@@ -17,9 +17,11 @@ there are, whether a budget holds and where to cut, without a second encoding.
 The query reads all of its columns off that table, checkpoints of it included.
 
 Steps are kept for each distinct piece, up to ``PIECES`` of them in a worker.
-The work is in proportion to the text in every script; only characters that
-are not in composed form (NFC) are counted again for each cut, within their
-piece.
+The work is in proportion to the text in every script: a cut changes a
+normalised text only behind the last place where characters can't combine, so
+where composition changes a text, prefixes that end at such a place are read
+off the table of the composed text, and a cut between characters that combine
+goes on from that table's tokens, over the few characters behind it.
 
 Defined results: a null text counts as empty (0 bytes, 0 tokens); repeated
 rows are counted one by one; special strings inside a text are one token each,
@@ -56,6 +58,12 @@ LONGEST_KEPT = 64
 NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 BLANKS = "\t\n\x0b\x0c\r "
 CHUNK = re.compile("[^\t\n\x0b\x0c\r ]+[\t\n\x0b\x0c\r ]*|[\t\n\x0b\x0c\r ]+")
+#: Characters before a cut within which pieces are found again, not continued.
+NEAR = 128
+#: Characters that combine with the one before them though their combining class is 0 (second parts of canonical pairs; vowels and finals of Hangul).
+JOINING = "\u09be\u09d7\u0b3e\u0b56\u0b57\u0bbe\u0bd7\u0cc2\u0cd5\u0cd6\u0d3e\u0d57\u0dcf\u0ddf\u102e\u1b35\u1161-\u1175\u11a8-\u11c2\U00011127\U0001133e\U00011357\U000114b0\U000114ba\U000114bd\U000115af\U00011930"
+#: A character, or a run of blanks, which become one, and those that can combine with it.
+CLUSTER = regex.compile(rf"(?:[\x85\p{{Zs}}\p{{Zl}}\p{{Zp}}]+|[\s\S])(?:[\p{{M}}{JOINING}])*")
 #: Letters of which lower case and composed form are plain in every Unicode version.
 PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-įı-ňŊ-ž]*")
 #: The letters and digits among these in lower case, as parts of a character class.
@@ -150,6 +158,7 @@ class PieceBpe(PieceSplitter):
             if symbols:
                 self.ending.add_word(symbols, (inner, last, len(symbols)))
         self.ending.make_automaton()
+        self.longest = max(map(len, ends), default=1)
         self.fits = Pieces(self._fits, PIECES)
 
     def _fits(self, pair: tuple[str, str]) -> bool:
@@ -167,10 +176,10 @@ class PieceBpe(PieceSplitter):
             else:  # of two equal merges the left one came first
                 limit, b = right[0] + 1, right[1]
 
-    def prefix_counts(self, piece: str) -> list[int]:
-        """For byte symbols: token count of each prefix (0 bytes, 1 byte, ...)."""
+    def open_states(self, piece: str) -> tuple[list[str], list[int], list[int]]:
+        """For byte symbols, at each prefix (0 bytes, 1 byte, ...): the last token and number of tokens where the piece goes on, and the number where it ends."""
         n, fits = len(piece), self.fits
-        last, count = [""] * (n + 1), [0] * (n + 1)  # open prefixes: their last token, their number of tokens
+        last, count = [""] * (n + 1), [0] * (n + 1)
         closed = [0] * (n + 1)
         for at, (inner, final, size) in self.ending.iter(piece):
             k, j = at + 1, at + 1 - size
@@ -178,6 +187,29 @@ class PieceBpe(PieceSplitter):
                 last[k], count[k] = inner, count[j] + 1
             if final is not None and not closed[k] and (not j or fits[last[j], final]):
                 closed[k] = count[j] + 1
+        return last, count, closed
+
+    def prefix_counts(self, piece: str) -> list[int]:
+        """For byte symbols: token count of each prefix (0 bytes, 1 byte, ...)."""
+        return self.open_states(piece)[2]
+
+    def extended(self, piece: str, states: tuple[list[str], list[int], list[int]], k: int, tail: str) -> int:
+        """Token count of ``piece[:k] + tail`` (tail not empty), from the states of ``piece``: only tokens that end in the tail are looked for."""
+        start, fits = max(0, k - self.longest), self.fits
+        window = piece[start:k] + tail
+        last, count, closed = {}, {}, 0
+        for at, (inner, final, size) in self.ending.iter(window):
+            end = start + at + 1
+            if end <= k:
+                continue
+            j = end - size
+            before, n = (last[j], count[j]) if j > k else (states[0][j], states[1][j])
+            if j and not n:
+                continue
+            if inner is not None and end not in count and (not j or fits[before, inner]):
+                last[end], count[end] = inner, n + 1
+            if final is not None and end == k + len(tail) and not closed and (not j or fits[before, final]):
+                closed = n + 1
         return closed
 
 
@@ -190,6 +222,7 @@ class PrefixCounter:
         self.spaced = (re if isinstance(self.bpe.split_plain, re.Pattern) else regex).compile(rf"(?:{plain})[{BLANKS}]*|[{BLANKS}]+")
         self.plain_steps = Pieces(self._plain_steps)
         self.chunk_steps = Pieces(self._chunk_steps)
+        self.composed = Pieces(self.bpe.library.normalizer.normalize_str)
 
     @staticmethod
     def _as_steps(counts: list[int]) -> bytes:
@@ -231,23 +264,64 @@ class PrefixCounter:
         library = self.bpe.library
         norm, low = library.normalizer.normalize_str(word), [c.lower() for c in word]
         if "".join(low) != norm:
-            return self._recounted(word)
+            return self._composed_counts(word, norm)
         # Every prefix is in composed form too, so its normal form is a prefix of the word's.
-        at = [0] * (len(norm) + 1)
+        at, _ = self._table(norm)
+        return [0, *(at[e] for e in accumulate(map(len, low)))]
+
+    def _table(self, norm: str) -> tuple[list[int], list[tuple[int, int]]]:
+        """Counts at the prefixes of a normalised text, and the places of its pieces."""
+        at, places = [0] * (len(norm) + 1), []
         done = end = 0
-        for _, (a, b) in library.pre_tokenizer.pre_tokenize_str(norm):
+        for _, (a, b) in self.bpe.library.pre_tokenizer.pre_tokenize_str(norm):
             at[end + 1 : a + 1] = [done] * (a - end)
             counts = self._piece_counts(norm[a:b])
             at[a + 1 : b + 1] = [done + c for c in counts[1:]]
             done, end = done + counts[-1], b
+            places.append((a, b))
         at[end + 1 :] = [done] * (len(norm) - end)
-        return [0, *(at[e] for e in accumulate(map(len, low)))]
+        return at, places
 
-    def _recounted(self, word: str) -> list[int]:
-        """Counts where composition changes what a prefix is: each cut by what stands of its piece and the three before it.
+    def _composed_counts(self, word: str, norm: str) -> list[int]:
+        """Counts of a word that composition changes, by clusters: characters that can combine with each other."""
+        clusters = CLUSTER.findall(word)
+        said = [self.composed[c] for c in clusters]
+        if "".join(said) != norm or "".join(clusters) != word:
+            return self._recounted(word)
+        at, places = self._table(norm)
+        counts, j, i = [0], 0, 0  # i: the last piece that begins at or before place j - 3
+        states: tuple[int, str, list[int], tuple] = (-1, "", [], ())
+        for cluster, own in zip(clusters, said, strict=True):
+            while i + 1 < len(places) and places[i + 1][0] <= j - 3:
+                i += 1
+            for r in range(1, len(cluster)):
+                tail = self.composed[cluster[:r]]
+                base = places[i][0] if places and places[i][0] <= j else j
+                if j - base > NEAR and i < len(places) and places[i][1] < j:  # the piece ends before the cut, which doesn't change it
+                    base = places[i][1]
+                if j - base <= NEAR:
+                    counts.append(at[base] + self._normal_total(norm[base:j] + tail))
+                    continue
+                # One piece reaches from ``base`` to the cut: the tail goes on with it, or begins another.
+                if states[0] != base:
+                    piece = norm[base : places[i][1]]
+                    symbols = self.bpe.mapped(piece)
+                    states = (base, symbols, [0, *accumulate(len(c.encode()) for c in piece)], self.bpe.open_states(symbols))
+                near = norm[j - NEAR // 2 : j]
+                first, *rest = [b for _, (_, b) in self.bpe.library.pre_tokenizer.pre_tokenize_str(near + tail)]
+                more = first - len(near)
+                if more < 0:
+                    counts.append(at[base] + self._normal_total(norm[base:j] + tail))
+                    continue
+                k = states[2][j - base]
+                own_count = self.bpe.extended(states[1], states[3], k, self.bpe.mapped(tail[:more])) if more else at[j] - at[base]
+                counts.append(at[base] + own_count + (self._normal_total(tail[more:]) if rest else 0))
+            j += len(own)
+            counts.append(at[j])
+        return counts
 
-        A cut changes the last character of what it leaves, and no piece looks ahead by more than two.
-        """
+    def _recounted(self, word: str) -> list[int]:
+        """The same, each cut by what stands of its piece and the three before it: for words that a library composes by a newer Unicode than the patterns here know."""
         from tokenizers import PreTokenizedString
 
         library, parted = self.bpe.library, PreTokenizedString(word)
@@ -264,6 +338,10 @@ class PrefixCounter:
             counts += [counts[base] + self.total(word[base:k]) for k in range(a + 1, (starts[i + 1] if i + 1 < len(starts) else len(word)) + 1)]
         return counts
 
+    def _normal_total(self, norm: str) -> int:
+        """Tokens of a normalised text."""
+        return sum(self.bpe.prefix_counts(p)[-1] for p, _ in self.bpe.library.pre_tokenizer.pre_tokenize_str(norm))
+
     def total(self, text: str) -> int:
         """Tokens of a text, as the library counts them."""
         return sum(1 if p is None else self.bpe.prefix_counts(p[1:] if p[:1] == "\0" else self.bpe.mapped(p))[-1] for p in self.bpe.pieces(text))
