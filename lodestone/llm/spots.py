@@ -6,11 +6,11 @@ among the ``REACH`` words after it, common words skipped. Anchor and chain
 hash to a signature; the set of signatures, sorted, is the fingerprint. Common
 words stand where an author's prose is, so the set follows the prose.
 
-Where chains are rare, text of any other language, code or lists, the set has
-the hashes of all runs of ``SHINGLE`` words too: over the whole of a text with
-less than a chain in ``SPARSE`` words, else over every stretch of more than
-``STRETCH`` words without an anchor. In scripts written without spaces each
-character is a word.
+Where anchors are rare, in text of any other language, code or lists, the set
+has the hashes of runs of ``SHINGLE`` words too: all of every stretch of more
+than ``STRETCH`` words without an anchor. This depends on the words around a
+place alone, so texts that share a part share its signatures, whatever else
+they hold. In scripts written without spaces each character is a word.
 
 Sets are compared by Jaccard. Two sets can only reach a similarity if their
 sizes are close, so near duplicates are sought within partitions of set size,
@@ -51,8 +51,7 @@ ANCHORS = (
 CHAIN = 2
 REACH = 8
 SHINGLE = 4
-SPARSE = 50
-STRETCH = 100
+STRETCH = 16
 #: Similarity of near duplicates.
 TAU = 0.8
 #: Signatures that come last: the ``HEAVY`` most frequent of those in ``HEAVY_SETS`` sets or more.
@@ -114,7 +113,7 @@ def signatures(text: Column) -> Column:
         def flagged(is_anchor: Column) -> Column:
             places = F.when(F.size(ws) > 0, F.sequence(F.lit(0), F.size(ws) - 1)).otherwise(F.array().cast("array<int>"))
             both = F.struct(F.filter(places, lambda i: F.get(is_anchor, i)).alias("marks"), F.filter(places, lambda i: ~F.get(is_anchor, i)).alias("content"))
-            return once(both, lambda b: once(chains(ws, b["marks"], b["content"]), lambda found: F.concat(found, F.when(F.size(found) * SPARSE < F.size(ws), shingles(ws)).otherwise(stretches(ws, b["marks"])))))
+            return once(both, lambda b: F.concat(chains(ws, b["marks"], b["content"]), stretches(ws, b["marks"])))
 
         return once(F.transform(ws, lambda w: w.isin(*anchors)), flagged)
 
@@ -332,33 +331,5 @@ def classified(docs: DataFrame, tau: float = TAU) -> DataFrame:
     return met.withColumns({"class_id": F.coalesce("class_id", "doc_id"), "class_size": F.coalesce("class_size", F.lit(1)).cast("long")}).drop("set_id")
 
 
-def near_classes(docs: DataFrame, tau: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """Pairs of classes whose sets have a Jaccard of ``tau`` or more, and the members of each class.
-
-    A class is all documents with one and the same set, named by its smallest
-    doc_id, so copies are not expanded into pairs. Returns pairs
-    (class_a, class_b, similarity) and members (doc_id, class_id).
-    """
-    sets = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), signatures(text_or_empty()).alias("sigs")), "spots-sets")
-    classes = materialize(sets.groupBy("sigs").agg(F.min("doc_id").alias("class_id")), "spots-classes")
-    members = sets.join(classes, "sigs").select("doc_id", "class_id")
-    each = classes.select("class_id", F.size("sigs").alias("n"), F.explode("sigs").alias("sig"))
-    rarity = each.groupBy("sig").agg(F.count(F.lit(1)).alias("df"))
-    ranked = each.join(rarity, "sig")
-    # Two sets with Jaccard tau share one of the first n - ceil(tau n) + 1 signatures in any common order; rarest first.
-    rank = F.row_number().over(Window.partitionBy("class_id").orderBy("df", "sig"))
-    prefix = ranked.withColumn("rank", rank).where(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * tau - 1e-9) + 1).where("df > 1")
-    size_part = F.floor(F.log(F.col("n").cast("double")) / -math.log(tau) + 1e-9)
-    prefix = materialize(prefix.select("class_id", "n", "sig", size_part.alias("size_part")), "spots-prefix")
-    small = prefix.select("sig", "size_part", F.col("class_id").alias("class_a"), F.col("n").alias("n_a"))
-    large = prefix.select("sig", F.explode(F.array("size_part", F.col("size_part") - 1)).alias("size_part"), F.col("class_id").alias("class_b"), F.col("n").alias("n_b"))
-    smaller = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("class_a") < F.col("class_b")))
-    candidates = small.join(large, ["sig", "size_part"]).where(smaller & (F.col("n_a") >= F.col("n_b") * tau - 1e-9)).select("class_a", "class_b").distinct()
-    a = classes.select(F.col("class_id").alias("class_a"), F.col("sigs").alias("sigs_a"))
-    b = classes.select(F.col("class_id").alias("class_b"), F.col("sigs").alias("sigs_b"))
-    pairs = candidates.join(a, "class_a").join(b, "class_b").withColumn("similarity", jaccard(F.col("sigs_a"), F.col("sigs_b")))
-    return pairs.where(F.col("similarity") >= tau).select("class_a", "class_b", "similarity"), members
-
-
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(documents(spark, sf_dir))
