@@ -57,11 +57,11 @@ def integer_vectors(vectors: DataFrame, dims: int = DIMS, scale: int = SCALE) ->
     return sound.select("vec_id", F.transform("x", lambda e: F.floor(e * scale).cast("long")).alias("v"))
 
 
-def first_centroids(rows: DataFrame, clusters: int, seed: int) -> np.ndarray:
+def first_centroids(rows: DataFrame, clusters: int, dims: int, seed: int) -> np.ndarray:
     """The vectors of the smallest hashes; Spark cuts each task's rows to that number before they move."""
     draw = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("vec_id").cast("string")), 256)
     first = rows.select(draw.alias("draw"), "v").orderBy(F.col("draw").asc_nulls_last(), "v").limit(clusters).collect()
-    return np.array([r["v"] for r in first], np.int64).reshape(len(first), -1)
+    return np.array([r["v"] for r in first], np.int64).reshape(-1, dims)
 
 
 def squared_distances(v: np.ndarray, centroids: np.ndarray) -> np.ndarray:
@@ -190,7 +190,7 @@ def cluster(vectors: DataFrame, clusters: int = CLUSTERS, rounds: int = ROUNDS,
     if not 0 < clusters < 255:
         raise ValueError("clusters must be between 1 and 254")
     rows = integer_vectors(vectors, dims, scale)
-    centroids = first_centroids(rows, clusters, seed)
+    centroids = first_centroids(rows, clusters, dims, seed)
     if not len(centroids):
         return rows.select("vec_id", F.lit(0).alias("cluster"), F.lit(0).cast("long").alias("distance")).where("false"), centroids
     state = materialize(rows.mapInArrow(_laid_out(centroids), STATE), "kmeans-blocks")
