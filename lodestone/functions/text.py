@@ -103,6 +103,11 @@ def context_key(*parts: Column) -> Column:
     return F.concat_ws("\u001f", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])
 
 
+def query_key(text: Column, location: Column, delivery: Column, filter_: Column, category: Column) -> Column:
+    """What makes two rows of a log one query: its fields, the two of free text normalised (composed form, lower case, tokens)."""
+    return context_key(normalized(text, compose=True), location, delivery, normalized(filter_, compose=True), category)
+
+
 def blank(text: Column) -> Column:
     """Null, empty or white space only, in the Unicode sense."""
     return F.coalesce(F.regexp_replace(text, r"(?U)^\s+|\s+$", ""), F.lit("")) == ""

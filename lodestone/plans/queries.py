@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import context_key, normalized, tokens
+from ..functions.text import context_key, normalized, query_key, tokens
 from ..operators import behavior, boosting, candidates, dense, evaluation, geography, lexical, ranker, split, submission, topk
 from ..sources.tables import check_vectors, scratch, table, written
 from ..streaming import counters
@@ -379,6 +379,18 @@ def context_keys(spark, d):
     return table(spark, d, "documents").select("doc_id", context_key(F.col("source"), F.col("lang"), F.col("n_chars")).alias("context_key"))
 
 
+@query(f"""
+SELECT l_orderkey, l_linenumber, array_to_string({TOK.format("p_name")}, ' ') || chr(31) || coalesce(CAST(s_nationkey AS VARCHAR), '') || chr(31) || CAST(l_linenumber % 2 = 0 AS VARCHAR) || chr(31)
+       || array_to_string({TOK.format("p_type")}, ' ') || chr(31) || coalesce(p_brand, '') AS query_key
+FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey""")
+def query_keys(spark, d):
+    """The key of each line as a search: part names and types as free text, the supplier's place, a flag and the brand."""
+    part, supplier = table(spark, d, "part"), table(spark, d, "supplier")
+    rows = table(spark, d, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey")).join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    key = query_key(F.col("p_name"), F.col("s_nationkey"), F.col("l_linenumber") % 2 == 0, F.col("p_type"), F.col("p_brand"))
+    return rows.select("l_orderkey", "l_linenumber", key.alias("query_key"))
+
+
 # --- geography ---------------------------------------------------------------
 
 PLACES = "places AS (SELECT s_suppkey AS item_id, CAST(s_nationkey AS BIGINT) AS location, CAST(s_nationkey * 7 % 120 - 60 + s_suppkey % 10 * 0.01 AS DOUBLE) AS lat, CAST(s_nationkey * 37 % 360 - 180 + s_suppkey % 7 * 0.01 AS DOUBLE) AS lon FROM supplier)"

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lodestone.functions.text import query_key
 from lodestone.operators import evaluation, submission
 from lodestone.sources import tables
 
@@ -46,6 +47,13 @@ def test_batches_resume_and_hold_to_the_first_schema(spark, tmp_path):
         empty(queries.where("false"), build, str(tmp_path / "h"), 5)
 
 
+def test_query_keys_normalise_their_free_text(spark):
+    rows = [("Ёлка, ＡＢＣ!", 3, True, "Цвет: КРАСНЫЙ", "x"), ("елка  abc", 3, True, "цвет красный", "x"), ("елка abc", 3, None, "цвет красный", "x"), (None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "a string, b int, c boolean, d string, e string")
+    got = [r.k for r in df.select(query_key(*[F.col(c) for c in "abcde"]).alias("k")).collect()]
+    assert got[0] == got[1] == "\x1f".join(["елка abc", "3", "true", "цвет красный", "x"]) and got[2] != got[0] and got[3] == "\x1f" * 4
+
+
 def test_ordered_digest(spark):
     rows = [(i, f"t{i % 7}" if i % 5 else None, i * 0.5) for i in range(300)]
     make = lambda rs, n=4: spark.createDataFrame(rs, "row_idx long, text string, x double").repartition(n)
