@@ -43,4 +43,4 @@ def test_odd_input_and_empty_tables(spark, docs, tmp_path):  # noqa: F811
 
 def test_names():
     assert [n for n, _ in pipeline.STAGES] == ["language", "exact_dedup", "near_dedup", "mix_sources", "pack"]
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11)) and set(ORACLE_SQL) <= set(QUERIES)
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14)) and set(ORACLE_SQL) <= set(QUERIES)
