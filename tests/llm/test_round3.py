@@ -201,6 +201,21 @@ def test_jaccard_bounds_and_nothing(spark):
     assert [tuple(r) for r in jaccard.classes(docs.where("doc_id = 0").withColumn("text", F.lit(None).cast("string"))).collect()] == [(0, 0, 0)]
 
 
+def test_registered_search_and_join_on_the_given_tables(spark, data):
+    import duckdb
+
+    from lodestone.llm.queries import ORACLE_SQL
+
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{data}/{t}.parquet'")
+    want = con.execute(ORACLE_SQL["op11_search"]).df()
+    got = QUERIES["op11_search"](spark, data).toPandas()[list(want.columns)]
+    assert sorted(map(tuple, got.to_numpy().tolist())) == sorted(map(tuple, want.to_numpy().tolist())) and len(got)
+    rows = [tuple(r) for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()]
+    assert Counter(tuple(r) for r in QUERIES["op12_jaccard_join"](spark, data).select("doc_id", "n_shingles", "component_id").collect()) == joined(rows)
+
+
 # --- clusters
 
 
