@@ -126,18 +126,19 @@ def empty_fraction(queries: DataFrame, column: str) -> DataFrame:
 
 
 def loss(truth: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
-    """Truth pairs by outcome: hit, below the cut, or not among the candidates (qid, item_idx, score).
+    """Truth pairs by outcome: hit, below the cut, or not among the candidates (qid, item_idx, score; a pair once).
 
-    A pair's place is the number of candidates that stand before it, so the
-    candidates are never sorted.
+    Hits are the pairs among the first k candidates of their query, of which
+    each task keeps k a query before they move: the work is that of one pass
+    over the candidates, however many relevant items a query has. A null score
+    is no candidate.
     """
     pairs = truth.select("qid", "item_idx").distinct()
-    scored = pairs.join(candidates.select("qid", "item_idx", "score"), ["qid", "item_idx"], "left")
-    others = candidates.select("qid", F.col("item_idx").alias("__other"), F.col("score").alias("__score"))
-    before = (F.col("__score") > F.col("score")) | ((F.col("__score") == F.col("score")) & (F.col("__other") < F.col("item_idx")))
-    ahead = scored.where("score is not null").join(others, "qid").groupBy("qid", "item_idx").agg(F.sum(before.cast("long")).alias("ahead"))
-    kind = F.when(F.col("score").isNull(), "missing").when(F.col("ahead") < k, "hit").otherwise("below")
-    return scored.join(ahead, ["qid", "item_idx"], "left").groupBy(kind.alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+    known = candidates.where("score is not null").select("qid", "item_idx", "score")
+    cut = top_k(known, k).select("qid", "item_idx", F.lit(True).alias("__hit"))
+    told = pairs.join(known.select("qid", "item_idx", F.lit(True).alias("__met")), ["qid", "item_idx"], "left").join(cut, ["qid", "item_idx"], "left")
+    kind = F.when(F.col("__hit"), "hit").when(F.col("__met"), "below").otherwise("missing")
+    return told.groupBy(kind.alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _drawn(seed: int, resample: int, n: int, counts: list[int], part: int) -> int:

@@ -592,9 +592,15 @@ def split_keys(spark, d):
     return o.select("o_orderkey", split.query_id(key).alias("query_id"), F.md5(F.concat_ws("|", F.col("o_orderkey").cast("string"), F.lit("42"))).alias("drawn"))
 
 
-@query()
+DRAWN = "CAST('0x' || substr(md5(context || '|{0}'), 1, 8) AS BIGINT)"
+
+
+@query(f"""
+WITH {BASE}, contexts AS (SELECT context, CASE WHEN {DRAWN.format(7)} % 3 = 0 THEN 'warm' ELSE 'cold' END AS regime FROM (SELECT DISTINCT context FROM log)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY regime ORDER BY {DRAWN.format(42)}, context) - 1 AS place, count(*) OVER (PARTITION BY regime) AS size FROM contexts)
+SELECT context, regime, CASE WHEN size < 2 OR place / (size - 1) < 0.5 THEN 'fit' WHEN place / (size - 1) < 0.75 THEN 'dev' ELSE 'audit' END AS split FROM placed""")
 def split_assignment(spark, d):
-    contexts = log(spark, d).select("context").distinct().withColumn("regime", F.when(F.xxhash64("context") % 3 == 0, "warm").otherwise("cold"))
+    contexts = log(spark, d).select("context").distinct().withColumn("regime", F.when(split.draw(F.col("context"), seed=7) % 3 == 0, "warm").otherwise("cold"))
     return split.assign(contexts, "context")
 
 

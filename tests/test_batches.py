@@ -1,6 +1,8 @@
 """Batches that resume, digests of ordered tables, exact resampling."""
 
 import json
+import os
+import random
 
 import numpy as np
 import pytest
@@ -100,3 +102,41 @@ def test_resamples_are_draws_with_replacement(spark):
     assert [a[c] for c in ("n", "delta", "low", "high", "positive")] == pytest.approx([b[c] for c in ("n", "delta", "low", "high", "positive")]) and a.n == 300
     means = np.array([d[rng.integers(0, 300, 300)].mean() for _ in range(4000)])
     assert (a.low, a.high) == pytest.approx((np.quantile(means, 0.025), np.quantile(means, 0.975)), abs=0.02)
+
+
+def test_streamed_parts_become_one(spark, tmp_path, monkeypatch):
+    """After any number of batches, and again after more files, the table has every window's latest row, and few folders."""
+    from datetime import datetime, timedelta
+
+    from lodestone.streaming import counters
+
+    monkeypatch.setattr(counters, "PARTS", 3)
+    rng, told, start = random.Random(8), [], datetime(2024, 1, 1)
+    source, folder = str(tmp_path / "in"), f"file://{tmp_path}/out"
+
+    def more(files):
+        for _ in range(files):
+            own = [(start + timedelta(minutes=rng.randrange(300)), rng.choice("ab"), rng.randrange(9)) for _ in range(7)]
+            told.extend(own)
+            spark.createDataFrame(own, "ts timestamp_ntz, event_type string, value long").coalesce(1).write.mode("append").parquet(source)
+
+    for files, folders in ((8, 7), (6, 7)):
+        more(files)
+        stream = counters.read_stream(spark, source, spark.read.parquet(source).schema)
+        got = {(r.start.hour, r.event_type): (r.n, r.total) for r in counters.run_to_table(counters.popularity(stream, "1000 hours"), folder).collect()}
+        want = {}
+        for ts, kind, value in told:
+            n, total = want.get((ts.hour, kind), (0, 0))
+            want[ts.hour, kind] = n + 1, total + value
+        assert got == want
+        assert len(os.listdir(tmp_path / "out" / "table")) <= folders
+    counters.compact(spark, f"{folder}/table", 11, spark.createDataFrame([], "start timestamp, event_type string, n long, total long").schema)
+    assert counters.newest(spark, f"{folder}/table", None).count() == len(want)
+
+
+def test_a_stream_without_files(spark, tmp_path):
+    from lodestone.streaming import counters
+
+    spark.createDataFrame([], "ts timestamp_ntz, event_type string, value long").write.parquet(str(tmp_path / "in"))
+    stream = counters.read_stream(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema)
+    assert counters.run_to_table(counters.popularity(stream), f"file://{tmp_path}/out").collect() == []

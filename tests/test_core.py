@@ -585,3 +585,16 @@ def test_rankers(spark, tmp_path):
     ):
         with pytest.raises(ValueError):
             wrong()
+
+
+def test_loss_of_a_query_with_many_relevant_items(spark):
+    """Ties by position, null scores, repeated truth; equal to counting those ahead."""
+    rng = random.Random(12)
+    found = [(q, i, None if rng.random() < 0.1 else float(rng.randint(0, 5))) for q in range(4) for i in range(60) if rng.random() < 0.7]
+    truth = [(q, rng.randrange(70)) for q in range(5) for _ in range(80)]
+    order = {q: [i for _, i, _ in sorted((-s, i, 0) for x, i, s in found if x == q and s is not None)] for q in range(5)}
+    want = Counter("missing" if i not in order[q] else "hit" if order[q].index(i) < 7 else "below" for q, i in set(truth))
+    t, c = spark.createDataFrame(truth, "qid int, item_idx int"), spark.createDataFrame(found, "qid int, item_idx int, score double")
+    assert {r.outcome: r.n for r in evaluation.loss(t, c, 7).collect()} == want
+    assert evaluation.loss(t.where("false"), c, 7).count() == 0
+    assert {r.outcome: r.n for r in evaluation.loss(t, c.where("false"), 7).collect()} == {"missing": len(set(truth))}
