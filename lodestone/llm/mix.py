@@ -8,17 +8,18 @@ is sure, the fraction is a probability. Pivotal steps round the fractions: two o
 mass at random, so that the expectation of each stays and their common mass
 stays exactly, until one of them is 0 or 1.
 
-Large documents come first, those of more than 1 / ``LARGE`` of their source's
-words, of which a source has fewer than ``LARGE``. Each in turn, the largest
+Large documents come first, those of more than 1 / (2 ``LARGE``) of their source's
+words, of which a source has fewer than 2 ``LARGE``. Each in turn, the largest
 first, is paired with all that is still open below it, taken as one unit
 whose members share what it gains or loses; so it is settled unless too
 little is left below. Where only one of its two outcomes leaves the rest
 within bounds, that one is taken; there nearness goes before expectation. Then groups of about ``GROUP`` open documents leave one
 open document each; these residuals meet in groups again, up a reduction tree.
-The last open document of a source is rounded to the nearer side. It is a
-small one, so a source's taken words differ from its target by 1 / (2
-``LARGE``) of its size at most, unless a source has hardly any small documents:
-then by half of one document.
+The last open document of a source is drawn like all others, with its fraction
+as the probability. It is a small one, so a source's taken words differ from
+its target by 1 / (2 ``LARGE``) of its size at most. Only in a source without
+small documents the last large one is rounded to the nearer side: then the
+difference is half of one document at most.
 
 All draws hash identifiers and ``SEED``: reruns and retried tasks agree.
 
@@ -33,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import documents, fresh, materialize, number_rows, word_count
+from ._common import discard, documents, fresh, materialize, number_rows, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)
 BUDGET = 1.5
@@ -121,7 +122,8 @@ def _settle_large(items: Column, p: Column, words: Column) -> Column:
 def round_copies(sized: DataFrame) -> DataFrame:
     """(doc_id, source, size, rows, source_size, target, copies): one row per unit of equal rows.
 
-    ``sized`` has doc_id, source and size and should be materialised.
+    ``sized`` has doc_id, source and size and should be materialised. Only the
+    result stays in the shared folder.
     """
     targets, n_sources = source_targets(sized)
     targets = materialize(targets, "mix-targets")
@@ -133,11 +135,11 @@ def round_copies(sized: DataFrame) -> DataFrame:
     units = units.withColumns({"base": F.floor(share), "p": share - F.floor(share), "w": (F.col("size") * F.col("rows")).cast("double"), "h": F.xxhash64("doc_id", "size", "source", F.lit(SEED))})
     units = materialize(units, "mix-units")
     is_open = (F.col("p") > 0) & (F.col("size") > 0)
-    is_large = F.col("w") * LARGE > F.col("source_size")
+    is_large = F.col("w") * (2 * LARGE) > F.col("source_size")
     item = F.struct((-F.col("w")).alias("order"), "h", "doc_id", "size", "rows", "w")
     large = units.where(is_open & is_large).groupBy("source").agg(F.array_sort(F.collect_list(item)).alias("items"), F.max("p").alias("p"), F.max("source_size").cast("double").alias("words"))
     large = materialize(large.select("source", _settle_large(F.col("items"), F.col("p"), F.col("words")).alias("out")), "mix-large")
-    settled = [large.select("source", F.explode("out.done").alias("d")).select("source", "d.*")]
+    settled, steps = [large.select("source", F.explode("out.done").alias("d")).select("source", "d.*")], [large]
     fractions = large.select("source", F.col("out.p").alias("p_left"))
     level = by_source(units.where(is_open & ~is_large), fractions).select("u.*", (F.col("w") * F.coalesce("p_left", "p")).alias("mass"))
     item = F.struct("h", "doc_id", "size", "rows", "w", "mass")
@@ -148,19 +150,22 @@ def round_copies(sized: DataFrame) -> DataFrame:
         bucket = F.pmod(F.xxhash64("item.h", F.lit(len(settled) + SEED)), F.col("buckets"))
         merged = level.groupBy("source", bucket.alias("bucket"), "buckets").agg(_settle(F.array_sort(F.collect_list("item"))).alias("out"))
         merged = materialize(merged.select("source", "buckets", "out"), "mix-level")
+        steps.append(merged)
         settled.append(merged.select("source", F.explode("out.done").alias("d")).select("source", "d.*"))
         level = merged.select("source", F.col("out.open").alias("item"), F.ceil(F.col("buckets") / GROUP).alias("buckets"))
         if buckets <= 1:
             break
         buckets = -(-buckets // GROUP)
-    drawn = level.select("source", "item.doc_id", "item.size", "item.rows", (F.col("item.mass") * 2 >= F.col("item.w")).alias("one"))
+    last = _uniform(F.col("item.h"), F.lit(SEED + 2)) * F.col("item.w") < F.col("item.mass")
+    drawn = level.select("source", "item.doc_id", "item.size", "item.rows", last.alias("one"))
     for part in settled:
         drawn = drawn.unionByName(part)
     drawn = by_source(drawn, targets).select("u.*", "source_size", "target")
     share = F.floor(F.col("target") / F.col("source_size"))
     names = ["doc_id", "source", "size", "rows", "source_size", "target"]
     sure = units.where(~is_open).select(*names, F.when(F.col("size") > 0, F.col("base")).otherwise(F.when(F.col("source_size") > 0, F.col("base")).otherwise(1)).cast("int").alias("copies"))
-    return sure.unionByName(drawn.select(*names, (share + F.col("one").cast("int")).cast("int").alias("copies")))
+    drawn = drawn.select(*names, (share + F.col("one").cast("int")).cast("int").alias("copies"))
+    return materialize(sure.unionByName(drawn), "mix-copies", targets, units, *steps)
 
 
 def sized_rows(docs: DataFrame) -> DataFrame:
@@ -170,7 +175,10 @@ def sized_rows(docs: DataFrame) -> DataFrame:
 def mix(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, with their own columns only."""
     id_, source, size, n, words, copy = fresh(docs.columns, "unit_id", "unit_source", "unit_size", "copies", "words", "copy")
-    copies = round_copies(sized_rows(docs)).where("copies > 0").select(F.col("doc_id").alias(id_), F.col("source").alias(source), F.col("size").alias(size), F.col("copies").alias(n))
+    sized = sized_rows(docs)
+    rounded = round_copies(sized)
+    discard(sized)
+    copies = rounded.where("copies > 0").select(F.col("doc_id").alias(id_), F.col("source").alias(source), F.col("size").alias(size), F.col("copies").alias(n))
     keyed = docs.withColumn(words, word_count())
     on = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & keyed["source"].cast("string").eqNullSafe(F.col(source)) & (F.col(words) == F.col(size))
     taken = keyed.join(copies, on)
@@ -178,6 +186,8 @@ def mix(docs: DataFrame) -> DataFrame:
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    units = round_copies(sized_rows(documents(spark, sf_dir)))
+    sized = sized_rows(documents(spark, sf_dir))
+    units = round_copies(sized)
+    discard(sized)
     rows = units.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "source", "copies")
