@@ -142,10 +142,12 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[list[bytes], np.ndarray]:
         share = min(max(0.5 if share is None else share, 1e-6), 1 - 1e-6)
         return [build_dictionary(texts[0]), build_dictionary(texts[1])], np.array([np.log(share / (1 - share)), 0, 0, 0, 0, 0])
     dictionaries = [build_dictionary(texts[0]), build_dictionary(texts[1])]
-    rows = _featured(sample.where("part = 1").select(F.col("quality").cast("long"), "text"), dictionaries, None).limit(6 * SAMPLE).collect()
+    # Repeated doc_ids can bring more rows than were picked: the order is by a hash of the row, whose last bit is the label.
+    key = F.shiftleft(F.xxhash64("doc_id", "text"), 1).bitwiseOR(F.col("quality").cast("long"))
+    rows = _featured(sample.where("part = 1").select(key, "text"), dictionaries, None).orderBy("key").limit(6 * SAMPLE).collect()
     if not rows:
         return dictionaries, np.array([0.0, 10.0, 0, 0, 0, 0])
-    return dictionaries, fit_curve(np.array([[r["diff"], r["ratio"]] for r in rows]), np.array([r["key"] for r in rows], float))
+    return dictionaries, fit_curve(np.array([[r["diff"], r["ratio"]] for r in rows]), np.array([r["key"] & 1 for r in rows], float))
 
 
 def score(docs: DataFrame, dictionaries: list[bytes], w: np.ndarray) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -315,3 +316,41 @@ def test_long_runs_with_one_odd_character_take_as_long_as_plain_ones(counter, ru
             assert seconds < 4 * plain + 0.5
             for k in (1, at, at + 1, min(at + 2, len(t)), len(t)):
                 assert counts[k] == len(counter.bpe.library.encode(t[:k], add_special_tokens=False).ids)
+
+
+def test_the_last_open_document_is_drawn(spark, monkeypatch):
+    """Like sources take one document more or less, as often as their fraction says; a rerun takes the same, and one table stays."""
+    from lodestone.llm import _common, mix
+
+    monkeypatch.setattr(mix, "LARGE", 20)
+    rows = [(1000 * s + i, f"s{s:03d}", 10) for s in range(200) for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    kept = _common.scratch_dir(spark).removeprefix("file://")
+    before = set(os.listdir(kept)) if os.path.isdir(kept) else set()
+    out = mix.round_copies(df)
+    assert len({f.rsplit("/", 2)[-2] for f in out.inputFiles()}) == 1
+    told = out.toPandas()
+    again = mix.round_copies(df.repartition(5)).toPandas()
+    order = ["source", "doc_id"]
+    assert told.sort_values(order).copies.tolist() == again.sort_values(order).copies.tolist()
+    told["taken"] = told.copies * 10
+    by = told.groupby("source").agg(taken=("taken", "sum"), target=("target", "first"))
+    for target, own in by.groupby(by.target.round(6)):
+        low = target // 10 * 10
+        assert set(own.taken) <= {low, low + 10}
+        p = (target - low) / 10
+        assert abs((own.taken.mean() - target) / 10) <= 4 * (p * (1 - p) / len(own)) ** 0.5 + 1e-9
+    left = {f.rsplit("-", 1)[0] for f in set(os.listdir(kept)) - before}
+    assert not left & {"mix-level", "mix-units", "mix-large", "mix-targets"}
+
+
+def test_quality_of_repeated_rows_is_the_same_again(spark, monkeypatch):
+    """More rows than the curve takes: which ones it takes doesn't depend on their places."""
+    from lodestone.llm import quality
+
+    monkeypatch.setattr(quality, "SAMPLE", 5)
+    words = ["alpha beta gamma delta", "spam spam win now", "one two three", "buy buy buy cheap"]
+    docs = spark.createDataFrame([(i, f"{words[(i + j) % 4]} {i} {j} " * (j + 2)) for i in range(20) for j in range(9)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    one, two = (quality.train(d, labels) for d in (docs, docs.orderBy("text").repartition(7)))
+    assert one[0] == two[0] and one[1].tolist() == two[1].tolist()
