@@ -4,11 +4,17 @@ Each document's token ids are hashed into a vector, which is projected to
 ``DIMS`` dimensions; its Hilbert key orders the documents so that neighbours
 on the curve have like texts. The documents are range-partitioned by that key,
 laid end to end along the curve, and cut every ``LENGTH`` tokens, so sequences
-hold neighbouring documents and are full. The tokens left at the very end
-become sequences of powers of two, which need no padding either.
-
-A partition needs only the number of tokens before it: those are exact sums
-over the light columns, one number a partition, at most ``MOST_PARTS``.
+hold neighbouring documents and are full. What each partition leaves after its
+last full sequence, less than ``LENGTH`` tokens, is laid end to end over all
+partitions and cut in the same way. The tokens left at the very end become
+sequences of powers of two, which need no padding either.
+
+Ids move once, from the task that encodes them to the partition that lays
+them, and are stored nowhere but for those leftovers. The bounds of the
+partitions are quantiles of the keys of a sample, as those of any range
+partitioning: they decide how even the partitions are and nothing else. The
+partitions' numbers of sequences and of tokens left are exact, two numbers
+each, at most ``MOST_PARTS`` partitions.
 
 Defined results: a null text counts as empty, and an empty text is the end id
 alone; rows with equal keys are ordered by a hash of doc_id, then doc_id, so a
@@ -28,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import count_at_or_below, documents, materialize
+from ._common import count_at_or_below, discard, documents, long_array, materialize
 from .tokens import Pieces, PieceSplitter, vocabulary_path
 
 LENGTH = 2048
@@ -41,6 +47,8 @@ SEED = 7
 PIECES = 200_000
 TOKENS_PER_PART = 8_000_000
 MOST_PARTS = 20_000
+#: Rows whose keys bound the partitions: all up to ``SAMPLE_ROWS``, of larger tables as many or this share.
+SAMPLE_ROWS, SAMPLE_SHARE = 2_000, 1 / 64
 TIE_BITS = 23
 
 
@@ -142,47 +150,102 @@ def tail_cuts(total: int, length: int = LENGTH) -> list[int]:
     return cuts
 
 
-def pack(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH) -> DataFrame:
-    """Pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    table = materialize(encoded(docs, vocabulary or vocabulary_path()), "pack-ids")
-    total = table.agg(F.sum("n")).first()[0] or 0
-    parts = min(max(1, -(-total // TOKENS_PER_PART)), MOST_PARTS)
+LAID = "part int, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence long, offset long, ids binary"
+PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    names, types = zip(*(c.split() for c in schema.split(", ")), strict=True)
+    columns = list(zip(*rows, strict=True)) or [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, t in zip(columns, types, strict=True)], list(names))
+
+
+def part_bounds(docs: DataFrame, path: str, length: int) -> list[int]:
+    """Ascending places that part ``docs`` into about ``TOKENS_PER_PART`` tokens each, from a sample of the rows."""
+    n = docs.count()
+    share = 1.0 if n <= SAMPLE_ROWS else max(SAMPLE_ROWS / n, SAMPLE_SHARE)
+    table = materialize(encoded(docs if share == 1 else docs.sample(share, SEED), path).select("place", "n"), "pack-sample")
+    total = (table.agg(F.sum("n")).first()[0] or 0) / share
+    parts = min(max(1, int(-(-total // TOKENS_PER_PART))), MOST_PARTS)
     bounds: list[int] = []
     if parts > 1:
         at = [i / parts for i in range(1, parts)]
         by_tokens = table.select(F.explode(F.array_repeat("place", F.ceil(F.col("n") / length).cast("int"))).alias("place"))
-        bounds = sorted(set(by_tokens.agg(F.percentile_approx("place", at, max(10_000, 10 * parts))).first()[0]))
-    part = count_at_or_below(bounds, F.col("place"))
-    sums = dict(table.groupBy(part.alias("part")).agg(F.sum("n")).collect())  # a number for each partition
-    starts = np.concatenate([[0], np.cumsum([sums.get(p, 0) for p in range(len(bounds) + 1)])]).tolist()
-    full, cuts = total // length, tail_cuts(total, length)
-    edges = [full * length, *cuts]
+        found = by_tokens.agg(F.percentile_approx("place", at, max(10_000, 10 * parts))).first()[0]
+        bounds = sorted(set(found or []))
+    discard(table)
+    return bounds
+
 
-    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, at = -1, 0
+def _lay(length: int):
+    """Rows (part, doc_id, n, ids) come by part: the pieces of its full sequences, and with their ids those after the last one."""
+    left = lambda held: [(*piece[:6], None, piece[6], bytes(piece[7])) for piece in held]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sequence, at, held = None, 0, 0, []  # held: the pieces of the open sequence, of which at tokens are laid
         for batch in batches:
             out: list[tuple] = []
             for p, doc, n, raw in zip(*(batch.column(c).to_pylist() for c in range(3)), batch.column(3), strict=True):
                 if p != now:
-                    now, at = p, starts[p]
+                    out += left(held)
+                    now, sequence, at, held = p, 0, 0, []
                 raw = raw.as_buffer()
                 data = memoryview(np.frombuffer(raw, f"<u{len(raw) // n}").astype("<u4").tobytes())
-                stops = [*range((at // length + 1) * length, min(at + n, full * length), length)]
-                stops += [e for e in edges if at < e < at + n and e not in stops[-1:]]
-                for a, b in pairwise([at, *stops, at + n]):
-                    if a < full * length:
-                        sequence, offset = divmod(a, length)
+                for a, b in pairwise([0, *range(length - at, n, length), n]):
+                    ids = data[4 * a : 4 * b]
+                    held.append((p, doc, a, b - a, zlib.crc32(ids), n, at, ids))
+                    at += b - a
+                    if at == length:
+                        out += [(*piece[:6], sequence, piece[6], None) for piece in held]
+                        sequence, at, held = sequence + 1, 0, []
+            yield _batch(out, LAID)
+        yield _batch(left(held), LAID)
+
+    return run
+
+
+def _rest(before: list[int], full: int, total: int, length: int):
+    """Cuts what partitions left, each from the place ``before`` it, into sequences from number ``full`` on."""
+    whole, cuts = total // length, tail_cuts(total, length)
+    edges = [whole * length, *cuts]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for p, doc, start, size, n, offset, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                at = before[p] + offset
+                stops = [*range((at // length + 1) * length, min(at + size, whole * length), length)]
+                stops += [e for e in edges if at < e < at + size and e not in stops[-1:]]
+                for a, b in pairwise([at, *stops, at + size]):
+                    if a < whole * length:
+                        sequence, place = divmod(a, length)
                     else:
                         k = next(i for i, e in enumerate(cuts) if a < e)
-                        sequence, offset = full + k, a - edges[k]
-                    out.append((doc, a - at, b - a, zlib.crc32(data[4 * (a - at) : 4 * (b - at)]), n, sequence, offset))
-                at += n
-            columns = list(zip(*out, strict=True)) or [()] * 7
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
-
-    laid = table.select(part.alias("part"), "doc_id", "n", "ids", "place")
-    laid = laid.repartitionById(len(bounds) + 1, F.col("part")).sortWithinPartitions("part", "place", "doc_id", "n", "ids")
-    return laid.select("part", "doc_id", "n", "ids").mapInArrow(pieces, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+                        sequence, place = whole + k, a - edges[k]
+                    out.append((doc, start + a - at, b - a, zlib.crc32(ids[4 * (a - at) : 4 * (b - at)]), n, full + sequence, place))
+            yield _batch(out, PIECE)
+
+    return run
+
+
+def pack(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH) -> DataFrame:
+    """Pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    path = vocabulary or vocabulary_path()
+    bounds = part_bounds(docs, path, length)
+    part = count_at_or_below(bounds, F.col("place"))
+    rows = encoded(docs, path).select(part.alias("part"), "doc_id", "n", "ids", "place")
+    rows = rows.repartitionById(len(bounds) + 1, F.col("part")).sortWithinPartitions("part", "place", "doc_id", "n", "ids")
+    laid = materialize(rows.select("part", "doc_id", "n", "ids").mapInArrow(_lay(length), LAID), "pack-laid")
+    in_full = F.col("sequence").isNotNull()
+    told = laid.groupBy("part").agg(F.coalesce(F.max("sequence") + 1, F.lit(0)), F.coalesce(F.sum(F.when(~in_full, F.col("length"))), F.lit(0)))
+    told = {p: rest for p, *rest in told.collect()}  # two numbers for each partition
+    each = np.array([told.get(p, (0, 0)) for p in range(len(bounds) + 1)], np.int64)
+    before = np.concatenate([np.zeros((1, 2), np.int64), np.cumsum(each, axis=0)])
+    (*first, full), (*left, total) = before.T.tolist()
+    whole = laid.where(in_full).withColumn("sequence_id", F.get(long_array(first), F.col("part")) + F.col("sequence"))
+    rest = laid.where(~in_full).select("part", "doc_id", "start", "length", "doc_tokens", "offset", "ids")
+    return whole.select(*(c.split()[0] for c in PIECE.split(", "))).unionByName(rest.mapInArrow(_rest(left, full, total, length), PIECE))
 
 
 def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
