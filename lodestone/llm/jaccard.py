@@ -17,12 +17,14 @@ link if 100 times their intersection is at least 80 times their union.
    sets that occur often enough there are looked for by binary search in the
    long ones (all but those without which the required overlap could be
    missed). What reaches the overlap that both sizes require is a link.
-4. In the first round each group asks the set that shares most of its
-   shingles. A set that links to an asked one takes its label. Only a group
-   with sets of two labels that were not asked asks on: more of them each
-   round, until none is left. So every pair that could connect two components
-   is compared; of an asked set's links to one label one is kept, so a large
-   group of near copies makes no table of its pairs.
+4. In the first round the sets ask that share most of their shingles in all
+   their groups, in the next one each group's best. A set that links to an
+   asked one takes its label. Only a group with sets of two labels that were
+   not asked asks on: more of them each round, until none is left. So every
+   pair that could connect two components is compared. Of links between sets
+   that links found before in the same part connect, none is kept: a part has
+   fewer links than sets and labels that ask, so a large group of near copies
+   makes no table of its pairs.
 
 Components of the links come from large-star and small-star rounds.
 
@@ -294,9 +296,16 @@ class Part:
         self.starts, self.lengths = _runs(shingles[order])
         self.shingles = shingles[order][self.starts]
         self.codes = np.repeat(np.arange(len(self.starts)), self.lengths) * len(sets) + self.who  # ascending: (list, set)
+        self.into: dict[int, int] = {}  # labels that links of this part have made one with another
+
+    def one_with(self, label: int) -> int:
+        while label in self.into:
+            label = self.into[label]
+        return label
 
     def links(self, asked: int, n: int, least: int, label: int, lists: np.ndarray) -> list[tuple[int, int]]:
-        """(id, overlap) of sets similar to the asked one, of each label but its own one."""
+        """(id, overlap) of sets similar to the asked one, one of each label that no link of this part connects to its own yet."""
+        label = self.one_with(label)
         at = np.searchsorted(self.shingles, lists)
         at = at[self.shingles[np.minimum(at, len(self.shingles) - 1)] == lists]
         enough = max(1, least // SHARE)
@@ -317,12 +326,14 @@ class Part:
         overlap = counts + (self.codes[place] == wanted).reshape(len(who), len(long)).sum(axis=1)
         good = overlap >= required(n, self.sizes[who])
         who, overlap = who[good], overlap[good]
-        _, one = np.unique(self.labels[who], return_index=True)
+        met, one = np.unique(self.labels[who], return_index=True)
+        self.into |= dict.fromkeys(met.tolist(), label)
+        self.labels[np.isin(self.labels, met)] = label
         return list(zip(self.ids[who[one]].tolist(), overlap[one].tolist(), strict=True))
 
 
 def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (part, asks, id, n, least, label, lists) come by part, sets before those that ask."""
+    """Rows (part, asks, id, n, least, label, lists) come by part, sets before those that ask, which come by label."""
     now, held, part = None, [], None
     for batch in batches:
         told = list(zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True))
@@ -352,7 +363,7 @@ def occurrences(asked: DataFrame, members: DataFrame, ordered: DataFrame, labels
     names = ["part", "asks", "id", "n", "least", "label", "lists"]
     said = told.withColumns({"part": part, "asks": F.lit(False)}).join(way.select("part").distinct(), "part", "left_semi").select(*names)
     asks = way.join(told, "id").withColumn("asks", F.lit(True)).select(*names)
-    rows = said.unionByName(asks).repartition("part").sortWithinPartitions("part", "asks")
+    rows = said.unionByName(asks).repartition("part").sortWithinPartitions("part", "asks", "label", "id")
     return materialize(rows.mapInArrow(_asked, "asked long, id long, overlap long"), "jaccard-links", way)
 
 
@@ -367,7 +378,7 @@ def linked(ordered: DataFrame) -> DataFrame | None:
     members = materialize(first.select("id", "r.class", "r.home", F.explode("ts").alias("t")), "jaccard-members")
     group = ["t", "class"]
     labels = materialize(ordered.select("id", F.col("id").alias("label"), F.lit(False).alias("done")), "jaccard-labels")
-    links, width = None, 1
+    links, width = None, 0
     while True:
         undone = members.join(labels, "id").where("not done")
         own = undone.groupBy(*group).agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("home").alias("lived"), F.min("id").alias("best"), F.count(F.lit(1)).alias("n"))
@@ -377,7 +388,10 @@ def linked(ordered: DataFrame) -> DataFrame | None:
         # A group without two labels among those not asked has nothing more to say.
         hot = hot_of(still, "t")
         members = materialize(spread_join(members, still.select(*group), group, hot, F.col("id"), "left_semi"), "jaccard-members", members)
-        if width == 1:
+        if width == 0:
+            least = spread_join(members, still.select(*group, "best"), group, hot, F.col("id")).groupBy("id").agg(F.min("best").alias("best"))
+            asked = least.where("best = id").select("id")
+        elif width == 1:
             asked = still.select(F.col("best").alias("id")).distinct()
         else:
             place = F.row_number().over(Window.partitionBy(*group).orderBy(F.col("label") != F.col("id"), "id"))  # those without a label first
@@ -390,7 +404,7 @@ def linked(ordered: DataFrame) -> DataFrame | None:
         now = labels.join(given, "id", "left").join(asked.withColumn("was_asked", F.lit(True)), "id", "left")
         label = F.when((F.col("label") == F.col("id")) & F.col("given").isNotNull(), F.col("given")).otherwise(F.col("label"))
         labels = materialize(now.select("id", label.alias("label"), (F.col("done") | F.coalesce("was_asked", F.lit(False))).alias("done")), "jaccard-labels", labels, asked)
-        width *= GROWTH
+        width = width * GROWTH or 1
     for done in (still, members, labels):
         discard(done)
     return None if links is None or links.isEmpty() else components(links.select(F.col("asked").alias("u"), F.col("id").alias("v")))

@@ -1,4 +1,4 @@
-"""Ids stored by packing, against the whole table's."""
+"""Ids stored by packing, and links kept of a large group of near copies."""
 
 import random
 import zlib
@@ -9,7 +9,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone.llm import pack, tokens
+from lodestone.llm import jaccard, pack, tokens
+
+from .test_round3 import joined
 
 
 @pytest.mark.parametrize("sampled", [False, True])
@@ -48,3 +50,28 @@ def test_packing_stores_no_table_of_ids(spark, monkeypatch, sampled):
     assert [ends[k][-1] for k in range(len(ends))] == [256] * (total // 256) + [1 << b for b in reversed(range(8)) if total % 256 >> b & 1]
     parts = -(-total // 4000)
     assert sum(stored) < 4 * 256 * 2 * parts < 2 * total  # at most an open sequence a partition; all ids take two bytes each at least
+
+
+def test_links_of_near_copies_grow_with_their_number(spark, monkeypatch):
+    found = []
+
+    def kept(df, label, *done_with):
+        table = kept.own(df, label, *done_with)
+        found.extend([table.count()] if label == "jaccard-links" else [])
+        return table
+
+    kept.own = jaccard.materialize
+    monkeypatch.setattr(jaccard, "materialize", kept)
+    monkeypatch.setattr(jaccard, "PART_SETS", 64)
+    rng = random.Random(17)
+    words = [f"v{i}" for i in range(60)]
+    base = [rng.choice(words) for _ in range(150)]
+    rows = []
+    for i in range(400):
+        own = list(base)
+        for at in rng.sample(range(150), rng.randint(1, 5)):  # some pairs link, some only by way of others
+            own[at] = rng.choice(words[:3])
+        rows.append((i, " ".join(own)))
+    got = Counter(tuple(r) for r in jaccard.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect())
+    assert got == joined(rows) and max(Counter(c for _, _, c in got).values()) > 280
+    assert 280 < sum(found) < 5 * len(rows), found  # pairs that link: tens of thousands
