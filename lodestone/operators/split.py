@@ -58,17 +58,17 @@ def first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.groupBy(key).agg(F.min_by(F.struct(*rest), F.col(order)).alias("__s")).select(*[key if c == key else F.col(f"__s.{c}").alias(c) for c in df.columns])
 
 
-def quota(rows: DataFrame, n: int, key: str, seed: int) -> DataFrame:
-    """Exactly ``n`` rows, those of the smallest draws of their key, by places in range partitions; ValueError if there are fewer."""
+def quota(rows: DataFrame, n: int, key: str, seed: int, exact: bool = True) -> DataFrame:
+    """``n`` rows, those of the smallest draws of their key, by places in range partitions; if there are fewer, ValueError, or all of them where ``exact`` is off."""
     placed = with_row_index(rows.withColumn("__draw", draw(F.col(key), seed=seed)), "__draw", key)
     taken = written(placed.where(F.col("row_idx") < n).drop("row_idx", "__draw"), "split-quota")
     found = taken.count()
-    if found < n:
+    if exact and found < n:
         raise ValueError(f"{n} of {key} are wanted, and there are {found}")
     return taken
 
 
-def make_validation(log: DataFrame, corpus: DataFrame, items: DataFrame, count: int, seed: int = 42) -> dict[str, DataFrame]:
+def make_validation(log: DataFrame, corpus: DataFrame, items: DataFrame, count: int, seed: int = 42, exact: bool = True) -> dict[str, DataFrame]:
     """Queries, truth, training log and corpus of a validation split of a log (text, context, item_id, ...).
 
     Exactly ``count`` contexts become queries, each text once, in the shares of
@@ -76,10 +76,11 @@ def make_validation(log: DataFrame, corpus: DataFrame, items: DataFrame, count:
     hidden), then of the texts left warm texts (in two contexts or more), then
     of those left cold texts, whose every row leaves the log. A regime takes the
     texts of the smallest draws, and of a text's contexts that serve it the one
-    with the smallest draw; ValueError where they don't suffice. Exactly the
-    share ``COLD_ITEMS`` of the target items leaves the log altogether, and all
-    hidden pairs do. Half of the queries are fit, a quarter dev, the rest
-    audit; the corpus gets the targets it lacks behind its own items. Rows
+    with the smallest draw; ValueError where they don't suffice, or without
+    ``exact`` a regime takes all there are and the split has fewer queries (its
+    cuts stay at the shares of ``count``). Exactly the share ``COLD_ITEMS`` of
+    the target items leaves the log altogether, and all hidden pairs do. Half of
+    the queries are fit, a quarter dev, the rest audit; the corpus gets the targets it lacks behind its own items. Rows
     without text, context or item take no part in the choice.
     """
     pairs = written(log.select("context", "text", "item_id").dropna().distinct(), "split-pairs")
@@ -93,7 +94,7 @@ def make_validation(log: DataFrame, corpus: DataFrame, items: DataFrame, count:
         pool = told.where(serves)
         if chosen is not None:
             pool = pool.join(chosen.select("text"), "text", "left_anti")
-        texts = quota(pool.select("text").distinct(), n, "text", seed + 1 + i)
+        texts = quota(pool.select("text").distinct(), n, "text", seed + 1 + i, exact)
         first = F.min_by(F.struct("context", "n_items"), F.struct(draw(F.col("context"), seed=seed), "context"))
         own = pool.join(texts, "text", "left_semi").groupBy("text").agg(first.alias("s")).select("text", F.lit(regime).alias("regime"), "s.*")
         chosen = written(own if chosen is None else chosen.unionByName(own), "split-chosen")
