@@ -150,10 +150,17 @@ def price_quantiles(spark, d):
 
 @query("SELECT count(*) AS n, CAST(sum(CAST('0x' || substr(h, 1, 12) AS BIGINT)) AS BIGINT) AS total, bit_xor(CAST('0x' || substr(h, 13, 15) AS BIGINT)) AS x FROM (SELECT sha256(CAST(doc_id AS VARCHAR) || ':' || text) AS h FROM documents)")
 def corpus_digest(spark, d):
-    """Digests of all rows in any order, with their sum: rows that repeat count as often as they stand."""
+    """Digests of all rows in any order, with their sum: rows that repeat count as often as they stand.
+
+    The sum is one of 64 bits that starts again at the other end (from some
+    65,000 rows on; there the SQL has no result).
+    """
     h = table(spark, d, "documents").select(F.sha2(F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("text")), 256).alias("h"))
     part = lambda i, n: F.conv(F.substring("h", i, n), 16, 10).cast("long")
-    return h.agg(F.count(F.lit(1)).alias("n"), F.sum(part(1, 12)).alias("total"), F.bit_xor(part(13, 15)).alias("x"))
+    turn = F.lit(str(2**64)).cast("decimal(20,0)")
+    rest = F.sum(part(1, 12).cast("decimal(20,0)")) % turn
+    total = F.when(rest < turn / 2, rest).otherwise(rest - turn).cast("long")
+    return h.agg(F.count(F.lit(1)).alias("n"), total.alias("total"), F.bit_xor(part(13, 15)).alias("x"))
 
 
 @query("SELECT count(*) FILTER (WHERE len(embedding) <> 63) AS wrong_size, count(*) FILTER (WHERE list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda x: CASE WHEN isfinite(x / (CASE WHEN vec_id % 7 = 0 THEN 0.0 ELSE 1.0 END)) THEN 0 ELSE 1 END)) > 0) AS not_finite, count(*) AS n_vectors FROM embeddings")
